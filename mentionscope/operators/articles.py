@@ -25,6 +25,7 @@ from ..functions.names import (
     NAME_DELIM, STOP_CONTAINS_DEFAULT, STOP_EXACT_DEFAULT, day_from_stamp, drop_empty,
     has_names_field, parse_stamp, record_key, split_names, tab_fields, tab_fields_all,
 )
+from .sizing import is_small
 from ..schema import ARTICLE_SCHEMA, FIELD_NAMES, N_FIELDS, NAMES_INDEX, STAMP_INDEX
 
 
@@ -62,11 +63,13 @@ def strict_valid(fields_all) -> "F.Column":
             & ~quoted)
 
 
-def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value") -> DataFrame:
+def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Split lines and keep what the chosen rule keeps.
 
-    Returns ``key, day, allnames, valid`` for every input line; ``valid`` is
-    false for lines the rule rejects (use :func:`accepted` / :func:`rejects`).
+    Returns ``*keep, key, n_fields, day, allnames, valid`` for every input
+    line; ``valid`` is false for lines the rule rejects (use :func:`accepted`
+    / :func:`rejects`). ``n_fields`` counts fields as the rule sees them.
     """
     r = rules_for(mode)
     v = F.col(value)
@@ -77,13 +80,15 @@ def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str =
         names = fa.getItem(NAMES_INDEX)
         names = F.when(names != "", names)            # CSV: empty -> NULL
         day = ts.cast("date")
+        n_fields = F.size(fa)
         valid = strict_valid(fa) & ts.isNotNull() & names.isNotNull()
     else:
         f = tab_fields(v)
         day = day_from_stamp(f.getItem(STAMP_INDEX))
         names = f.getItem(NAMES_INDEX)
+        n_fields = F.size(f)
         valid = has_names_field(f) & day.isNotNull()
-    return lines.select(record_key(v).alias("key"), day.alias("day"),
+    return lines.select(*keep, record_key(v).alias("key"), n_fields.alias("n_fields"), day.alias("day"),
                         names.alias("allnames"), valid.alias("valid"))
 
 
@@ -115,20 +120,28 @@ def explode_names(parsed: DataFrame, mode: str | ReadRules = "rdd",
     return out
 
 
-def mentions(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value") -> DataFrame:
-    """Lines -> ``(day, name)`` mentions under one reading rule."""
-    return explode_names(parse_articles(lines, mode, value), mode)
+def mentions(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value",
+             keep: tuple[str, ...] = ("day",)) -> DataFrame:
+    """Lines -> ``(*keep, name)`` mentions under one reading rule.
+
+    ``keep`` may name parse outputs (``key``, ``day``) or input columns.
+    """
+    passthrough = tuple(c for c in keep if c in lines.columns)
+    return explode_names(parse_articles(lines, mode, value, passthrough), mode, keep)
 
 
-def drop_stop_names(m: DataFrame, stop: DataFrame, name: str = "name") -> DataFrame:
+def drop_stop_names(m: DataFrame, stop: DataFrame, name: str = "name",
+                    max_broadcast_rows: int = 100_000) -> DataFrame:
     """P10: remove a list of known false positives with an anti-join.
 
-    The stop list is a small fixed table (the write-up names ten entries), so
-    it is broadcast; a list that is not small should go through the normal
-    shuffle anti-join (pass ``stop`` un-hinted).
+    The write-up's list has ten entries. The list is broadcast only after a
+    bounded check (at most ``max_broadcast_rows`` rows are read to decide);
+    a longer list goes through the ordinary shuffle anti-join.
     """
-    return m.join(F.broadcast(stop.select(F.col(stop.columns[0]).alias(name)).distinct()),
-                  on=name, how="left_anti")
+    s = stop.select(F.col(stop.columns[0]).alias(name)).distinct()
+    if is_small(s, max_broadcast_rows):
+        s = F.broadcast(s)
+    return m.join(s, on=name, how="left_anti")
 
 
 def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:

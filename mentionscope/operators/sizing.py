@@ -1,0 +1,16 @@
+"""Size checks that decide broadcasts.
+
+A side is broadcast only when its size is proven bounded: either by
+construction (a top-n of fixed ``n``), or by :func:`is_small`, which reads at
+most ``max_rows + 1`` rows to decide. Everything else is left to the planner,
+whose broadcast decision (with AQE on) is made on measured shuffle sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -55,7 +55,8 @@ def rdd_parsed_cte(grain: str = "day") -> str:
 fields AS (
   SELECT id, value, string_split(rtrim(value, {TAB}), {TAB}) AS f FROM lines),
 acc AS (
-  SELECT id, split_part(value, {TAB}, 1) AS key, {day_from_stamp_sql('f[2]')} AS day, f[24] AS allnames
+  SELECT id, split_part(value, {TAB}, 1) AS key, len(f) AS n_fields,
+         {day_from_stamp_sql('f[2]')} AS day, f[24] AS allnames
   FROM fields
   WHERE len(f) > 23 AND {day_from_stamp_sql('f[2]')} IS NOT NULL)"""
 
@@ -79,3 +80,45 @@ m AS (SELECT * FROM m0 WHERE {' AND '.join(where)})"""
 def events_cte(name: str = "event_type") -> str:
     return f"""
 ev AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS ts, CAST({name} AS VARCHAR) AS name FROM events)"""
+
+
+def ts_ok_sql(s: str) -> str:
+    return f"(regexp_full_match({s}, '[0-9]{{14}}') AND try_strptime({s}, '%Y%m%d%H%M%S') IS NOT NULL)"
+
+
+def strict_cte(grain: str = "day") -> str:
+    """Strict (typed 27-field) reading: ``sacc(id, key, ts, day, allnames)``."""
+    return lines_cte(grain) + f""",
+sfields AS (SELECT id, value, string_split(value, {TAB}) AS f FROM lines),
+sacc AS (
+  SELECT id, f[1] AS key, try_strptime(f[2], '%Y%m%d%H%M%S') AS ts,
+         CAST(try_strptime(f[2], '%Y%m%d%H%M%S') AS DATE) AS day, f[24] AS allnames
+  FROM sfields
+  WHERE len(f) = 27 AND {ts_ok_sql('f[2]')}
+    AND (f[3] = '' OR TRY_CAST(f[3] AS INTEGER) IS NOT NULL)
+    AND NOT list_bool_or(list_transform(f, lambda x: starts_with(x, '"')))
+    AND f[24] <> '')"""
+
+
+def changelog_cte(name: str = "user_id", span: str = "1 HOUR") -> str:
+    """Rolling changelog ``ch(name, id, t, delta, count)`` over ``events``."""
+    return events_cte(name) + f""",
+ch0 AS (SELECT name, id, ts AS t, 1 AS delta FROM ev
+        UNION ALL SELECT name, id, ts + INTERVAL {span} AS t, -1 AS delta FROM ev),
+ch AS (SELECT name, id, t, delta,
+              CAST(sum(delta) OVER (PARTITION BY name ORDER BY t, delta, id
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS count
+       FROM ch0)"""
+
+
+def boards_cte(n: int = 100) -> str:
+    """Hourly exact boards ``board(bucket, name, count, rank)`` over the user changelog."""
+    return changelog_cte("user_id") + f""",
+lastb AS (SELECT date_trunc('hour', t) AS bucket, name, count,
+                 row_number() OVER (PARTITION BY date_trunc('hour', t), name
+                                    ORDER BY t DESC, delta DESC, id DESC) AS rn FROM ch),
+latest AS (SELECT bucket, name, count FROM lastb WHERE rn = 1),
+board AS (SELECT * FROM (
+            SELECT bucket, name, count,
+                   CAST(row_number() OVER (PARTITION BY bucket ORDER BY count DESC, name ASC) AS INTEGER) AS rank
+            FROM latest) WHERE rank <= {n})"""
