@@ -99,16 +99,16 @@ def day_string(ts) -> Column:
 def parse_record_id(rid) -> tuple[Column, Column]:
     """``stamp-seq`` to two longs; any failure gives (0, 0)."""
     parts = F.split(_c(rid), "-", -1)
-    a = parts.getItem(0).try_cast("bigint")
-    b = parts.getItem(1).try_cast("bigint")
+    a = F.get(parts, 0).try_cast("bigint")
+    b = F.get(parts, 1).try_cast("bigint")
     ok = (F.size(parts) == 2) & a.isNotNull() & b.isNotNull()
     return (F.when(ok, a).otherwise(F.lit(0).cast("bigint")),
             F.when(ok, b).otherwise(F.lit(0).cast("bigint")))
 
 
 def names_field(fields: Column) -> Column:
-    return fields.getItem(NAMES_INDEX)
+    return F.get(fields, NAMES_INDEX)
 
 
 def stamp_field(fields: Column) -> Column:
-    return fields.getItem(STAMP_INDEX)
+    return F.get(fields, STAMP_INDEX)

@@ -8,7 +8,8 @@ Three reading rules exist for the same lines and are exposed as presets:
 * ``ds``     - strict: exactly 27 fields, a parsable 14-digit stamp, an
   integer (or empty) source type, no field opening a CSV quote, a non-empty
   names field; names containing ``Category`` removed;
-* ``stream`` - lenient, empty names removed, no stop-names.
+* ``stream`` - lenient, empty names removed, no stop-names, the stamp is
+  not parsed (a line with a bad stamp still counts; its day is NULL).
 
 Every step is a narrow built-in expression: the whole parse runs inside one
 codegen stage next to the scan.
@@ -36,6 +37,7 @@ class ReadRules:
     stop_exact: tuple = ()              # names removed exactly
     stop_contains: tuple = ()           # names removed when containing any of these
     delim: str = NAME_DELIM             # name-list delimiter pattern
+    needs_day: bool = True              # reject lines whose day does not parse
     extra: dict = field(default_factory=dict)
 
 
@@ -43,7 +45,7 @@ class ReadRules:
 RULES = {
     "rdd": ReadRules("lenient", True, tuple(STOP_EXACT_DEFAULT), ()),
     "ds": ReadRules("strict", True, (), tuple(STOP_CONTAINS_DEFAULT)),
-    "stream": ReadRules("lenient", False, (), ()),
+    "stream": ReadRules("lenient", False, (), (), needs_day=False),
 }
 # -----------------------------------------------------------------------------
 
@@ -54,8 +56,8 @@ def rules_for(mode: str | ReadRules) -> ReadRules:
 
 def strict_valid(fields_all) -> "F.Column":
     """Row passes the typed 27-field reading (CSV with DROPMALFORMED)."""
-    stamp = fields_all.getItem(STAMP_INDEX)
-    stype = fields_all.getItem(2)
+    stamp = F.get(fields_all, STAMP_INDEX)
+    stype = F.get(fields_all, 2)
     quoted = F.exists(fields_all, lambda x: x.startswith('"'))
     return ((F.size(fields_all) == N_FIELDS)
             & ((stamp == "") | parse_stamp(stamp).isNotNull())
@@ -75,19 +77,19 @@ def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str =
     v = F.col(value)
     if r.validity == "strict":
         fa = tab_fields_all(v)
-        stamp = fa.getItem(STAMP_INDEX)
+        stamp = F.get(fa, STAMP_INDEX)
         ts = parse_stamp(stamp)
-        names = fa.getItem(NAMES_INDEX)
+        names = F.get(fa, NAMES_INDEX)
         names = F.when(names != "", names)            # CSV: empty -> NULL
         day = ts.cast("date")
         n_fields = F.size(fa)
         valid = strict_valid(fa) & ts.isNotNull() & names.isNotNull()
     else:
         f = tab_fields(v)
-        day = day_from_stamp(f.getItem(STAMP_INDEX))
-        names = f.getItem(NAMES_INDEX)
+        day = day_from_stamp(F.get(f, STAMP_INDEX))
+        names = F.get(f, NAMES_INDEX)
         n_fields = F.size(f)
-        valid = has_names_field(f) & day.isNotNull()
+        valid = has_names_field(f) & (day.isNotNull() if r.needs_day else F.lit(True))
     return lines.select(*keep, record_key(v).alias("key"), n_fields.alias("n_fields"), day.alias("day"),
                         names.alias("allnames"), valid.alias("valid"))
 
@@ -153,7 +155,7 @@ def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     fa = tab_fields_all(F.col(value))
     cols = []
     for i, f in enumerate(ARTICLE_SCHEMA.fields):
-        raw = fa.getItem(i)
+        raw = F.get(fa, i)
         raw = F.when(raw != "", raw)
         if f.name == "timestamp":
             c = parse_stamp(raw)

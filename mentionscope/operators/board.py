@@ -70,7 +70,8 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     Only the batch's own best ``n`` (TakeOrderedAndProject, distributed) can
     reach the board, so the final ranking sees at most ``2n`` rows.
     Changes = every name of the batch that holds a seat on the new board
-    (update or admission) plus a 0 for every incumbent that lost its seat.
+    (update or admission) plus a 0 for every incumbent that lost its seat
+    (``tombstone`` marks the latter).
     """
     inc = F.broadcast(old.select(key, F.col(value).alias("__old")))
     flagged = (batch_latest.select(key, F.col(value).alias(value))
@@ -86,7 +87,7 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     ranked = merged.withColumn("__r", F.row_number().over(Window.orderBy(*order)))
     seats = ranked.where(F.col("__r") <= n)
     new_board = seats.select(key, value)
-    changed = seats.where("__in_batch").select(key, value)
+    changed = seats.where("__in_batch").select(key, value, F.lit(False).alias("tombstone"))
     evicted = (old.select(key).join(new_board.select(key), on=key, how="left_anti")
-                  .select(key, F.lit(0).cast("bigint").alias(value)))
+                  .select(key, F.lit(0).cast("bigint").alias(value), F.lit(True).alias("tombstone")))
     return new_board, changed.unionByName(evicted)

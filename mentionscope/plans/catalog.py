@@ -132,7 +132,7 @@ def t1_ds_daily_top_names(spark, sf_dir):
 
 
 @register("st1_stream_mentions", f"""
-WITH {q.mentions_cte('day', keep_empty=False, stop_exact=()).lstrip()}
+WITH {q.mentions_cte('day', keep_empty=False, stop_exact=(), needs_day=False).lstrip()}
 SELECT key, name FROM m""")
 def st1_stream_mentions(spark, sf_dir):
     """ST1/P6/P7 (batch twin): split -> filter -> explode under the record key, empty names dropped."""
@@ -446,7 +446,7 @@ def k6_board_snapshot(spark, sf_dir):
 
 # ------------------------------------------------------------- misc
 @register("u1_union_mentions", f"""
-WITH {q.mentions_cte('day', keep_empty=False, stop_exact=()).lstrip()},
+WITH {q.mentions_cte('day', keep_empty=False, stop_exact=(), needs_day=False).lstrip()},
 {q.events_cte('user_id').lstrip()},
 u AS (SELECT name FROM m UNION ALL SELECT name FROM ev)
 SELECT name, count(*) AS mentions FROM u GROUP BY name""")

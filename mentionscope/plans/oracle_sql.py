@@ -49,8 +49,9 @@ def day_from_stamp_sql(s: str) -> str:
             f"THEN CAST(try_strptime({head}, '%Y%m%d') AS DATE) END")
 
 
-def rdd_parsed_cte(grain: str = "day") -> str:
+def rdd_parsed_cte(grain: str = "day", needs_day: bool = True) -> str:
     """Lenient parse: key, day, allnames of accepted lines (table ``acc``)."""
+    day_ok = f"{day_from_stamp_sql('f[2]')} IS NOT NULL" if needs_day else "TRUE"
     return lines_cte(grain) + f""",
 fields AS (
   SELECT id, value, string_split(rtrim(value, {TAB}), {TAB}) AS f FROM lines),
@@ -58,11 +59,11 @@ acc AS (
   SELECT id, split_part(value, {TAB}, 1) AS key, len(f) AS n_fields,
          {day_from_stamp_sql('f[2]')} AS day, f[24] AS allnames
   FROM fields
-  WHERE len(f) > 23 AND {day_from_stamp_sql('f[2]')} IS NOT NULL)"""
+  WHERE len(f) > 23 AND {day_ok})"""
 
 
 def mentions_cte(grain: str = "day", keep_empty: bool = True, stop_exact=("Type ParentCategory",),
-                 stop_contains=()) -> str:
+                 stop_contains=(), needs_day: bool = True) -> str:
     """Exploded mentions ``m(day, name)`` of the lenient reading."""
     arr = split_names_sql("allnames")
     if not keep_empty:
@@ -72,7 +73,7 @@ def mentions_cte(grain: str = "day", keep_empty: bool = True, stop_exact=("Type
         where.append(f"name <> '{s}'")
     for s in stop_contains:
         where.append(f"NOT contains(name, '{s}')")
-    return rdd_parsed_cte(grain) + f""",
+    return rdd_parsed_cte(grain, needs_day) + f""",
 m0 AS (SELECT id, key, day, unnest({arr}) AS name FROM acc),
 m AS (SELECT * FROM m0 WHERE {' AND '.join(where)})"""
 

@@ -36,6 +36,10 @@ def build_session(app: str = "mentionscope", master: str | None = None,
     ``master`` defaults to ``local[$BENCH_CPUS]`` (or ``local[*]``) only when
     no master was given by spark-submit.
     """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     builder = SparkSession.builder.appName(app)
     if master is None and "SPARK_MASTER" not in os.environ:
         cpus = os.environ.get("BENCH_CPUS", "*")
