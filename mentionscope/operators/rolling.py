@@ -29,11 +29,12 @@ def _micros(ts: str):
 
 
 def _changes(df: DataFrame, ts: str, key: str, id_col: str, span_us: int) -> DataFrame:
+    """The +1 / -1 change rows of every mention, generated from one scan."""
     t = _micros(ts)
-    base = df.select(F.col(key).alias(key), F.col(id_col).alias(id_col), t.alias("__t"))
-    plus = base.withColumn("delta", F.lit(1))
-    minus = base.withColumn("__t", F.col("__t") + F.lit(span_us)).withColumn("delta", F.lit(-1))
-    return plus.unionByName(minus)
+    pair = F.array(F.struct(t.alias("t"), F.lit(1).alias("d")),
+                   F.struct((t + F.lit(span_us)).alias("t"), F.lit(-1).alias("d")))
+    return (df.select(F.col(key).alias(key), F.col(id_col).alias(id_col), F.explode(pair).alias("__c"))
+              .select(key, id_col, F.col("__c.t").alias("__t"), F.col("__c.d").alias("delta")))
 
 
 def rolling_changelog(df: DataFrame, ts: str = "ts", key: str = "name", id_col: str = "id",
@@ -41,7 +42,7 @@ def rolling_changelog(df: DataFrame, ts: str = "ts", key: str = "name", id_col:
     """The full rolling changelog -> ``key, id, t, delta, count``."""
     ch = _changes(df, ts, key, id_col, span_us)
     order = [F.col("__t"), F.col("delta"), F.col(id_col)]
-    bucket = F.floor(F.col("__t") / F.lit(bucket_us))
+    bucket = F.expr(f"__t div {int(bucket_us)}")
     out = bucketed_running_sum(ch, [key], bucket, order, "delta", "count")
     return out.select(key, id_col, F.timestamp_micros(F.col("__t")).alias("t"),
                       F.col("delta").cast("int").alias("delta"), "count")
@@ -57,7 +58,7 @@ def rolling_counts(df: DataFrame, ts: str = "ts", key: str = "name", id_col: str
     """
     ch = _changes(df, ts, key, id_col, span_us)
     order = [F.col("__t"), F.col("delta").desc()]
-    bucket = F.floor(F.col("__t") / F.lit(bucket_us))
+    bucket = F.expr(f"__t div {int(bucket_us)}")
     out = bucketed_running_sum(ch, [key], bucket, order, "delta", "count", peers=True)
     return (out.where(F.col("delta") == 1)
                .select(key, id_col, F.timestamp_micros(F.col("__t")).alias(ts), "count"))
