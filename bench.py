@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 1; the best of N runs is reported).
+BENCH_REPEAT (default 2; the best of N runs is reported).
 
 Each query is run to completion through the ``noop`` sink (full execution,
 no collect to the driver). Shuffle bytes and input rows come from Spark's
@@ -63,7 +63,7 @@ def _event_metrics(log_dir: str) -> dict:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     log_dir = tempfile.mkdtemp(prefix="mentionscope-bench-")
     spark = build_session(app="mentionscope-bench", master=f"local[{cpus}]",
                           shuffle_partitions=max(8, 2 * cpus),
