@@ -54,15 +54,31 @@ def rules_for(mode: str | ReadRules) -> ReadRules:
     return mode if isinstance(mode, ReadRules) else RULES[mode]
 
 
+def _closed_quote(x) -> "F.Column":
+    return (F.length(x) >= 2) & x.endswith('"')
+
+
+def csv_value(x) -> "F.Column":
+    """A field as the CSV reader returns it: surrounding quotes removed,
+    doubled quotes undone, empty -> NULL."""
+    unq = F.when(x.startswith('"') & _closed_quote(x),
+                 F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), '""', '"')).otherwise(x)
+    return F.when(x != "", unq)
+
+
 def strict_valid(fields_all) -> "F.Column":
-    """Row passes the typed 27-field reading (CSV with DROPMALFORMED)."""
-    stamp = F.get(fields_all, STAMP_INDEX)
-    stype = F.get(fields_all, 2)
-    quoted = F.exists(fields_all, lambda x: x.startswith('"'))
+    """Row passes the typed 27-field reading (CSV with DROPMALFORMED).
+
+    A field that opens a quote without closing it swallows the TABs after it
+    in the CSV reader, so the row is malformed; a closed quoted field is fine.
+    """
+    stamp = csv_value(F.get(fields_all, STAMP_INDEX))
+    stype = csv_value(F.get(fields_all, 2))
+    open_quote = F.exists(fields_all, lambda x: x.startswith('"') & ~_closed_quote(x))
     return ((F.size(fields_all) == N_FIELDS)
-            & ((stamp == "") | parse_stamp(stamp).isNotNull())
-            & ((stype == "") | stype.try_cast("int").isNotNull())
-            & ~quoted)
+            & (stamp.isNull() | parse_stamp(stamp).isNotNull())
+            & (stype.isNull() | stype.try_cast("int").isNotNull())
+            & ~open_quote)
 
 
 def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value",
@@ -77,10 +93,8 @@ def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str =
     v = F.col(value)
     if r.validity == "strict":
         fa = tab_fields_all(v)
-        stamp = F.get(fa, STAMP_INDEX)
-        ts = parse_stamp(stamp)
-        names = F.get(fa, NAMES_INDEX)
-        names = F.when(names != "", names)            # CSV: empty -> NULL
+        ts = parse_stamp(csv_value(F.get(fa, STAMP_INDEX)))
+        names = csv_value(F.get(fa, NAMES_INDEX))     # CSV: empty -> NULL, quotes removed
         day = ts.cast("date")
         n_fields = F.size(fa)
         valid = strict_valid(fa) & ts.isNotNull() & names.isNotNull()
@@ -155,8 +169,7 @@ def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     fa = tab_fields_all(F.col(value))
     cols = []
     for i, f in enumerate(ARTICLE_SCHEMA.fields):
-        raw = F.get(fa, i)
-        raw = F.when(raw != "", raw)
+        raw = csv_value(F.get(fa, i))
         if f.name == "timestamp":
             c = parse_stamp(raw)
         elif f.name == "sourcetype":

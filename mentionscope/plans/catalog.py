@@ -92,22 +92,23 @@ def p1_article_fields(spark, sf_dir):
 def _typed_sql() -> str:
     cols = []
     for i, (name, _h, _t) in enumerate(ARTICLE_COLUMNS, start=1):
-        raw = f"NULLIF(f[{i}], '')"
+        raw = q.csv_value_sql(f"f[{i}]")
         if name == "timestamp":
-            expr = f"CASE WHEN {q.ts_ok_sql(f'f[{i}]')} THEN try_strptime(f[{i}], '%Y%m%d%H%M%S') END"
+            expr = f"CASE WHEN {q.ts_ok_sql(raw)} THEN try_strptime({raw}, '%Y%m%d%H%M%S') END"
         elif name == "sourcetype":
             expr = f"TRY_CAST({raw} AS INTEGER)"
         else:
             expr = raw
         cols.append(f'{expr} AS "{name}"')
+    stamp, stype = q.csv_value_sql("f[2]"), q.csv_value_sql("f[3]")
     return f"""
 WITH {q.lines_cte('day').lstrip()},
 sp AS (SELECT string_split(value, chr(9)) AS f FROM lines)
 SELECT {', '.join(cols)}
 FROM sp
-WHERE len(f) = 27 AND (f[2] = '' OR {q.ts_ok_sql('f[2]')})
-  AND (f[3] = '' OR TRY_CAST(f[3] AS INTEGER) IS NOT NULL)
-  AND NOT list_bool_or(list_transform(f, lambda x: starts_with(x, '"')))"""
+WHERE len(f) = 27 AND ({stamp} IS NULL OR {q.ts_ok_sql(stamp)})
+  AND ({stype} IS NULL OR TRY_CAST({stype} AS INTEGER) IS NOT NULL)
+  AND NOT {q.OPEN_QUOTE_SQL}"""
 
 
 @register("s3_typed_articles", _typed_sql())

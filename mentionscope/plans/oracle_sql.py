@@ -83,6 +83,17 @@ def events_cte(name: str = "event_type") -> str:
 ev AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS ts, CAST({name} AS VARCHAR) AS name FROM events)"""
 
 
+def csv_value_sql(x: str) -> str:
+    """A field as the CSV reader returns it (quotes removed, empty -> NULL)."""
+    return (f"CASE WHEN {x} = '' THEN NULL "
+            f"WHEN starts_with({x}, '\"') AND length({x}) >= 2 AND ends_with({x}, '\"') "
+            f"THEN replace(substr({x}, 2, length({x}) - 2), '\"\"', '\"') ELSE {x} END")
+
+
+OPEN_QUOTE_SQL = ("list_bool_or(list_transform(f, lambda x: starts_with(x, '\"') "
+                  "AND NOT (length(x) >= 2 AND ends_with(x, '\"'))))")
+
+
 def ts_ok_sql(s: str) -> str:
     return f"(regexp_full_match({s}, '[0-9]{{14}}') AND try_strptime({s}, '%Y%m%d%H%M%S') IS NOT NULL)"
 
@@ -92,13 +103,14 @@ def strict_cte(grain: str = "day") -> str:
     return lines_cte(grain) + f""",
 sfields AS (SELECT id, value, string_split(value, {TAB}) AS f FROM lines),
 sacc AS (
-  SELECT id, f[1] AS key, try_strptime(f[2], '%Y%m%d%H%M%S') AS ts,
-         CAST(try_strptime(f[2], '%Y%m%d%H%M%S') AS DATE) AS day, f[24] AS allnames
+  SELECT id, f[1] AS key, try_strptime({csv_value_sql('f[2]')}, '%Y%m%d%H%M%S') AS ts,
+         CAST(try_strptime({csv_value_sql('f[2]')}, '%Y%m%d%H%M%S') AS DATE) AS day,
+         {csv_value_sql('f[24]')} AS allnames
   FROM sfields
-  WHERE len(f) = 27 AND {ts_ok_sql('f[2]')}
-    AND (f[3] = '' OR TRY_CAST(f[3] AS INTEGER) IS NOT NULL)
-    AND NOT list_bool_or(list_transform(f, lambda x: starts_with(x, '"')))
-    AND f[24] <> '')"""
+  WHERE len(f) = 27 AND {ts_ok_sql(csv_value_sql('f[2]'))}
+    AND ({csv_value_sql('f[3]')} IS NULL OR TRY_CAST({csv_value_sql('f[3]')} AS INTEGER) IS NOT NULL)
+    AND NOT {OPEN_QUOTE_SQL}
+    AND {csv_value_sql('f[24]')} IS NOT NULL)"""
 
 
 def changelog_cte(name: str = "user_id", span: str = "1 HOUR") -> str:

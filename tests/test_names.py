@@ -102,3 +102,40 @@ def test_stop_list_anti_join(spark):
                               "day string, name string")
     stop = spark.createDataFrame([("Audio Described",), ("Type ParentCategory",)], "name string")
     assert [r["name"] for r in articles.drop_stop_names(m, stop).collect()] == ["X"]
+
+
+def test_strict_reading_unquotes_closed_quotes(spark):
+    df = spark.createDataFrame([(1, line('"A,1;B,2"')), (2, line('"Q,1;R,2')), (3, line('"x""y,1"'))],
+                               "id int, value string")
+    got = {}
+    for r in articles.mentions(df, "ds", keep=("id",)).collect():
+        got.setdefault(r["id"], []).append(r["name"])
+    assert got == {1: ["A", "B"], 3: ['x"y']}
+
+
+# ---- property: the name split follows java.lang.String.split(regex) -------------
+import re  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def java_split(s: str, pattern: str = ",[0-9;]+") -> list[str]:
+    """Reference model of String.split(regex) with limit 0."""
+    if s == "":
+        return [""]
+    parts = re.split(pattern, s)
+    if len(parts) == 1:
+        return parts
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="Ab ,1;9", max_size=12), min_size=60, max_size=60))
+def test_split_names_property(spark, strings):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(strings)], "i int, s string")
+    got = {r["i"]: r["a"] for r in df.select("i", split_names(F.col("s")).alias("a")).collect()}
+    for i, s in enumerate(strings):
+        assert got[i] == java_split(s), s
