@@ -6,6 +6,8 @@ operators implement; the driver runs them on the same parquet tables.
 
 from __future__ import annotations
 
+from ..sources.fixtures import MAX_ITEMS
+
 TAB = "chr(9)"
 DELIM = ",[0-9;]+"
 
@@ -13,14 +15,18 @@ DELIM = ",[0-9;]+"
 def packed_cte(grain: str = "day") -> str:
     ts = "o.o_orderdate" if grain == "day" else "date_trunc('month', o.o_orderdate)"
     return f"""
+li AS (
+  SELECT l.l_orderkey, l.l_linenumber, concat_ws(' ', p.p_name, p.p_brand) AS pname,
+         CAST((row_number() OVER (PARTITION BY l.l_orderkey
+                                  ORDER BY l.l_linenumber, concat_ws(' ', p.p_name, p.p_brand)) - 1)
+              // {MAX_ITEMS} AS INTEGER) AS chunk
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 items AS (
-  SELECT l.l_orderkey,
-         string_agg(concat_ws(' ', p.p_name, p.p_brand) || ',' || CAST(l.l_linenumber AS VARCHAR), ';'
-                    ORDER BY l.l_linenumber, concat_ws(' ', p.p_name, p.p_brand)) AS allnames
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-  GROUP BY l.l_orderkey),
+  SELECT l_orderkey, chunk,
+         string_agg(pname || ',' || CAST(l_linenumber AS VARCHAR), ';' ORDER BY l_linenumber, pname) AS allnames
+  FROM li GROUP BY l_orderkey, chunk),
 packed AS (
-  SELECT o.o_orderkey AS id, CAST({ts} AS TIMESTAMP) AS ts, i.allnames
+  SELECT o.o_orderkey AS id, i.chunk, CAST({ts} AS TIMESTAMP) AS ts, i.allnames
   FROM orders o JOIN items i ON o.o_orderkey = i.l_orderkey)"""
 
 
@@ -29,7 +35,8 @@ def lines_cte(grain: str = "day") -> str:
     return packed_cte(grain) + f""",
 lines AS (
   SELECT id, concat_ws({TAB},
-           strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(id AS VARCHAR),
+           strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(id AS VARCHAR)
+             || CASE WHEN chunk > 0 THEN '.' || CAST(chunk AS VARCHAR) ELSE '' END,
            strftime(ts, '%Y%m%d%H%M%S'), '1', {empties},
            CASE WHEN id % 10 = 0 THEN '' ELSE allnames END,
            CASE WHEN id % 3 = 0 THEN 'am' ELSE '' END, '', '') AS value

@@ -17,7 +17,13 @@ oracle):
 Plan: lineitem joins part on the part key (AQE broadcasts part only when its
 measured size is below the broadcast threshold), is grouped by order key, and
 joins orders on the same key, so the orders side is the only extra shuffle.
-The per-order list holds one order's lines (bounded by the order size).
+
+Bounded groups: an article packs at most ``MAX_ITEMS`` names. Orders with more
+items (found by a partial/final count; at most ``rows / MAX_ITEMS`` of them)
+are cut into chunks of ``MAX_ITEMS`` in (line number, name) order, with exact
+positions from a bucketed row number, so even an order holding a third of all
+line items is never collected into one task. Chunk ``c > 0`` of order ``o``
+gets the key ``stamp-o.c``.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.prefix import bucketed_row_number
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -33,22 +41,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# ---- fixed values ------------------------------------------------------------
+MAX_ITEMS = 10_000          # names packed into one article at most
+# ---- end of fixed values -----------------------------------------------------
+
+
+def _chunked_items(items: DataFrame) -> DataFrame:
+    """``l_orderkey, chunk, l_linenumber, pname``; chunk 0 unless the order is huge."""
+    sizes = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    # No hint: AQE broadcasts the hot list only when its measured size is
+    # small; otherwise a sort-merge semi/anti join whose skew handling splits
+    # a hot order's partition over several tasks.
+    hot = sizes.where(F.col("n") > MAX_ITEMS).select("l_orderkey")
+    normal = items.join(hot, "l_orderkey", "left_anti").withColumn("chunk", F.lit(0))
+    big = items.join(hot, "l_orderkey", "left_semi").withColumn("__u", F.monotonically_increasing_id())
+    # identical (line, name) rows are interchangeable, so any tie order gives the same chunks
+    big = bucketed_row_number(
+        big, ["l_orderkey"], F.struct("l_linenumber", "pname", F.shiftright("__u", 20)),
+        [F.col("l_linenumber"), F.col("pname"), F.col("__u")], "__pos")
+    big = big.select("l_orderkey", "l_linenumber", "pname",
+                     F.floor((F.col("__pos") - 1) / F.lit(MAX_ITEMS)).cast("int").alias("chunk"))
+    return normal.unionByName(big)
+
+
 def packed_names(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
-    """``id, ts, allnames`` - one packed name list per order."""
+    """``id, chunk, ts, allnames`` - one packed name list per order (chunk)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     part = table(spark, sf_dir, "part").select(
         "p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("pname"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    items = (li.join(part, li.l_partkey == part.p_partkey)
-               .groupBy("l_orderkey")
-               .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "pname"))).alias("items")))
+    items = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "l_linenumber", "pname")
+    items = (_chunked_items(items)
+             .groupBy("l_orderkey", "chunk")
+             .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "pname"))).alias("items")))
     packed = F.array_join(F.transform(
         "items", lambda e: F.concat(e["pname"], F.lit(","), e["l_linenumber"].cast("string"))), ";")
     ts = F.col("o_orderdate")
     if grain == "month":
         ts = F.date_trunc("month", ts)
     return (orders.join(items, orders.o_orderkey == items.l_orderkey)
-                  .select(F.col("o_orderkey").alias("id"), ts.cast("timestamp_ntz").alias("ts"),
+                  .select(F.col("o_orderkey").alias("id"), "chunk", ts.cast("timestamp_ntz").alias("ts"),
                           packed.alias("allnames")))
 
 
@@ -58,7 +90,8 @@ def article_lines(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataF
     stamp = F.date_format("ts", "yyyyMMddHHmmss")
     names = F.when(F.col("id") % 10 == 0, F.lit("")).otherwise(F.col("allnames"))
     amounts = F.when(F.col("id") % 3 == 0, F.lit("am")).otherwise(F.lit(""))
-    fields = ([F.concat(stamp, F.lit("-"), F.col("id").cast("string")), stamp, F.lit("1")]
+    suffix = F.when(F.col("chunk") > 0, F.concat(F.lit("."), F.col("chunk").cast("string"))).otherwise(F.lit(""))
+    fields = ([F.concat(stamp, F.lit("-"), F.col("id").cast("string"), suffix), stamp, F.lit("1")]
               + [F.lit("")] * 20 + [names, amounts, F.lit(""), F.lit("")])
     return g.select("id", F.concat_ws("\t", *fields).alias("value"))
 
