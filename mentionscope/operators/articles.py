@@ -91,21 +91,21 @@ def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str =
     """
     r = rules_for(mode)
     v = F.col(value)
+    # The split is computed once into a column; every field below reads it.
+    split = tab_fields_all(v) if r.validity == "strict" else tab_fields(v)
+    base = lines.select(*keep, v.alias("__v"), split.alias("__f"))
+    f = F.col("__f")
     if r.validity == "strict":
-        fa = tab_fields_all(v)
-        ts = parse_stamp(csv_value(F.get(fa, STAMP_INDEX)))
-        names = csv_value(F.get(fa, NAMES_INDEX))     # CSV: empty -> NULL, quotes removed
+        ts = parse_stamp(csv_value(F.get(f, STAMP_INDEX)))
+        names = csv_value(F.get(f, NAMES_INDEX))     # CSV: empty -> NULL, quotes removed
         day = ts.cast("date")
-        n_fields = F.size(fa)
-        valid = strict_valid(fa) & ts.isNotNull() & names.isNotNull()
+        valid = strict_valid(f) & ts.isNotNull() & names.isNotNull()
     else:
-        f = tab_fields(v)
         day = day_from_stamp(F.get(f, STAMP_INDEX))
         names = F.get(f, NAMES_INDEX)
-        n_fields = F.size(f)
         valid = has_names_field(f) & (day.isNotNull() if r.needs_day else F.lit(True))
-    return lines.select(*keep, record_key(v).alias("key"), n_fields.alias("n_fields"), day.alias("day"),
-                        names.alias("allnames"), valid.alias("valid"))
+    return base.select(*keep, record_key(F.col("__v")).alias("key"), F.size(f).alias("n_fields"),
+                       day.alias("day"), names.alias("allnames"), valid.alias("valid"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -128,7 +128,9 @@ def explode_names(parsed: DataFrame, mode: str | ReadRules = "rdd",
     arr = split_names(F.col("allnames"), r.delim)
     if not r.keep_empty:
         arr = drop_empty(arr)
-    out = accepted(parsed).select(*keep, F.explode(arr).alias("name"))
+    # Rejected lines explode a NULL array (no rows): no separate filter, so the
+    # parse is not re-evaluated below it.
+    out = parsed.select(*keep, F.explode(F.when(F.col("valid"), arr)).alias("name"))
     if r.stop_exact:
         out = out.where(~F.col("name").isin(list(r.stop_exact)))
     for s in r.stop_contains:
