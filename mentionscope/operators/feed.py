@@ -32,22 +32,31 @@ def json_messages(entries: DataFrame, group: Sequence[str], order: Sequence[str]
                   bucket: Column | None = None, out: str = "message") -> DataFrame:
     """K4: ``*group, chunk, n_entries, message`` with entries in ``order``.
 
-    The position of an entry inside its group comes from a bucketed row
-    number (``bucket`` non-decreasing in ``order``; default: the first order
-    column's value scaled down), then ``chunk = (pos - 1) div max_entries``.
+    Groups of at most ``max_entries`` entries (found by a partial/final count)
+    are folded directly into one message. Only larger groups need exact
+    positions: a bucketed row number (``bucket`` non-decreasing in ``order``;
+    default: one bucket per group) gives ``chunk = (pos - 1) div max_entries``.
+    No join hint is used: AQE broadcasts the list of large groups only when it
+    measures it as small, and otherwise splits a skewed group's partition.
     """
     group = list(group)
     order_cols = [F.col(o) for o in order]
     if bucket is None:
         bucket = F.lit(0)
-    pos = bucketed_row_number(entries, group, bucket, order_cols, "__pos")
-    pos = pos.withColumn("chunk", F.floor((F.col("__pos") - 1) / F.lit(max_entries)).cast("int"))
-    items = F.array_sort(F.collect_list(F.struct(F.col("__pos").alias("p"), F.col(name).alias("name"),
+    sizes = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    big_groups = sizes.where(F.col("__n") > max_entries).select(*group)
+    small = entries.join(big_groups, group, "left_anti").withColumn("chunk", F.lit(0))
+    big = bucketed_row_number(entries.join(big_groups, group, "left_semi"), group, bucket, order_cols, "__pos")
+    big = (big.withColumn("chunk", F.floor((F.col("__pos") - 1) / F.lit(max_entries)).cast("int"))
+              .drop("__pos"))
+    allrows = small.unionByName(big)
+    key = F.struct(*[F.col(o).alias(f"k{i}") for i, o in enumerate(order)], F.col(name).alias("kn"))
+    items = F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(name).alias("name"),
                                                  F.col(value).alias("count"))))
     body = F.transform(items, lambda e: F.struct(e["name"].alias("name"), e["count"].alias("count")))
-    return (pos.groupBy(*group, "chunk")
-               .agg(body.alias("__items"), F.count(F.lit(1)).alias("n_entries"))
-               .select(*group, "chunk", "n_entries", F.to_json("__items").alias(out)))
+    return (allrows.groupBy(*group, "chunk")
+                   .agg(body.alias("__items"), F.count(F.lit(1)).alias("n_entries"))
+                   .select(*group, "chunk", "n_entries", F.to_json("__items").alias(out)))
 
 
 def conflate(changelog: DataFrame, every: str = "1 second", t: str = "t", key: str = "name",
