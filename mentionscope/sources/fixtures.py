@@ -54,23 +54,26 @@ def _chunked_items(items: DataFrame) -> DataFrame:
     # a hot order's partition over several tasks.
     hot = sizes.where(F.col("n") > MAX_ITEMS).select("l_orderkey")
     normal = items.join(hot, "l_orderkey", "left_anti").withColumn("chunk", F.lit(0))
-    big = items.join(hot, "l_orderkey", "left_semi").withColumn("__u", F.monotonically_increasing_id())
-    # identical (line, name) rows are interchangeable, so any tie order gives the same chunks
+    big = items.join(hot, "l_orderkey", "left_semi")
+    # ``__u`` was assigned at the scan (fixed splits and row order), so every
+    # branch and every task retry sees the same tie order; identical (line,
+    # name) rows are interchangeable, so the chunks do not depend on it.
     big = bucketed_row_number(
         big, ["l_orderkey"], F.struct("l_linenumber", "pname", F.shiftright("__u", 20)),
         [F.col("l_linenumber"), F.col("pname"), F.col("__u")], "__pos")
     big = big.select("l_orderkey", "l_linenumber", "pname",
                      F.floor((F.col("__pos") - 1) / F.lit(MAX_ITEMS)).cast("int").alias("chunk"))
-    return normal.unionByName(big)
+    return normal.drop("__u").unionByName(big)
 
 
 def packed_names(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
     """``id, chunk, ts, allnames`` - one packed name list per order (chunk)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
+                                                 F.monotonically_increasing_id().alias("__u"))
     part = table(spark, sf_dir, "part").select(
         "p_partkey", F.concat_ws(" ", "p_name", "p_brand").alias("pname"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    items = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "l_linenumber", "pname")
+    items = li.join(part, li.l_partkey == part.p_partkey).select("l_orderkey", "l_linenumber", "pname", "__u")
     items = (_chunked_items(items)
              .groupBy("l_orderkey", "chunk")
              .agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "pname"))).alias("items")))
