@@ -36,10 +36,15 @@ def record_mentions(records: DataFrame) -> DataFrame:
 
 
 def start_rolling(spark: SparkSession, records: DataFrame, base: str, delay: str = "15 minutes",
-                  trigger: dict | None = None):
-    """Query 1: records -> exact rolling changelog folder."""
+                  trigger: dict | None = None, bucket_us: int = 60_000_000):
+    """Query 1: records -> exact rolling changelog folder.
+
+    ``bucket_us`` is the state bucket width (see
+    :class:`~mentionscope.streaming.rolling.RollingHourProcessor`): a minute
+    for live streams, an hour for replaying a sparse archive.
+    """
     mentions = srl.mention_stream(record_mentions(records), delay=delay)
-    return (srl.rolling_changelog_stream(mentions).writeStream.format("parquet")
+    return (srl.rolling_changelog_stream(mentions, bucket_us=bucket_us).writeStream.format("parquet")
             .option("path", os.path.join(base, "changelog"))
             .option("checkpointLocation", os.path.join(base, "ck-rolling"))
             .outputMode("append").trigger(**(trigger or {"processingTime": "1 second"})).start())

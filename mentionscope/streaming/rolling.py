@@ -10,9 +10,11 @@ Design (event time, exact):
 
 * the stream is keyed by name (``groupBy("name")`` hash-partitions names over
   all tasks; the state lives in the RocksDB state store, checkpointed);
-* pending changes are kept in a ``MapState`` keyed by event-time second; each
-  value holds that second's changes as three parallel arrays, so a batch
-  touches one state entry per (name, second), never a whole name at once;
+* pending changes are kept in a ``MapState`` keyed by event-time bucket (a
+  minute by default); each value holds that bucket's changes as three
+  parallel arrays, so a batch touches one state entry per (name, bucket),
+  never a whole name at once, and a name with nothing due is skipped after
+  one state read;
 * a change is applied only once the watermark has passed its time: rows
   older than the watermark are dropped as late by Spark, so everything that
   can still arrive is later than what was applied - the output equals the
@@ -51,83 +53,112 @@ OUTPUT_SCHEMA = "name string, id long, t_us long, delta int, count long"
 
 
 class RollingHourProcessor(StatefulProcessor):
-    """Per-name rolling count changelog; see the module docstring."""
+    """Per-name rolling count changelog; see the module docstring.
 
-    def __init__(self, span_us: int = HOUR_US):
+    Pending changes are grouped into event-time buckets of ``bucket_us``
+    (one ``MapState`` entry each, one timer per bucket). Every state call is a
+    round trip to the JVM, so the bucket width trades the number of calls
+    against the size of one entry: a minute keeps both small for live
+    streams; a replay of a sparse archive runs faster with an hour.
+    """
+
+    def __init__(self, span_us: int = HOUR_US, bucket_us: int = 60 * SECOND_US):
         self.span_us = span_us
+        self.bucket_us = bucket_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "count long")
+        # running count and the earliest pending bucket (None: nothing pending)
+        self.head = handle.getValueState("head", "count long, min_bucket long")
         self.pending = handle.getMapState(
-            "pending", "sec long", "t array<long>, delta array<int>, id array<long>")
+            "pending", "bucket long", "t array<long>, delta array<int>, id array<long>")
 
     # -- helpers -------------------------------------------------------------
-    def _add(self, t: np.ndarray, delta: np.ndarray, ids: np.ndarray) -> None:
-        secs = t // SECOND_US
-        for sec in np.unique(secs):
-            sel = secs == sec
-            old = self.pending.getValue((int(sec),))
+    def _load(self):
+        h = self.head.get()
+        return (h[0], h[1]) if h else (0, None)
+
+    def _add(self, t: np.ndarray, delta: np.ndarray, ids: np.ndarray, min_bucket):
+        buckets = t // self.bucket_us
+        for b in np.unique(buckets):
+            sel = buckets == b
+            key = (int(b),)
+            old = self.pending.getValue(key)
             if old is not None:
                 nt = list(old[0]) + t[sel].tolist()
                 nd = list(old[1]) + delta[sel].tolist()
                 ni = list(old[2]) + ids[sel].tolist()
             else:
                 nt, nd, ni = t[sel].tolist(), delta[sel].tolist(), ids[sel].tolist()
-            self.pending.updateValue((int(sec),), (nt, nd, ni))
-            self.handle.registerTimer(int(sec) * 1000 + 1000)
-
-    def _apply_due(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
-        if watermark_ms <= 0:
-            return
+                # fires once the whole bucket is behind the watermark
+                self.handle.registerTimer((int(b) + 1) * (self.bucket_us // 1000))
+            self.pending.updateValue(key, (nt, nd, ni))
+            min_bucket = int(b) if min_bucket is None else min(min_bucket, int(b))
+        return min_bucket
+
+    def _apply_due(self, key, watermark_ms: int, running: int, min_bucket):
+        """Apply every pending change older than the watermark, in order."""
         wm_us = watermark_ms * 1000
-        due_secs = sorted(k[0] for k in self.pending.keys() if k[0] * SECOND_US < wm_us)
-        if not due_secs:
-            return
-        state = self.count.get()
-        running = state[0] if state else 0
-        name = key[0]
-        out = []
-        for sec in due_secs:
-            v = self.pending.getValue((sec,))
+        if watermark_ms <= 0 or min_bucket is None or min_bucket * self.bucket_us >= wm_us:
+            return running, min_bucket, None, False
+        keys = sorted(k[0] for k in self.pending.keys())
+        out, left = [], []
+        for b in keys:
+            if b * self.bucket_us >= wm_us:
+                left.append(b)
+                continue
+            v = self.pending.getValue((b,))
             t = np.asarray(v[0], dtype=np.int64)
             d = np.asarray(v[1], dtype=np.int32)
             i = np.asarray(v[2], dtype=np.int64)
             now = t < wm_us
-            if not now.any():
-                continue
             if not now.all():
-                self.pending.updateValue((sec,), (t[~now].tolist(), d[~now].tolist(), i[~now].tolist()))
+                self.pending.updateValue((b,), (t[~now].tolist(), d[~now].tolist(), i[~now].tolist()))
+                left.append(b)
                 t, d, i = t[now], d[now], i[now]
             else:
-                self.pending.removeKey((sec,))
+                self.pending.removeKey((b,))
+            if not len(t):
+                continue
             order = np.lexsort((i, d, t))
             t, d, i = t[order], d[order], i[order]
             counts = running + np.cumsum(d.astype(np.int64))
             running = int(counts[-1])
-            out.append(pd.DataFrame({"name": name, "id": i, "t_us": t, "delta": d, "count": counts}))
-        if not out:
-            return
-        if running == 0 and not any(True for _ in self.pending.keys()):
-            self.count.clear()
+            out.append(pd.DataFrame({"name": key[0], "id": i, "t_us": t, "delta": d, "count": counts}))
+        min_bucket = min(left) if left else None
+        return running, min_bucket, (pd.concat(out, ignore_index=True) if out else None), True
+
+    def _store(self, running: int, min_bucket) -> None:
+        if running == 0 and min_bucket is None:
+            self.head.clear()
         else:
-            self.count.update((running,))
-        yield pd.concat(out, ignore_index=True)
+            self.head.update((running, min_bucket))
 
     # -- API -----------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        running, min_bucket = self._load()
         for pdf in rows:
             t = pdf["t_us"].to_numpy(dtype=np.int64)
             ids = pdf["id"].to_numpy(dtype=np.int64)
             n = len(t)
-            self._add(np.concatenate([t, t + self.span_us]),
-                      np.concatenate([np.ones(n, np.int32), -np.ones(n, np.int32)]),
-                      np.concatenate([ids, ids]))
-        yield from self._apply_due(key, timerValues.getCurrentWatermarkInMs())
+            min_bucket = self._add(np.concatenate([t, t + self.span_us]),
+                                   np.concatenate([np.ones(n, np.int32), -np.ones(n, np.int32)]),
+                                   np.concatenate([ids, ids]), min_bucket)
+        running, min_bucket, out, _ = self._apply_due(key, timerValues.getCurrentWatermarkInMs(),
+                                                      running, min_bucket)
+        self._store(running, min_bucket)
+        if out is not None:
+            yield out
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._apply_due(key, timerValues.getCurrentWatermarkInMs())
+        running, min_bucket = self._load()
+        running, min_bucket, out, scanned = self._apply_due(key, timerValues.getCurrentWatermarkInMs(),
+                                                            running, min_bucket)
+        if scanned:
+            self._store(running, min_bucket)
+        if out is not None:
+            yield out
 
     def close(self) -> None:
         pass
@@ -142,13 +173,14 @@ def mention_stream(stream: DataFrame, ts: str = "ts", name: str = "name", id_col
                   .withColumn("t_us", F.unix_micros("ts")))
 
 
-def rolling_changelog_stream(mentions: DataFrame, span_us: int = HOUR_US) -> DataFrame:
+def rolling_changelog_stream(mentions: DataFrame, span_us: int = HOUR_US,
+                             bucket_us: int = 60 * SECOND_US) -> DataFrame:
     """ST2/ST3: exact rolling changelog ``name, id, t, delta, count`` (append mode).
 
     ``mentions`` must come from :func:`mention_stream` (watermarked).
     """
     out = (mentions.groupBy("name")
-                   .transformWithStateInPandas(RollingHourProcessor(span_us), OUTPUT_SCHEMA,
+                   .transformWithStateInPandas(RollingHourProcessor(span_us, bucket_us), OUTPUT_SCHEMA,
                                                "append", "EventTime"))
     return out.select("name", "id", F.timestamp_micros("t_us").alias("t"), "delta", "count")
 

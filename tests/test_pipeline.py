@@ -47,7 +47,8 @@ def test_streaming_pipeline_equals_batch(spark, scratch):
 
     base = os.path.join(scratch, "run")
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(inp, "*"))
-    q1 = pipeline.start_rolling(spark, src, base, delay="0 seconds", trigger={"availableNow": True})
+    q1 = pipeline.start_rolling(spark, src, base, delay="0 seconds", trigger={"availableNow": True},
+                                bucket_us=3_600_000_000)
     q1.awaitTermination(600)
     got = spark.read.parquet(os.path.join(base, "changelog")).where("name <> '__sentinel__'")
     m = pipeline.record_mentions(records)

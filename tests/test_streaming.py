@@ -21,9 +21,10 @@ def _events(spark, name="event_type"):
     return ev, ev.toPandas().sort_values(["ts", "id"]).reset_index(drop=True)
 
 
-def _run_rolling(spark, src_glob, schema, ckpt, delay="0 seconds", table="chg"):
+def _run_rolling(spark, src_glob, schema, ckpt, delay="0 seconds", bucket_us=60_000_000):
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src_glob)
-    out = srl.rolling_changelog_stream(srl.mention_stream(src, delay=delay)).where(F.col("name") != "__sentinel__")
+    out = (srl.rolling_changelog_stream(srl.mention_stream(src, delay=delay), bucket_us=bucket_us)
+           .where(F.col("name") != "__sentinel__"))
     q = (out.writeStream.format("parquet").option("path", os.path.join(ckpt, "out"))
          .option("checkpointLocation", os.path.join(ckpt, "ck")).outputMode("append")
          .trigger(availableNow=True).start())
@@ -53,7 +54,8 @@ def test_rolling_stream_out_of_order_within_delay(spark, scratch):
     far = [s.assign(ts=s.ts + pd.Timedelta(days=6)) for s in sentinels(pdf.ts.max())]
     for i, s in enumerate(far):
         write_files(spark, s, ev.schema, os.path.join(scratch, "in"), 1, start=100 + i)
-    _run_rolling(spark, os.path.join(scratch, "in", "*"), ev.schema, scratch, delay="4 days")
+    _run_rolling(spark, os.path.join(scratch, "in", "*"), ev.schema, scratch, delay="4 days",
+                 bucket_us=3_600_000_000)
     got = spark.read.parquet(os.path.join(scratch, "out"))
     exp = rolling.rolling_changelog(ev, ts="ts", key="name", id_col="id")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
@@ -64,11 +66,11 @@ def test_rolling_stream_recovers_from_checkpoint(spark, scratch):
     chunks = np.array_split(pdf, 4)
     inp = os.path.join(scratch, "in")
     write_files(spark, pd.concat(chunks[:2]), ev.schema, inp, 2)
-    _run_rolling(spark, os.path.join(inp, "*"), ev.schema, scratch)       # stop after two files
+    _run_rolling(spark, os.path.join(inp, "*"), ev.schema, scratch, bucket_us=3_600_000_000)  # two files
     write_files(spark, pd.concat(chunks[2:]), ev.schema, inp, 2, start=2)
     for i, s in enumerate(sentinels(pdf.ts.max())):
         write_files(spark, s, ev.schema, inp, 1, start=100 + i)
-    _run_rolling(spark, os.path.join(inp, "*"), ev.schema, scratch)       # restart, same checkpoint
+    _run_rolling(spark, os.path.join(inp, "*"), ev.schema, scratch, bucket_us=3_600_000_000)  # restart
     got = spark.read.parquet(os.path.join(scratch, "out"))
     exp = rolling.rolling_changelog(ev, ts="ts", key="name", id_col="id")
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
