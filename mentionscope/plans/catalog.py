@@ -32,8 +32,14 @@ REGISTRY: dict[str, Registered] = {}
 
 
 def register(name: str, sql: str | None):
+    """Register a query; it always runs with the session time zone pinned to
+    UTC (event-time arithmetic is in UTC, like the oracle's TIMESTAMP)."""
     def deco(fn):
-        REGISTRY[name] = Registered(fn, sql)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        REGISTRY[name] = Registered(run, sql)
         return fn
     return deco
 
