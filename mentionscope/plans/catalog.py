@@ -160,7 +160,7 @@ counts AS (SELECT day, name, count(*) AS mentions FROM m GROUP BY day, name),
 ranked AS (SELECT day, name, mentions,
                   row_number() OVER (PARTITION BY day ORDER BY mentions DESC, name ASC) AS rank
            FROM counts)
-SELECT day, to_json(list({{'name': name, 'mentions': mentions}} ORDER BY rank)) AS top_json
+SELECT day, CAST(to_json(list({{'name': name, 'mentions': mentions}} ORDER BY rank)) AS VARCHAR) AS top_json
 FROM ranked WHERE rank <= 10 GROUP BY day""")
 def a3_daily_top_lists(spark, sf_dir):
     """A3 + P12: per day the ordered top-10 list (as JSON text)."""
@@ -411,7 +411,7 @@ def a5_board_minimum(spark, sf_dir):
 @register("k4_board_messages", f"""
 WITH {q.boards_cte(100).lstrip()}
 SELECT bucket, CAST(0 AS INTEGER) AS chunk, count(*) AS n_entries,
-       to_json(list({{'name': name, 'count': count}} ORDER BY rank)) AS message
+       CAST(to_json(list({{'name': name, 'count': count}} ORDER BY rank)) AS VARCHAR) AS message
 FROM board GROUP BY bucket""")
 def k4_board_messages(spark, sf_dir):
     """Each hourly board as one JSON array message, in rank order."""
@@ -427,7 +427,7 @@ e AS (SELECT time_bucket(INTERVAL 1 SECOND, t) AS slot, name,
       FROM ch GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY first_seq) AS pos FROM e)
 SELECT slot, CAST((pos - 1) // 1000 AS INTEGER) AS chunk, count(*) AS n_entries,
-       to_json(list({{'name': name, 'count': count}} ORDER BY pos)) AS message
+       CAST(to_json(list({{'name': name, 'count': count}} ORDER BY pos)) AS VARCHAR) AS message
 FROM r GROUP BY 1, 2""")
 def k5_conflated_feed(spark, sf_dir):
     """K5: per second, the last count of each changed name in first-seen order."""

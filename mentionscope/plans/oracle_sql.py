@@ -63,7 +63,7 @@ def rdd_parsed_cte(grain: str = "day", needs_day: bool = True) -> str:
 fields AS (
   SELECT id, value, string_split(rtrim(value, {TAB}), {TAB}) AS f FROM lines),
 acc AS (
-  SELECT id, split_part(value, {TAB}, 1) AS key, len(f) AS n_fields,
+  SELECT id, split_part(value, {TAB}, 1) AS key, CAST(len(f) AS INTEGER) AS n_fields,
          {day_from_stamp_sql('f[2]')} AS day, f[24] AS allnames
   FROM fields
   WHERE len(f) > 23 AND {day_ok})"""

@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 from mentionscope.sources.fixtures import TABLES  # noqa: E402
-from oracle_check import norm  # noqa: E402
+from oracle_check import norm, type_mismatches  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +37,7 @@ def test_query_matches_oracle(spark, con, name):
     got = sorted((tuple(norm(v) for v in r) for r in df.collect()), key=repr)
     rel = con.sql(E.oracle_sql()[name])
     assert sorted(cols) == sorted(rel.columns)
+    assert type_mismatches(df, rel) == []
     order = [rel.columns.index(c) for c in cols]
     want = sorted((tuple(norm(r[i]) for i in order) for r in rel.fetchall()), key=repr)
     assert len(got) == len(want)
