@@ -53,6 +53,7 @@ ranked AS (SELECT day, name, mentions,
            FROM counts)
 SELECT day, name, mentions, rank FROM ranked WHERE rank <= 10""")
 def t1_daily_top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 (flagship, entry A): the ten most-mentioned names per day, lenient reading."""
     lines = fx.article_lines(spark, sf_dir, grain="month")
     return topk.daily_top_names(articles.mentions(lines, "rdd"), k=10)
 
@@ -62,8 +63,6 @@ def ntz(c):
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
-
-
 def _lines(spark, sf_dir, grain="day"):
     return fx.article_lines(spark, sf_dir, grain)
 

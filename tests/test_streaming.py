@@ -5,7 +5,6 @@ import os
 
 import numpy as np
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
