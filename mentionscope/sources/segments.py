@@ -53,6 +53,15 @@ def new_segments(listed: DataFrame, seen: DataFrame, file: str = "file_name") ->
     return listed.join(seen.select(file).distinct(), on=file, how="left_anti")
 
 
+def after_high_water_mark(listed: DataFrame, last_file: str, file: str = "file_name") -> DataFrame:
+    """S7 (the feed's original rule, F12): only names after the newest file seen.
+
+    Kept for comparison: a segment that arrives after a newer one was already
+    taken is skipped here, while :func:`new_segments` still reports it.
+    """
+    return listed.where(F.col(file) > F.lit(last_file))
+
+
 def last_key(log: DataFrame, key: str = "key", offset: str = "offset",
              default: str = DEFAULT_LAST_KEY) -> DataFrame:
     """Key of the last record of a log, or the default when it is empty."""

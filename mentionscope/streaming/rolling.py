@@ -173,6 +173,17 @@ def mention_stream(stream: DataFrame, ts: str = "ts", name: str = "name", id_col
                   .withColumn("t_us", F.unix_micros("ts")))
 
 
+def dropped_late_rows(query) -> int:
+    """ST6: rows dropped as late (older than the watermark), summed over the
+    stateful operators of the query's recent progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
+            total += n or 0
+    return total
+
+
 def rolling_changelog_stream(mentions: DataFrame, span_us: int = HOUR_US,
                              bucket_us: int = 60 * SECOND_US) -> DataFrame:
     """ST2/ST3: exact rolling changelog ``name, id, t, delta, count`` (append mode).

@@ -132,3 +132,37 @@ def test_leaderboard_replay_matches_incremental_rule(spark, scratch):
     assert all(snap[k] == v for k, v in on_board.items())
     msgs = spark.read.parquet(os.path.join(scratch, "feed", "messages"))
     assert msgs.count() >= 1 and msgs.agg(F.max("n_entries")).first()[0] <= 2 * 10
+
+
+def test_late_rows_are_dropped_and_reported(spark, scratch):
+    ev, pdf = _events(spark)
+    inp = os.path.join(scratch, "in")
+    write_files(spark, pdf, ev.schema, inp, 2)
+    late = pdf.head(3).assign(id=pdf.id.max() + 1 + np.arange(3))      # far older than the watermark
+    write_files(spark, late, ev.schema, inp, 1, start=10)
+    src = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(inp, "*"))
+    out = srl.rolling_changelog_stream(srl.mention_stream(src, delay="1 hour"), bucket_us=3_600_000_000)
+    q = (out.writeStream.format("parquet").option("path", os.path.join(scratch, "out"))
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert srl.dropped_late_rows(q) == 3
+    got = spark.read.parquet(os.path.join(scratch, "out"))
+    assert got.where(F.col("id") > int(pdf.id.max())).count() == 0
+
+
+def test_leaderboard_recovers_from_checkpoint(spark, scratch):
+    users = fx.event_mentions(spark, SF_SMALL, "user_id")
+    ch = rolling.rolling_changelog(users, ts="ts", key="name", id_col="id")
+    pdf = ch.toPandas().sort_values(["t", "delta", "id"]).reset_index(drop=True)
+    parts = np.array_split(pdf, 5)
+    one = os.path.join(scratch, "one")            # uninterrupted run
+    write_files(spark, pdf, ch.schema, os.path.join(one, "ch"), 5)
+    _run_board(spark, one, ch.schema, n=10)
+    two = os.path.join(scratch, "two")            # stop after two files, restart with three more
+    write_files(spark, pd.concat(parts[:2]), ch.schema, os.path.join(two, "ch"), 2)
+    _run_board(spark, two, ch.schema, n=10)
+    write_files(spark, pd.concat(parts[2:]), ch.schema, os.path.join(two, "ch"), 3, start=2)
+    _run_board(spark, two, ch.schema, n=10)
+    b1 = sboard.current_board(spark, os.path.join(one, "state")).collect()
+    b2 = sboard.current_board(spark, os.path.join(two, "state")).collect()
+    assert sorted(b1) == sorted(b2) and len(b1) == 10

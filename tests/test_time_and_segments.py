@@ -70,3 +70,19 @@ def test_record_id_parse(spark):
     df = spark.createDataFrame([("20150218230000-7",), ("20150218230000-T12",), ("x",), ("1-2-3",)], "k string")
     a, b = parse_record_id("k")
     assert [tuple(r) for r in df.select(a, b).collect()] == [(20150218230000, 7), (0, 0), (0, 0), (0, 0)]
+
+
+def test_high_water_mark_skips_late_file(spark):
+    listed = spark.createDataFrame([("20150218230000.gkg.csv",), ("20150218231500.gkg.csv",)], "file_name string")
+    hwm = [r[0] for r in segments.after_high_water_mark(listed, "20150218230000.gkg.csv").collect()]
+    assert hwm == ["20150218231500.gkg.csv"]
+    # the earlier file arrives late: the high-water mark never reports it, the anti-join does
+    seen = spark.createDataFrame([("20150218231500.gkg.csv",)], "file_name string")
+    assert segments.after_high_water_mark(listed, "20150218231500.gkg.csv").count() == 0
+    assert [r[0] for r in segments.new_segments(listed, seen).collect()] == ["20150218230000.gkg.csv"]
+
+
+def test_day_string(spark):
+    from mentionscope.functions.names import day_string
+    df = spark.createDataFrame([(ts("2015-02-18 23:59:59"),)], "t timestamp")
+    assert df.select(day_string("t")).first()[0] == "2015-02-18"
