@@ -48,12 +48,19 @@ def record_frame(lines: DataFrame, value: str = "value", event_ts: str = "event_
 
 def kafka_record_stream(spark: SparkSession, servers: str, topic: str,
                         starting_offsets: str = "earliest") -> DataFrame:
-    """``key, value, ts`` from a topic (S9 uses ``starting_offsets="latest"``)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", starting_offsets).option("includeHeaders", "true").load()
-            .selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value",
-                        "timestamp AS ts", "headers"))
+    """``key, value, event_ts`` from a topic (S9 uses ``starting_offsets="latest"``).
+
+    The event time is the ``event_ts_ms`` header written by :func:`record_frame`
+    when present, else the record's own timestamp - the same contract the
+    pipeline reads from file replays.
+    """
+    raw = (spark.readStream.format("kafka")
+           .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
+           .option("startingOffsets", starting_offsets).option("includeHeaders", "true").load())
+    hdr = F.filter("headers", lambda h: h["key"] == "event_ts_ms")
+    from_header = F.timestamp_millis(F.get(hdr, 0)["value"].cast("string").try_cast("long"))
+    return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                      F.coalesce(from_header, F.col("timestamp")).alias("event_ts"))
 
 
 def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, mode: str = "append"):
