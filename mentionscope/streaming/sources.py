@@ -57,6 +57,12 @@ def kafka_record_stream(spark: SparkSession, servers: str, topic: str,
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
            .option("startingOffsets", starting_offsets).option("includeHeaders", "true").load())
+    return decode_records(raw)
+
+
+def decode_records(raw: DataFrame) -> DataFrame:
+    """Kafka source rows (binary key/value, ``timestamp``, ``headers``) ->
+    ``key, value, event_ts``."""
     hdr = F.filter("headers", lambda h: h["key"] == "event_ts_ms")
     from_header = F.timestamp_millis(F.get(hdr, 0)["value"].cast("string").try_cast("long"))
     return raw.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),

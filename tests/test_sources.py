@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from mentionscope.operators import articles, topk
 from mentionscope.schema import ARTICLE_SCHEMA, read_header_table, schema_from_header_table
 from mentionscope.sources import text
-from mentionscope.streaming.sources import changelog_value, record_frame
+from mentionscope.streaming.sources import changelog_value, decode_records, record_frame
 
 
 def _line(stamp, names, n=27):
@@ -58,3 +58,16 @@ def test_record_frame_contract(spark):
     assert r["headers"][0]["key"] == "event_ts_ms" and bytes(r["headers"][0]["value"]) == b"1424300400000"
     c = changelog_value(spark.createDataFrame([("A", 3)], "name string, count long")).first()
     assert (c["key"], c["value"]) == ("A", "3")
+
+
+def test_topic_record_round_trip(spark):
+    """record_frame -> (what the Kafka source returns) -> decode_records keeps key, value, event time."""
+    df = spark.createDataFrame([("20150218230000-1\tx", "2015-02-18 23:00:01.250")], "value string, event_ts string")
+    rec = record_frame(df.withColumn("event_ts", F.to_timestamp("event_ts")))
+    as_source = rec.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                           F.current_timestamp().alias("timestamp"), "headers")
+    r = decode_records(as_source).first()
+    assert r["key"] == "20150218230000-1" and r["value"] == "20150218230000-1\tx"
+    assert r["event_ts"].strftime("%H:%M:%S.%f") == "23:00:01.250000"
+    no_hdr = as_source.withColumn("headers", F.array().cast("array<struct<key:string,value:binary>>"))
+    assert decode_records(no_hdr).first()["event_ts"] is not None     # falls back to the record time
