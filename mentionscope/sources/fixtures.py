@@ -48,13 +48,15 @@ MAX_ITEMS = 10_000          # names packed into one article at most
 
 def _chunked_items(items: DataFrame) -> DataFrame:
     """``l_orderkey, chunk, l_linenumber, pname``; chunk 0 unless the order is huge."""
-    sizes = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    # No hint: AQE broadcasts the hot list only when its measured size is
-    # small; otherwise a sort-merge semi/anti join whose skew handling splits
-    # a hot order's partition over several tasks.
-    hot = sizes.where(F.col("n") > MAX_ITEMS).select("l_orderkey")
-    normal = items.join(hot, "l_orderkey", "left_anti").withColumn("chunk", F.lit(0))
-    big = items.join(hot, "l_orderkey", "left_semi")
+    # Order sizes by a partial/final count, attached with one join (no hint:
+    # AQE broadcasts the sizes when it measures them small, otherwise a
+    # sort-merge join whose skew handling splits a hot order's partition).
+    # Both branches below read the same join, so its exchanges are reused.
+    sizes = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__n"))
+    sized = items.join(sizes, "l_orderkey")
+    normal = sized.where(F.col("__n") <= MAX_ITEMS).select(
+        "l_orderkey", "l_linenumber", "pname", F.lit(0).alias("chunk"))
+    big = sized.where(F.col("__n") > MAX_ITEMS)
     # ``__u`` was assigned at the scan (fixed splits and row order), so every
     # branch and every task retry sees the same tie order; identical (line,
     # name) rows are interchangeable, so the chunks do not depend on it.
@@ -63,7 +65,7 @@ def _chunked_items(items: DataFrame) -> DataFrame:
         [F.col("l_linenumber"), F.col("pname"), F.col("__u")], "__pos")
     big = big.select("l_orderkey", "l_linenumber", "pname",
                      F.floor((F.col("__pos") - 1) / F.lit(MAX_ITEMS)).cast("int").alias("chunk"))
-    return normal.drop("__u").unionByName(big)
+    return normal.unionByName(big)
 
 
 def packed_names(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
