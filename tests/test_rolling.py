@@ -81,3 +81,41 @@ def test_sliding_counts(spark):
     out = rolling.sliding_counts(mentions(spark)).where("name = 'B'").orderBy("window_start").collect()
     assert [(r["window_start"].strftime("%H:%M"), r["count"]) for r in out] == [
         ("23:30", 1), ("23:45", 1), ("00:00", 1), ("00:15", 1)]
+
+
+# ---- property: equal times, many names, buckets narrower than the span -------
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+BASE = dt.datetime(2024, 1, 1)
+
+
+def brute_changelog(rows, span_s=3600):
+    """Model: sort each name's +1/-1 changes by (t, delta, id) and add them up."""
+    out = {}
+    for name in {r[1] for r in rows}:
+        ch = sorted([(ts, 1, i) for i, n, ts in rows if n == name] +
+                    [(ts + span_s, -1, i) for i, n, ts in rows if n == name])
+        c = 0
+        for t_, d, i in ch:
+            c += d
+            out[(name, i, t_, d)] = c
+    return out
+
+
+def brute_counts(rows, span_s=3600):
+    return {i: sum(1 for _, n2, t2 in rows if n2 == n and ts - span_s <= t2 <= ts) for i, n, ts in rows}
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ABC"), st.integers(0, 3 * 3600).map(lambda x: x - x % 600)),
+                min_size=1, max_size=120))
+def test_changelog_and_counts_match_brute_force(spark, pairs):
+    rows = [(i, n, s) for i, (n, s) in enumerate(pairs)]          # times on a 10-minute grid: many ties
+    df = spark.createDataFrame([(i, n, BASE + dt.timedelta(seconds=s)) for i, n, s in rows],
+                               "id long, name string, ts timestamp")
+    got = {(r["name"], r["id"], int((r["t"] - BASE).total_seconds()), r["delta"]): r["count"]
+           for r in rolling.rolling_changelog(df, bucket_us=1_200_000_000).collect()}
+    assert got == brute_changelog(rows)
+    cnt = {r["id"]: r["count"] for r in rolling.rolling_counts(df, bucket_us=1_200_000_000).collect()}
+    assert cnt == brute_counts(rows)
