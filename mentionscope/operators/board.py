@@ -85,9 +85,20 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     merged = cand.unionByName(rest)
     # At most 2n rows: a single ordered window is bounded here.
     ranked = merged.withColumn("__r", F.row_number().over(Window.orderBy(*order)))
-    seats = ranked.where(F.col("__r") <= n)
-    new_board = seats.select(key, value)
-    changed = seats.where("__in_batch").select(key, value, F.lit(False).alias("tombstone"))
-    evicted = (old.select(key).join(new_board.select(key), on=key, how="left_anti")
+    new_board = ranked.where(F.col("__r") <= n).select(key, value)
+    return new_board, board_changes(old, new_board, batch_latest, key, value)
+
+
+def board_changes(old: DataFrame, new_board: DataFrame, batch_latest: DataFrame,
+                  key: str = "name", value: str = "count") -> DataFrame:
+    """What one board step publishes: the batch's names that hold a seat on the
+    new board, and a 0 tombstone for each incumbent that lost its seat.
+
+    ``old`` and ``new_board`` are at most ``n`` rows each (broadcast).
+    """
+    nb = F.broadcast(new_board.select(key, value))
+    changed = (nb.join(batch_latest.select(key), on=key, how="left_semi")
+                 .select(key, value, F.lit(False).alias("tombstone")))
+    evicted = (old.select(key).join(F.broadcast(new_board.select(key)), on=key, how="left_anti")
                   .select(key, F.lit(0).cast("bigint").alias(value), F.lit(True).alias("tombstone")))
-    return new_board, changed.unionByName(evicted)
+    return changed.unionByName(evicted)

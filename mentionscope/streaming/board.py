@@ -20,10 +20,11 @@ for a new subscriber (K6) is the latest value per name over the feed.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.board import board_step
+from ..operators.board import board_changes, board_step
 from ..operators.feed import json_messages, snapshot
 
 BOARD_SCHEMA = "name string, count long"
@@ -70,12 +71,25 @@ class LeaderboardWriter:
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         seq = F.struct("t", "delta", "id")
+        # Used three times below: kept for the duration of this batch only
+        # (recomputed from the batch's input if an executor is lost).
         latest = (batch.groupBy("name")
-                       .agg(F.max_by("count", seq).alias("count"), F.min(seq).alias("first")))
+                       .agg(F.max_by("count", seq).alias("count"), F.min(seq).alias("first"))
+                       .persist(StorageLevel.MEMORY_AND_DISK))
+        try:
+            self._step(spark, latest, epoch_id)
+        finally:
+            latest.unpersist()
+        self._prune(spark, epoch_id)
+
+    def _step(self, spark: SparkSession, latest: DataFrame, epoch_id: int) -> None:
         old = self.previous_board(spark, epoch_id)
-        new_board, changes = board_step(old, latest.select("name", "count"), self.n)
+        new_board, _ = board_step(old, latest.select("name", "count"), self.n)
         # The new board is at most n rows: one file per epoch.
-        new_board.coalesce(1).write.mode("overwrite").parquet(f"{self.board_dir}/epoch={epoch_id}")
+        board_path = f"{self.board_dir}/epoch={epoch_id}"
+        new_board.coalesce(1).write.mode("overwrite").parquet(board_path)
+        stored = spark.read.schema(BOARD_SCHEMA).parquet(board_path)
+        changes = board_changes(old, stored, latest.select("name"))
 
         # Tombstones first (an eviction precedes the admission that caused it),
         # then the batch's changes in first-seen order. The epoch is the folder.
@@ -91,7 +105,6 @@ class LeaderboardWriter:
         msgs = json_messages(written, ["epoch"], ["__late", "first_t", "first_delta", "first_id", "name"],
                              "name", "count")
         msgs.drop("epoch").write.mode("overwrite").parquet(f"{self.feed_dir}/messages/epoch={epoch_id}")
-        self._prune(spark, epoch_id)
 
     def _prune(self, spark: SparkSession, epoch_id: int) -> None:
         """Drop stored boards older than the last ``keep_epochs`` (they are never read again)."""
