@@ -8,5 +8,5 @@ from .names import (  # noqa: F401
 )
 from .timefuncs import (  # noqa: F401
     stamp_minute, floor_segment, next_segment, last_full_segment, segment_name,
-    segment_key, segment_window,
+    segment_key, segment_window, segment_start_from_file,
 )

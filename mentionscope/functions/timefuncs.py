@@ -52,6 +52,12 @@ def segment_name(ts) -> Column:
     return F.concat(F.date_format(_c(ts), SEGMENT_NAME_PATTERN), F.lit(SEGMENT_EXTENSION))
 
 
+def segment_start_from_file(file) -> Column:
+    """Inverse of F9: the start time encoded in a segment file name (NULL if none)."""
+    stamp = F.regexp_extract(_c(file), r"([0-9]{14})\.gkg\.csv$", 1)
+    return F.when(stamp != "", F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")))
+
+
 def segment_key(ts, prefix: str = SEGMENT_PREFIX) -> Column:
     """F16: object key = prefix + file name."""
     return F.concat(F.lit(prefix), segment_name(ts))

@@ -1,6 +1,7 @@
 """Quarter-hour arithmetic, segment lists and event-time spread (FIXTURES §4.3, §4.4)."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -86,3 +87,22 @@ def test_day_string(spark):
     from mentionscope.functions.names import day_string
     df = spark.createDataFrame([(ts("2015-02-18 23:59:59"),)], "t timestamp")
     assert df.select(day_string("t")).first()[0] == "2015-02-18"
+
+
+def test_event_time_spread_over_text_segments(spark, scratch):
+    """E1 on real segment files: line order from the scan, start from the file name."""
+    from mentionscope.sources.text import read_lines
+    seg = os.path.join(scratch, "segment")
+    os.makedirs(seg)
+    for name, n in (("20150218230000.gkg.csv", 4), ("20150218231500.gkg.csv", 7)):
+        with open(os.path.join(seg, name), "w") as fh:
+            fh.write("\n".join(f"line{i}" for i in range(n)) + "\n")
+    lines = read_lines(spark, os.path.join(seg, "*.csv"), with_file=True)
+    lines = lines.withColumn("start", tf.segment_start_from_file("file"))
+    out = eventtime.spread_event_times(lines, "file", "pos", F.col("start"), bucket=F.col("split"))
+    got = {(r["file"], r["value"]): (r["line_no"], r["event_ts"].strftime("%H:%M:%S.%f")[:12]) for r in out.collect()}
+    a = "20150218230000.gkg.csv"
+    assert [got[(a, f"line{i}")] for i in range(4)] == [
+        (0, "23:00:00.000"), (1, "23:03:45.000"), (2, "23:07:30.000"), (3, "23:11:15.000")]
+    b = "20150218231500.gkg.csv"
+    assert got[(b, "line6")] == (6, "23:27:51.426")      # 23:15 + 6 * 128,571 ms
