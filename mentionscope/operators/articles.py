@@ -17,7 +17,7 @@ codegen stage next to the scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +26,8 @@ from ..functions.names import (
     NAME_DELIM, STOP_CONTAINS_DEFAULT, STOP_EXACT_DEFAULT, day_from_stamp, drop_empty,
     has_names_field, parse_stamp, record_key, split_names, tab_fields, tab_fields_all,
 )
+from ..schema import ARTICLE_SCHEMA, N_FIELDS, NAMES_INDEX, STAMP_INDEX
 from .sizing import is_small
-from ..schema import ARTICLE_SCHEMA, FIELD_NAMES, N_FIELDS, NAMES_INDEX, STAMP_INDEX
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,6 @@ class ReadRules:
     stop_contains: tuple = ()           # names removed when containing any of these
     delim: str = NAME_DELIM             # name-list delimiter pattern
     needs_day: bool = True              # reject lines whose day does not parse
-    extra: dict = field(default_factory=dict)
 
 
 # ---- fixed values: the three reading rules ---------------------------------
@@ -181,5 +180,3 @@ def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
         cols.append(c.alias(f.name))
     return lines.where(strict_valid(fa)).select(*cols)
 
-
-assert FIELD_NAMES[NAMES_INDEX] == "allnames"
