@@ -63,3 +63,17 @@ def test_streaming_pipeline_equals_batch(spark, scratch):
     latest = allch.groupBy("name").agg(F.max_by("count", F.struct("t", "delta", "id")).alias("count"))
     exact = latest.orderBy(F.desc("count"), "name").limit(25)
     assert sorted(board.collect()) == sorted(exact.collect())
+
+
+def test_daily_job_cli_with_lists(spark, scratch):
+    lines = fx.article_lines(spark, SF_SMALL, "month")
+    seg = os.path.join(scratch, "segments")
+    lines.select("value").coalesce(1).write.text(seg)
+    out = os.path.join(scratch, "lists")
+    daily.main([os.path.join(seg, "*.txt"), out, "--k", "3", "--lists", "--mode", "ds"])
+    got = spark.read.parquet(out)
+    assert set(got.columns) == {"day", "top"}
+    sizes = [len(r["top"]) for r in got.collect()]
+    assert sizes and max(sizes) <= 3
+    exp = daily.daily_top(lines, 3, "ds")
+    assert sum(sizes) == exp.count()
