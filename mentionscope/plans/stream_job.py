@@ -1,4 +1,4 @@
-"""The streaming pipeline, end to end (entry C of the survey).
+"""The streaming job, end to end (entry C of the survey).
 
 Query 1: record stream -> names (stream rule) -> exact rolling one-hour
 changelog (``transformWithStateInPandas``) -> changelog folder (append).

@@ -52,7 +52,7 @@ def kafka_record_stream(spark: SparkSession, servers: str, topic: str,
 
     The event time is the ``event_ts_ms`` header written by :func:`record_frame`
     when present, else the record's own timestamp - the same contract the
-    pipeline reads from file replays.
+    streaming job reads from file replays.
     """
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)

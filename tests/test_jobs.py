@@ -1,5 +1,5 @@
 """End-to-end jobs: the daily batch job writes day partitions; the streaming
-pipeline (article records -> rolling changelog -> leaderboard) equals its
+job (article records -> rolling changelog -> leaderboard) equals its
 batch twins on replayed records."""
 
 import os
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from mentionscope.functions import timefuncs as tf
 from mentionscope.operators import eventtime, rolling
-from mentionscope.plans import daily, pipeline
+from mentionscope.plans import daily, stream_job
 from mentionscope.sources import fixtures as fx
 from mentionscope.streaming import board as sboard
 from mentionscope.streaming.sources import record_frame
@@ -30,7 +30,7 @@ def test_daily_job_writes_day_partitions(spark, scratch):
     assert spark.read.parquet(os.path.join(scratch, "rej")).count() > 0
 
 
-def test_streaming_pipeline_equals_batch(spark, scratch):
+def test_streaming_job_equals_batch(spark, scratch):
     lines = fx.article_lines(spark, SF_SMALL, "day")
     stamp = F.split("value", "\t").getItem(1)
     seg = lines.withColumn("seg", tf.floor_segment(tf.stamp_minute(stamp)))
@@ -47,16 +47,16 @@ def test_streaming_pipeline_equals_batch(spark, scratch):
 
     base = os.path.join(scratch, "run")
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(inp, "*"))
-    q1 = pipeline.start_rolling(spark, src, base, delay="0 seconds", trigger={"availableNow": True},
+    q1 = stream_job.start_rolling(spark, src, base, delay="0 seconds", trigger={"availableNow": True},
                                 bucket_us=3_600_000_000)
     q1.awaitTermination(600)
     got = spark.read.parquet(os.path.join(base, "changelog")).where("name <> '__sentinel__'")
-    m = pipeline.record_mentions(records)
+    m = stream_job.record_mentions(records)
     exp = rolling.rolling_changelog(m, ts="ts", key="name", id_col="id")
     assert got.count() == exp.count() > 0
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
 
-    q2 = pipeline.start_board(spark, base, n=25, trigger={"availableNow": True})
+    q2 = stream_job.start_board(spark, base, n=25, trigger={"availableNow": True})
     q2.awaitTermination(600)
     board = sboard.current_board(spark, os.path.join(base, "state"))
     allch = spark.read.parquet(os.path.join(base, "changelog"))
