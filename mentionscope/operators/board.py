@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizing import bounded_broadcast
 from .topk import top_k_per_group
 
 
@@ -73,7 +74,7 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     (update or admission) plus a 0 for every incumbent that lost its seat
     (``tombstone`` marks the latter).
     """
-    inc = F.broadcast(old.select(key, F.col(value).alias("__old")))
+    inc = bounded_broadcast(old.select(key, F.col(value).alias("__old")), n)
     flagged = (batch_latest.select(key, F.col(value).alias(value))
                .join(inc, on=key, how="left")
                .withColumn("__incumbent", F.col("__old").isNotNull())
@@ -86,19 +87,19 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     # At most 2n rows: a single ordered window is bounded here.
     ranked = merged.withColumn("__r", F.row_number().over(Window.orderBy(*order)))
     new_board = ranked.where(F.col("__r") <= n).select(key, value)
-    return new_board, board_changes(old, new_board, batch_latest, key, value)
+    return new_board, board_changes(old, new_board, batch_latest, key, value, n)
 
 
 def board_changes(old: DataFrame, new_board: DataFrame, batch_latest: DataFrame,
-                  key: str = "name", value: str = "count") -> DataFrame:
+                  key: str = "name", value: str = "count", n: int = 100) -> DataFrame:
     """What one board step publishes: the batch's names that hold a seat on the
     new board, and a 0 tombstone for each incumbent that lost its seat.
 
     ``old`` and ``new_board`` are at most ``n`` rows each (broadcast).
     """
-    nb = F.broadcast(new_board.select(key, value))
+    nb = bounded_broadcast(new_board.select(key, value), n)
     changed = (nb.join(batch_latest.select(key), on=key, how="left_semi")
                  .select(key, value, F.lit(False).alias("tombstone")))
-    evicted = (old.select(key).join(F.broadcast(new_board.select(key)), on=key, how="left_anti")
+    evicted = (old.select(key).join(bounded_broadcast(new_board.select(key), n), on=key, how="left_anti")
                   .select(key, F.lit(0).cast("bigint").alias(value), F.lit(True).alias("tombstone")))
     return changed.unionByName(evicted)

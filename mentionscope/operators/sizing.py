@@ -14,3 +14,15 @@ from pyspark.sql import DataFrame
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+# ---- fixed values ------------------------------------------------------------
+MAX_BROADCAST_ROWS = 1_000_000   # largest row bound we hint as a broadcast
+# ---- end of fixed values -----------------------------------------------------
+
+
+def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
+    """Hint a broadcast for a side whose row count is bounded by construction
+    (e.g. a top-``n``); above ``MAX_BROADCAST_ROWS`` the planner decides."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if row_bound <= MAX_BROADCAST_ROWS else df

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizing import bounded_broadcast
+
 
 def count_mentions(m: DataFrame, keys: Sequence[str] = ("day", "name"),
                    out: str = "mentions") -> DataFrame:
@@ -72,7 +74,7 @@ def split_first_n(df: DataFrame, n: int, order: Sequence[str], flag: str = "in_h
     order = list(order)
     head = df.select(*order).orderBy(*order).limit(n).withColumn(flag, F.lit(True))
     # ``n`` rows at most: a broadcast of a bounded side.
-    return (df.join(F.broadcast(head), on=order, how="left")
+    return (df.join(bounded_broadcast(head, n), on=order, how="left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 

@@ -89,7 +89,7 @@ class LeaderboardWriter:
         board_path = f"{self.board_dir}/epoch={epoch_id}"
         new_board.coalesce(1).write.mode("overwrite").parquet(board_path)
         stored = spark.read.schema(BOARD_SCHEMA).parquet(board_path)
-        changes = board_changes(old, stored, latest.select("name"))
+        changes = board_changes(old, stored, latest.select("name"), n=self.n)
 
         # Tombstones first (an eviction precedes the admission that caused it),
         # then the batch's changes in first-seen order. The epoch is the folder.
