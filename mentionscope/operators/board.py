@@ -9,8 +9,10 @@ Two forms:
 * incremental (:func:`board_step`): the micro-batch form used by the
   streaming leaderboard. The old board (at most ``n`` rows) and the latest
   values of the batch are merged; incumbents win ties for the last seat (a
-  newcomer must be strictly greater than the minimum, the reference rule),
-  then the board is cut at ``n``. Names that leave get a 0 tombstone.
+  newcomer must be strictly greater than the minimum), and among incumbents
+  tied at the minimum the first in name order leaves - the per-record rule,
+  which one record per batch reproduces exactly. Names that leave get a 0
+  tombstone.
 """
 
 from __future__ import annotations
@@ -79,7 +81,13 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
                .join(inc, on=key, how="left")
                .withColumn("__incumbent", F.col("__old").isNotNull())
                .withColumn("__in_batch", F.lit(True)))
-    order = [F.desc(value), F.desc("__incumbent"), F.asc(key)]
+    # Seats go by count; at equal count incumbents stay ahead of newcomers (a
+    # newcomer must be strictly greater). Among incumbents tied at the bottom,
+    # the first name in name order is the one that leaves (names descending);
+    # newcomers tied with each other are taken in name order.
+    order = [F.desc(value), F.desc("__incumbent"),
+             F.when(F.col("__incumbent"), F.col(key)).desc_nulls_last(),
+             F.when(~F.col("__incumbent"), F.col(key)).asc_nulls_last()]
     cand = flagged.orderBy(*order).limit(n).drop("__old")
     rest = (old.join(batch_latest.select(key), on=key, how="left_anti")
                .select(key, value, F.lit(True).alias("__incumbent"), F.lit(False).alias("__in_batch")))

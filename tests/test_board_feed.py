@@ -98,3 +98,42 @@ def test_leaderboard_epoch_replay_is_idempotent(spark, scratch):
     assert first == again
     assert sorted((r["name"], r["count"]) for r in first[0]) == [("B", 2), ("C", 5)]
     assert {(r["name"], r["count"], r["tombstone"]) for r in first[1]} == {("C", 5, False), ("A", 0, True)}
+
+
+# ---- property: one record per batch reproduces the per-record admission rule --
+from hypothesis import example, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def per_record_model(records, n):
+    """Model of the per-record rule: update if present; add if room; else replace
+    the minimum (the first in name order among equal minimums) only if strictly
+    greater; an evicted name is published as 0."""
+    board, msgs = {}, []
+    for name, count in records:
+        if name in board or len(board) < n:
+            board[name] = count
+            msgs.append((name, count))
+            continue
+        low = min(sorted(board), key=lambda k: board[k])
+        if count > board[low]:
+            del board[low]
+            msgs += [(low, 0), (name, count)]
+            board[name] = count
+    return board, msgs
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("ABCDE"), st.integers(0, 3)), min_size=1, max_size=8))
+@example([("A", 1), ("B", 1), ("C", 2)])          # tie at the minimum: A (first by name) leaves
+def test_board_step_matches_per_record_model(spark, records):
+    cur = spark.createDataFrame([], "name string, count long")
+    published = []
+    for name, count in records:
+        batch = spark.createDataFrame([(name, count)], "name string, count long")
+        cur, changes = board.board_step(cur, batch, n=2)
+        cur = spark.createDataFrame(cur.collect(), "name string, count long")
+        published += sorted(((not r["tombstone"]), r["name"], r["count"]) for r in changes.collect())
+    want_board, want_msgs = per_record_model(records, 2)
+    assert {r["name"]: r["count"] for r in cur.collect()} == want_board
+    assert [(nm, c) for _, nm, c in published] == want_msgs
