@@ -49,15 +49,20 @@ def rolling_changelog(df: DataFrame, ts: str = "ts", key: str = "name", id_col:
 
 
 def rolling_counts(df: DataFrame, ts: str = "ts", key: str = "name", id_col: str = "id",
-                   span_us: int = HOUR_US, bucket_us: int = HOUR_US) -> DataFrame:
-    """Per mention, the number of mentions of its name in ``[ts - span, ts]``.
+                   span_us: int = HOUR_US, bucket_us: int = HOUR_US,
+                   closed_start: bool = True) -> DataFrame:
+    """Per mention, the number of mentions of its name in the hour up to it.
 
-    Running sum of the +1/-1 changes with the additions first at equal time
-    and peers included: at a mention's time ``t`` that is
-    ``#(ts' <= t) - #(ts' + span < t)``.
+    ``closed_start=True``: ``[ts - span, ts]`` (the RANGE ... PRECEDING window);
+    ``False``: ``(ts - span, ts]``, the changelog's rule (an expiry at ``ts``
+    applies before the mentions at ``ts``). Peers at equal time are included.
+
+    Running sum of the +1/-1 changes with RANGE peers: at a mention's time
+    ``t`` that is ``#(ts' <= t) - #(ts' + span < t)`` (closed; the additions
+    sort first at equal time) or ``- #(ts' + span <= t)`` (half-open).
     """
     ch = _changes(df, ts, key, id_col, span_us)
-    order = [F.col("__t"), F.col("delta").desc()]
+    order = [F.col("__t"), F.col("delta").desc()] if closed_start else [F.col("__t")]
     bucket = F.expr(f"__t div {int(bucket_us)}")
     out = bucketed_running_sum(ch, [key], bucket, order, "delta", "count", peers=True)
     return (out.where(F.col("delta") == 1)

@@ -103,8 +103,9 @@ def brute_changelog(rows, span_s=3600):
     return out
 
 
-def brute_counts(rows, span_s=3600):
-    return {i: sum(1 for _, n2, t2 in rows if n2 == n and ts - span_s <= t2 <= ts) for i, n, ts in rows}
+def brute_counts(rows, span_s=3600, closed=True):
+    lo = (lambda t2, ts: ts - span_s <= t2) if closed else (lambda t2, ts: ts - span_s < t2)
+    return {i: sum(1 for _, n2, t2 in rows if n2 == n and lo(t2, ts) and t2 <= ts) for i, n, ts in rows}
 
 
 @settings(max_examples=3, deadline=None)
@@ -119,3 +120,6 @@ def test_changelog_and_counts_match_brute_force(spark, pairs):
     assert got == brute_changelog(rows)
     cnt = {r["id"]: r["count"] for r in rolling.rolling_counts(df, bucket_us=1_200_000_000).collect()}
     assert cnt == brute_counts(rows)
+    half = {r["id"]: r["count"]
+            for r in rolling.rolling_counts(df, bucket_us=1_200_000_000, closed_start=False).collect()}
+    assert half == brute_counts(rows, closed=False)
