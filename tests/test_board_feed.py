@@ -137,3 +137,16 @@ def test_board_step_matches_per_record_model(spark, records):
     want_board, want_msgs = per_record_model(records, 2)
     assert {r["name"]: r["count"] for r in cur.collect()} == want_board
     assert [(nm, c) for _, nm, c in published] == want_msgs
+
+
+def test_keyed_table_reductions(spark):
+    from mentionscope.operators import topk
+    t = spark.createDataFrame([("B", 1), ("A", 1), ("C", 2)], "name string, count long")
+    assert tuple(topk.minimum_entry(t).first()) == ("A", 1)          # lowest count, then name
+    ch = spark.createDataFrame([("A", 1, 1), ("A", 0, 3), ("B", 2, 2), ("A", 5, 2)], "name string, count long, seq long")
+    assert {r["name"]: r["count"] for r in topk.latest_per_key(ch).collect()} == {"A": 0, "B": 2}
+    q = spark.createDataFrame([(i, f"l{i}") for i in (5, 1, 4, 2, 3)], "pos long, line string")
+    assert [r["pos"] for r in topk.head_n(q, 3, ["pos"]).collect()] == [1, 2, 3]
+    d = spark.createDataFrame([("d", "x"), ("d", "y"), ("d", "x")], "day string, name string")
+    assert topk.distinct_keys(d, ["day"]).first()["n_names"] == 2
+    assert topk.distinct_keys(d, ["day"], approx=True).first()["n_names"] == 2
