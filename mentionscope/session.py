@@ -77,3 +77,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="mentionscope-ckpt-"))
     return sc.getCheckpointDir()
+
+
+MIB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, shuffle_ratio: float = 0.3,
+                 split_bytes: int = 512 * MIB, target_partition_bytes: int = 256 * MIB) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of input.
+
+    * scan splits of ``split_bytes`` (fewer, larger scan tasks on big files);
+    * shuffle partitions so that each holds about ``target_partition_bytes`` of
+      the expected shuffle (``input_bytes * shuffle_ratio``), and at least two
+      waves of tasks; AQE starts from that number, coalesces small partitions
+      to the same advisory size and splits skewed join partitions.
+
+    Example: 100 TB of input on 1,000 executors x 8 cores gives about 117k
+    shuffle partitions of 256 MiB.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_ratio)
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

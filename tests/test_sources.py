@@ -71,3 +71,11 @@ def test_topic_record_round_trip(spark):
     assert r["event_ts"].strftime("%H:%M:%S.%f") == "23:00:01.250000"
     no_hdr = as_source.withColumn("headers", F.array().cast("array<struct<key:string,value:binary>>"))
     assert decode_records(no_hdr).first()["event_ts"] is not None     # falls back to the record time
+
+
+def test_cluster_conf_sizes_partitions():
+    from mentionscope.session import cluster_conf
+    c = cluster_conf(100 * 10**12, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == -(-int(100 * 10**12 * 0.3) // (256 << 20))
+    small = cluster_conf(10**9, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # at least two waves of tasks
