@@ -35,12 +35,15 @@ _KEYTOT = "__keytotal"
 
 def bucketed_running_sum(df: DataFrame, keys: Sequence[str], bucket: Column,
                          order: Sequence[Column], value: str | Column, out: str,
-                         peers: bool = False, key_total: str | None = None) -> DataFrame:
+                         peers: bool = False, key_total: str | None = None,
+                         initial: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``keys`` in ``order``.
 
     ``peers=True`` uses a RANGE frame (rows equal on every order key get the
     same, inclusive sum); otherwise a ROWS frame (order must be total).
     ``key_total`` optionally adds the key's grand total (e.g. rows per file).
+    ``initial`` (``*keys, __init``) starts a key's sum at a carried value; it
+    is added to the small per-bucket offsets, so the big side is not rejoined.
     """
     keys = list(keys)
     val = F.col(value) if isinstance(value, str) else value
@@ -56,6 +59,10 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], bucket: Column,
         _OFF, F.coalesce(F.sum(_TOT).over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if key_total:
         offsets = offsets.withColumn(_KEYTOT, F.sum(_TOT).over(Window.partitionBy(*keys)))
+    if initial is not None:
+        offsets = (offsets.join(initial, on=keys, how="left")
+                          .withColumn(_OFF, F.col(_OFF) + F.coalesce(F.col("__init"), F.lit(0)))
+                          .drop("__init"))
     offsets = offsets.drop(_TOT)
 
     res = local.join(offsets, on=[*keys, _B], how="inner")

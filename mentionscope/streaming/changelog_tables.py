@@ -1,0 +1,141 @@
+"""Exact rolling changelog as a ``foreachBatch`` job over state tables (ST2/ST3).
+
+The same result as :func:`mentionscope.streaming.rolling.rolling_changelog_stream`
+(and the batch E4), without a Python state processor. Every step is a
+DataFrame operation, so a name that holds a third of all mentions is split by
+time buckets the way the batch form splits it.
+
+State after epoch ``e`` (folders under ``state_dir/epoch=e``):
+
+* ``pending`` - the +1/-1 changes not yet behind the watermark
+  (``name, id, t_us, delta``; at most ``span + delay`` of changes);
+* ``counts``  - the running count of every name whose count is not 0;
+* ``meta``    - one row: the largest event time seen and the watermark.
+  It is written last and marks the epoch as complete.
+
+Per micro-batch:
+
+1. watermark = max event time seen - ``delay``; rows older than the previous
+   watermark are late and dropped (as Spark's own watermark does);
+2. changes = pending + the +1/-1 of the batch's rows; those older than the
+   new watermark are due, the rest stay pending;
+3. due changes get their running count from the bucketed prefix sum
+   (:func:`bucketed_running_sum`) started at each name's carried count; the
+   rows are written to ``out_dir/epoch=e``;
+4. counts = carried counts + the due changes' sums (zeros dropped).
+
+Every write replaces its epoch folder, so an epoch that is run again after a
+failure gives the same files; the previous state is always the newest
+complete epoch before the current one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.prefix import bucketed_running_sum
+from .board import _fs
+
+HOUR_US = 3_600_000_000
+
+PENDING_SCHEMA = "name string, id long, t_us long, delta int"
+COUNTS_SCHEMA = "name string, count long"
+META_SCHEMA = "max_t_us long, wm_us long"
+
+
+def complete_epochs(spark: SparkSession, base: str) -> list[int]:
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("epoch=") and fs.exists(st.getPath().suffix("/meta/_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+class RollingChangelogWriter:
+    """``foreachBatch`` function: mentions (``name, id, ts``) -> exact changelog."""
+
+    def __init__(self, state_dir: str, out_dir: str, span_us: int = HOUR_US,
+                 delay_us: int = 0, bucket_us: int = HOUR_US, keep_epochs: int = 2):
+        self.state_dir = state_dir.rstrip("/")
+        self.out_dir = out_dir.rstrip("/")
+        self.span_us = span_us
+        self.delay_us = delay_us
+        self.bucket_us = bucket_us
+        self.keep_epochs = keep_epochs
+
+    def _epoch(self, e: int) -> str:
+        return f"{self.state_dir}/epoch={e}"
+
+    def _previous(self, spark: SparkSession, epoch_id: int):
+        prev = [e for e in complete_epochs(spark, self.state_dir) if e < epoch_id]
+        if not prev:
+            return (spark.createDataFrame([], PENDING_SCHEMA), spark.createDataFrame([], COUNTS_SCHEMA),
+                    None, None)
+        p = self._epoch(prev[-1])
+        meta = spark.read.schema(META_SCHEMA).parquet(f"{p}/meta").first()
+        return (spark.read.schema(PENDING_SCHEMA).parquet(f"{p}/pending"),
+                spark.read.schema(COUNTS_SCHEMA).parquet(f"{p}/counts"), meta["max_t_us"], meta["wm_us"])
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        pending, counts, max_t, wm_prev = self._previous(spark, epoch_id)
+        rows = batch.select(F.col("name").cast("string").alias("name"), F.col("id").cast("long").alias("id"),
+                            F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
+        if wm_prev is not None:
+            rows = rows.where(F.col("t_us") >= F.lit(wm_prev))           # late rows are dropped
+        batch_max = rows.agg(F.max("t_us")).first()[0]                    # one number to the driver
+        if batch_max is not None:
+            max_t = batch_max if max_t is None else max(max_t, batch_max)
+        wm = None if max_t is None else max_t - self.delay_us
+
+        pair = F.array(F.struct(F.col("t_us").alias("t"), F.lit(1).alias("d")),
+                       F.struct((F.col("t_us") + F.lit(self.span_us)).alias("t"), F.lit(-1).alias("d")))
+        new = (rows.select("name", "id", F.explode(pair).alias("c"))
+                   .select("name", "id", F.col("c.t").alias("t_us"), F.col("c.d").alias("delta")))
+        changes = pending.unionByName(new)
+        due_cond = F.lit(False) if wm is None else F.col("t_us") < F.lit(wm)
+        e = self._epoch(epoch_id)
+        changes.where(~due_cond).write.mode("overwrite").parquet(f"{e}/pending")
+        due = changes.where(due_cond)
+
+        init = counts.select("name", F.col("count").alias("__init"))
+        out = bucketed_running_sum(due, ["name"], F.expr(f"t_us div {int(self.bucket_us)}"),
+                                   [F.col("t_us"), F.col("delta"), F.col("id")], "delta", "count",
+                                   initial=init)
+        (out.select("name", "id", F.timestamp_micros("t_us").alias("t"), F.col("delta").cast("int").alias("delta"),
+                    "count")
+            .write.mode("overwrite").parquet(f"{self.out_dir}/epoch={epoch_id}"))
+
+        sums = due.groupBy("name").agg(F.sum("delta").alias("__d"))
+        new_counts = (counts.join(sums, "name", "full_outer")
+                            .select("name", (F.coalesce("count", F.lit(0)) + F.coalesce("__d", F.lit(0)))
+                                    .cast("long").alias("count"))
+                            .where(F.col("count") != 0))
+        new_counts.write.mode("overwrite").parquet(f"{e}/counts")
+        spark.createDataFrame([(max_t, wm)], META_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{e}/meta")
+        self._prune(spark, epoch_id)
+
+    def _prune(self, spark: SparkSession, epoch_id: int) -> None:
+        fs, _ = _fs(spark, self.state_dir)
+        for old in complete_epochs(spark, self.state_dir):
+            if old <= epoch_id - self.keep_epochs:
+                fs.delete(_fs(spark, self._epoch(old))[1], True)
+
+
+def start_changelog_tables(mentions: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
+                           span_us: int = HOUR_US, delay_us: int = 0, bucket_us: int = HOUR_US,
+                           trigger: dict | None = None):
+    """Run the table-state changelog over a stream of ``name, id, ts`` rows."""
+    writer = RollingChangelogWriter(state_dir, out_dir, span_us, delay_us, bucket_us)
+    w = mentions.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def changelog_output(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All changelog rows written so far (``name, id, t, delta, count``)."""
+    return spark.read.parquet(out_dir).drop("epoch")

@@ -1,0 +1,63 @@
+"""The table-state changelog job (foreachBatch, no Python state processor)
+equals the batch changelog on replayed rows, in order, out of order within the
+delay, and across a stop/restart."""
+
+import os
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from mentionscope.operators import rolling
+from mentionscope.sources import fixtures as fx
+from mentionscope.streaming import changelog_tables as ct
+from replay import sentinels, write_files
+
+DAY_US = 86_400_000_000
+
+
+def _events(spark):
+    ev = fx.event_mentions(spark, SF_SMALL, "event_type")
+    return ev, ev.toPandas().sort_values(["ts", "id"]).reset_index(drop=True)
+
+
+def _run(spark, scratch, schema, delay_us=0):
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(scratch, "in", "*"))
+    q = ct.start_changelog_tables(src, os.path.join(scratch, "state"), os.path.join(scratch, "out"),
+                                  os.path.join(scratch, "ck"), delay_us=delay_us, bucket_us=1_800_000_000,
+                                  trigger={"availableNow": True})
+    q.awaitTermination(600)
+
+
+def _check(spark, scratch, ev):
+    got = ct.changelog_output(spark, os.path.join(scratch, "out")).where(F.col("name") != "__sentinel__")
+    exp = rolling.rolling_changelog(ev, ts="ts", key="name", id_col="id")
+    assert got.count() == exp.count()
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_tables_changelog_equals_batch(spark, scratch):
+    ev, pdf = _events(spark)
+    write_files(spark, pdf, ev.schema, os.path.join(scratch, "in"), 5)
+    for i, s in enumerate(sentinels(pdf.ts.max())):
+        write_files(spark, s, ev.schema, os.path.join(scratch, "in"), 1, start=100 + i)
+    _run(spark, scratch, ev.schema)
+    _check(spark, scratch, ev)
+
+
+def test_tables_changelog_out_of_order_and_restart(spark, scratch):
+    ev, pdf = _events(spark)
+    rng = np.random.default_rng(5)
+    jitter = pd.to_timedelta(rng.uniform(-1.5, 1.5, len(pdf)), unit="D")
+    shuffled = pdf.iloc[np.argsort((pdf.ts + jitter).to_numpy())].reset_index(drop=True)
+    parts = np.array_split(shuffled, 5)
+    inp = os.path.join(scratch, "in")
+    write_files(spark, pd.concat(parts[:2]), ev.schema, inp, 2)
+    _run(spark, scratch, ev.schema, delay_us=4 * DAY_US)                   # stop after two files
+    write_files(spark, pd.concat(parts[2:]), ev.schema, inp, 3, start=2)
+    far = [s.assign(ts=s.ts + pd.Timedelta(days=6)) for s in sentinels(pdf.ts.max())]
+    for i, s in enumerate(far):
+        write_files(spark, s, ev.schema, inp, 1, start=100 + i)
+    _run(spark, scratch, ev.schema, delay_us=4 * DAY_US)                   # restart, same checkpoint
+    _check(spark, scratch, ev)
