@@ -25,7 +25,9 @@ Design (event time, exact):
   (after emitting the final 0).
 
 ``sliding_counts_stream`` (ST4) needs no custom state: a watermark plus a
-sliding ``window`` aggregate.
+sliding ``window`` aggregate. :mod:`mentionscope.streaming.changelog_tables`
+computes the same changelog without a Python processor (state as tables,
+hot names split by time buckets).
 """
 
 from __future__ import annotations
