@@ -1,8 +1,8 @@
 """News-shaped inputs derived in Spark from the driver's test tables.
 
 The test tables hold no news feed, so the feed is built from them (the same
-rules are written as SQL in :mod:`mentionscope.plans.catalog` for the DuckDB
-oracle):
+rules are written as SQL in :mod:`mentionscope.plans.oracle_sql` for the
+DuckDB oracle):
 
 * ``packed_names``: one article per order; its names are the order's parts
   (``p_name || ' ' || p_brand``) packed as ``name,l_linenumber`` joined by
@@ -10,13 +10,17 @@ oracle):
   order month for dense daily top-k.
 * ``article_lines``: the 27-field TAB line of each article: ``stamp-id``,
   ``stamp``, ``1``, 20 empty fields, the names (left empty when
-  ``id % 10 = 0``), ``am`` when ``id % 3 = 0``, two empty fields.
+  ``id % 10 = 0``), ``am`` when ``id % 3 = 0``, two empty fields. These two
+  rules only shape edge lines for the parse rules (a line that ends before
+  the names field, a line with an empty names field); no line is dropped by
+  id, every order of the tables becomes an article.
 * ``event_mentions``: ``events`` as a mention stream; the name is the event
   type (dense, five names) or the user id (150 names).
 
 Plan: lineitem joins part on the part key (AQE broadcasts part only when its
-measured size is below the broadcast threshold), is grouped by order key, and
-joins orders on the same key, so the orders side is the only extra shuffle.
+measured size is below the broadcast threshold), gets its order's size from a
+partial/final count joined on the order key, is grouped by (order, chunk),
+and joins orders on the order key.
 
 Bounded groups: an article packs at most ``MAX_ITEMS`` names. Orders with more
 items (found by a partial/final count; at most ``rows / MAX_ITEMS`` of them)
