@@ -5,6 +5,9 @@ changelog (``transformWithStateInPandas``) -> changelog folder (append).
 Query 2: changelog folder (file stream) -> leaderboard + feed
 (``foreachBatch``).
 
+``start_tables`` runs the same chain as one query without a Python state
+processor (:mod:`mentionscope.streaming.changelog_tables`).
+
 Records are ``key, value, event_ts`` (the record frame written by the replay
 producer, or a topic read with the event time taken from the record). Both
 queries checkpoint under ``base``; restarting with the same ``base`` resumes.
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from ..operators import articles
 from ..streaming import board as sboard
 from ..streaming import rolling as srl
+from ..streaming.changelog_tables import RollingChangelogWriter
 
 CHANGELOG_SCHEMA = "name string, id long, t timestamp, delta int, count long"
 
@@ -68,3 +72,30 @@ def start(spark: SparkSession, records: DataFrame, base: str, delay: str = "15 m
     fs, path = sboard._fs(spark, os.path.join(base, "changelog"))
     fs.mkdirs(path)   # the board query's file source needs the folder to exist
     return start_rolling(spark, records, base, delay, trigger), start_board(spark, base, n, trigger)
+
+
+class TablesJob:
+    """``foreachBatch``: the table-state changelog, then the leaderboard on the
+    epoch's changelog rows. Both steps are idempotent per epoch, so the chain
+    is exactly-once without a file hop between two queries."""
+
+    def __init__(self, base: str, delay_us: int, n: int, bucket_us: int):
+        self.changelog = RollingChangelogWriter(os.path.join(base, "state-changelog"),
+                                                os.path.join(base, "changelog"), delay_us=delay_us,
+                                                bucket_us=bucket_us)
+        self.board = sboard.LeaderboardWriter(os.path.join(base, "state"), os.path.join(base, "feed"), n)
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        mentions = record_mentions(batch)
+        self.changelog(mentions, epoch_id)
+        spark = batch.sparkSession
+        rows = spark.read.schema(CHANGELOG_SCHEMA).parquet(f"{self.changelog.out_dir}/epoch={epoch_id}")
+        self.board(rows, epoch_id)
+
+
+def start_tables(spark: SparkSession, records: DataFrame, base: str, delay_us: int = 15 * 60_000_000,
+                 n: int = 100, trigger: dict | None = None, bucket_us: int = 3_600_000_000):
+    """One query: records -> exact changelog (state tables) -> leaderboard and feed."""
+    w = (records.writeStream.foreachBatch(TablesJob(base, delay_us, n, bucket_us))
+         .option("checkpointLocation", os.path.join(base, "ck-tables")))
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()

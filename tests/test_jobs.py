@@ -77,3 +77,29 @@ def test_daily_job_cli_with_lists(spark, scratch):
     assert sizes and max(sizes) <= 3
     exp = daily.daily_top(lines, 3, "ds")
     assert sum(sizes) == exp.count()
+
+
+def test_tables_job_equals_batch(spark, scratch):
+    """One foreachBatch query: changelog (state tables) then leaderboard."""
+    from mentionscope.streaming.changelog_tables import changelog_output
+    lines = fx.article_lines(spark, SF_SMALL, "day")
+    stamp = F.split("value", "\t").getItem(1)
+    seg = lines.withColumn("seg", tf.floor_segment(tf.stamp_minute(stamp)))
+    records = record_frame(eventtime.spread_event_times(seg, "seg", "id", F.col("seg"))).select(
+        "key", "value", "event_ts")
+    pdf = records.toPandas().sort_values("event_ts").reset_index(drop=True)
+    inp = os.path.join(scratch, "in")
+    write_files(spark, pdf, records.schema, inp, 4)
+    far = pdf.event_ts.max() + pd.Timedelta(days=3)
+    sent = pd.DataFrame({"key": ["99999999999999-0"], "event_ts": [far],
+                         "value": ["\t".join(["99999999999999-0", "x", "1"] + [""] * 20 + ["__sentinel__,1"])]})
+    write_files(spark, sent[["key", "value", "event_ts"]], records.schema, inp, 1, start=50)
+    base = os.path.join(scratch, "run")
+    src = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(inp, "*"))
+    q = stream_job.start_tables(spark, src, base, delay_us=0, n=25, trigger={"availableNow": True})
+    q.awaitTermination(600)
+    got = changelog_output(spark, os.path.join(base, "changelog")).where("name <> '__sentinel__'")
+    exp = rolling.rolling_changelog(stream_job.record_mentions(records), ts="ts", key="name", id_col="id")
+    assert got.count() == exp.count() > 0
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    assert 0 < sboard.current_board(spark, os.path.join(base, "state")).count() <= 25
