@@ -10,8 +10,9 @@ State after epoch ``e`` (folders under ``state_dir/epoch=e``):
 * ``pending`` - the +1/-1 changes not yet behind the watermark
   (``name, id, t_us, delta``; at most ``span + delay`` of changes);
 * ``counts``  - the running count of every name whose count is not 0;
-* ``meta``    - one row: the largest event time seen and the watermark.
-  It is written last and marks the epoch as complete.
+* ``meta``    - one row: the largest event time seen, the watermark and the
+  number of late rows dropped so far. It is written last and marks the epoch
+  as complete.
 
 Per micro-batch:
 
@@ -41,7 +42,7 @@ HOUR_US = 3_600_000_000
 
 PENDING_SCHEMA = "name string, id long, t_us long, delta int"
 COUNTS_SCHEMA = "name string, count long"
-META_SCHEMA = "max_t_us long, wm_us long"
+META_SCHEMA = "max_t_us long, wm_us long, late long"
 
 
 def complete_epochs(spark: SparkSession, base: str) -> list[int]:
@@ -75,20 +76,24 @@ class RollingChangelogWriter:
         prev = [e for e in complete_epochs(spark, self.state_dir) if e < epoch_id]
         if not prev:
             return (spark.createDataFrame([], PENDING_SCHEMA), spark.createDataFrame([], COUNTS_SCHEMA),
-                    None, None)
+                    None, None, 0)
         p = self._epoch(prev[-1])
         meta = spark.read.schema(META_SCHEMA).parquet(f"{p}/meta").first()
         return (spark.read.schema(PENDING_SCHEMA).parquet(f"{p}/pending"),
-                spark.read.schema(COUNTS_SCHEMA).parquet(f"{p}/counts"), meta["max_t_us"], meta["wm_us"])
+                spark.read.schema(COUNTS_SCHEMA).parquet(f"{p}/counts"), meta["max_t_us"], meta["wm_us"],
+                meta["late"] or 0)
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        pending, counts, max_t, wm_prev = self._previous(spark, epoch_id)
+        pending, counts, max_t, wm_prev, late = self._previous(spark, epoch_id)
         rows = batch.select(F.col("name").cast("string").alias("name"), F.col("id").cast("long").alias("id"),
                             F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-        if wm_prev is not None:
-            rows = rows.where(F.col("t_us") >= F.lit(wm_prev))           # late rows are dropped
-        batch_max = rows.agg(F.max("t_us")).first()[0]                    # one number to the driver
+        is_late = F.lit(False) if wm_prev is None else F.col("t_us") < F.lit(wm_prev)
+        # one row to the driver: the batch's largest on-time event time and its late rows
+        stats = rows.agg(F.max(F.when(~is_late, F.col("t_us"))).alias("m"),
+                         F.count(F.when(is_late, F.lit(1))).alias("late")).first()
+        batch_max, late = stats["m"], late + stats["late"]
+        rows = rows.where(~is_late)                                        # late rows are dropped
         if batch_max is not None:
             max_t = batch_max if max_t is None else max(max_t, batch_max)
         wm = None if max_t is None else max_t - self.delay_us
@@ -117,7 +122,8 @@ class RollingChangelogWriter:
                                     .cast("long").alias("count"))
                             .where(F.col("count") != 0))
         new_counts.write.mode("overwrite").parquet(f"{e}/counts")
-        spark.createDataFrame([(max_t, wm)], META_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{e}/meta")
+        (spark.createDataFrame([(max_t, wm, late)], META_SCHEMA).coalesce(1)
+              .write.mode("overwrite").parquet(f"{e}/meta"))
         self._prune(spark, epoch_id)
 
     def _prune(self, spark: SparkSession, epoch_id: int) -> None:
@@ -127,6 +133,15 @@ class RollingChangelogWriter:
                 fs.delete(_fs(spark, self._epoch(old))[1], True)
 
 
+def late_rows(spark: SparkSession, state_dir: str) -> int:
+    """ST6: late rows dropped so far (from the newest complete epoch)."""
+    epochs = complete_epochs(spark, state_dir.rstrip("/"))
+    if not epochs:
+        return 0
+    meta = spark.read.schema(META_SCHEMA).parquet(f"{state_dir.rstrip('/')}/epoch={epochs[-1]}/meta").first()
+    return meta["late"] or 0
+
+
 def start_changelog_tables(mentions: DataFrame, state_dir: str, out_dir: str, checkpoint: str,
                            span_us: int = HOUR_US, delay_us: int = 0, bucket_us: int = HOUR_US,
                            trigger: dict | None = None):

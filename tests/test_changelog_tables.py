@@ -61,3 +61,15 @@ def test_tables_changelog_out_of_order_and_restart(spark, scratch):
         write_files(spark, s, ev.schema, inp, 1, start=100 + i)
     _run(spark, scratch, ev.schema, delay_us=4 * DAY_US)                   # restart, same checkpoint
     _check(spark, scratch, ev)
+
+
+def test_tables_changelog_drops_and_counts_late_rows(spark, scratch):
+    ev, pdf = _events(spark)
+    inp = os.path.join(scratch, "in")
+    write_files(spark, pdf, ev.schema, inp, 2)
+    late = pdf.head(3).assign(id=pdf.id.max() + 1 + np.arange(3))
+    write_files(spark, late, ev.schema, inp, 1, start=10)
+    _run(spark, scratch, ev.schema, delay_us=3_600_000_000)
+    assert ct.late_rows(spark, os.path.join(scratch, "state")) == 3
+    got = ct.changelog_output(spark, os.path.join(scratch, "out"))
+    assert got.where(F.col("id") > int(pdf.id.max())).count() == 0
