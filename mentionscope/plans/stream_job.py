@@ -47,6 +47,7 @@ def start_rolling(spark: SparkSession, records: DataFrame, base: str, delay: str
     :class:`~mentionscope.streaming.rolling.RollingHourProcessor`): a minute
     for live streams, an hour for replaying a sparse archive.
     """
+    srl.use_rocksdb_state(spark)
     mentions = srl.mention_stream(record_mentions(records), delay=delay)
     return (srl.rolling_changelog_stream(mentions, bucket_us=bucket_us).writeStream.format("parquet")
             .option("path", os.path.join(base, "changelog"))

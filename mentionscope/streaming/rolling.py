@@ -166,6 +166,19 @@ class RollingHourProcessor(StatefulProcessor):
         pass
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark) -> None:
+    """The stateful processor needs the RocksDB state store (several state
+    variables per key); set it when the session still has the default store.
+    Must run before the query starts; a restarted query keeps its provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or "HDFSBackedStateStoreProvider" in current:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def mention_stream(stream: DataFrame, ts: str = "ts", name: str = "name", id_col: str = "id",
                    delay: str = "0 seconds") -> DataFrame:
     """ST5/ST6: event-time column (``timestamp``) + watermark, and the time as microseconds."""
