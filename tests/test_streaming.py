@@ -186,3 +186,11 @@ def test_sliding_window_stream_append_mode(spark, scratch):
     got = spark.read.parquet(os.path.join(scratch, "out")).where(F.col("name") != "__sentinel__")
     exp = rolling.sliding_counts(ev)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_processor_form_switches_to_rocksdb_state(spark):
+    s2 = spark.newSession()                       # own SQL settings, same context
+    key = "spark.sql.streaming.stateStore.providerClass"
+    s2.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    srl.use_rocksdb_state(s2)
+    assert s2.conf.get(key) == srl.ROCKSDB_PROVIDER
