@@ -28,11 +28,10 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that
-    ``spark.checkpoint.dir`` names. Only a local session without the setting
-    (tests) gets a scratch folder of its own."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor sees: what ``spark.checkpoint.dir`` names.
+    Only a local session without the setting (tests) gets a scratch folder of its own."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         path = sc.getConf().get("spark.checkpoint.dir", None)
         if path is None:
@@ -41,6 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
             import tempfile
             path = tempfile.mkdtemp(prefix="llm-checkpoint-")
         sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
