@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, mixing, pii
+from . import decontam, html_text, licenses, mixing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,12 +30,31 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and its place."""
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence labels and phrase places of each document."""
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("places")
 
 
+@query()
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, threshold and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "lang", "n_tokens", "perplexity", "threshold", "kept")
+
+
 @query()
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by pseudonyms."""

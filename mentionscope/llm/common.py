@@ -49,22 +49,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def slices(frames, limit: int = 2 << 20) -> Iterator:
-    """Cut pandas frames with a ``text`` column into pieces of about ``limit``
-    bytes (at least one row), with the texts as UTF-8 bytes (null: empty).
-    Bounds the memory of numpy work on a batch, whatever the batch holds."""
-    for frame in frames:
-        texts = [b"" if t is None or t != t else t.encode("utf-8", "surrogatepass") for t in frame["text"]]
-        first, held = 0, 0
-        for i, t in enumerate(texts):
-            if i > first and held + len(t) > limit:
-                yield frame.iloc[first:i], texts[first:i]
-                first, held = i, 0
-            held += len(t)
-        if first < len(texts):
-            yield frame.iloc[first:], texts[first:]
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _RANDOM = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -106,3 +90,20 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     at = within + np.repeat(starts, lens)
     terms = _RANDOM[data[at]] * powers(int(lens.max()))[within]
     return mix64(np.add.reduceat(terms, first))
+
+
+def arrow_slices(batches, column: str = "text", limit: int = 2 << 20) -> Iterator:
+    """Cut Arrow record batches into pieces of about ``limit`` bytes of text (one
+    row at least), with the texts as UTF-8 bytes (null: empty). Bounds the memory
+    of numpy work on a batch, whatever the batch holds."""
+    import pyarrow as pa
+    for batch in batches:
+        texts = [b"" if t is None else t for t in batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()]
+        first, held = 0, 0
+        for i, t in enumerate(texts):
+            if i > first and held + len(t) > limit:
+                yield batch.slice(first, i - first), texts[first:i]
+                first, held = i, 0
+            held += len(t)
+        if first < len(texts):
+            yield batch.slice(first), texts[first:]
