@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, licenses, mixing, pii, quality
+from . import decontam, html_text, jaccard, licenses, mixing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("places")
 
 
+@query(jaccard.ORACLE_SQL)
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and component of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
