@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import LOWER, UPPER, WORD, arrow_slices, cut, mix64, words
 from .components import components
@@ -39,6 +40,8 @@ K = 5
 SLOTS = 1 << 20
 SALT_ROWS = 1000
 LARGEST_BOUNDARY = 48
+BINS = 512
+SHORT, BLOCK = 64, 512
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -80,6 +83,17 @@ def set_classes(d: np.ndarray, x: np.ndarray, n_texts: int):
     return size, mix64(total + size.astype(np.uint64) * _STEP[0]).view(np.int64)
 
 
+def signatures(d: np.ndarray, x: np.ndarray, n_texts: int) -> list[bytes]:
+    """Elements of each set by the top bits of their hash (255: that many or more).
+    The sum of the lesser counts of two sets bounds their intersection from above."""
+    out = np.empty((n_texts, BINS), np.uint8)
+    ends = np.searchsorted(d, np.arange(n_texts + 1))
+    bins = (x >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    for i in range(n_texts):
+        out[i] = np.minimum(np.bincount(bins[ends[i]: ends[i + 1]], minlength=BINS), 255)
+    return [row.tobytes() for row in out]
+
+
 def least_shared(n):
     """ceil(0.8 n): what a set of n shares at least with any that it links to."""
     return (4 * n + 4) // 5
@@ -90,31 +104,53 @@ def _rows(arrays, names):
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, cls`` for every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """The columns but ``text``, with the set's size ``n``, class ``cls`` and signature ``sig``."""
+    rest = [c for c in docs.columns if c != "text"]
+    spec = T.StructType([docs.schema[c] for c in rest] + [T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("sig", T.BinaryType())])
 
     def run(batches):
         for batch, texts in arrow_slices(batches):
-            size, cls = set_classes(*shingles(texts), len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size.astype(np.int64)), pa.array(cls)], ["doc_id", "n", "cls"])
+            d, x = shingles(texts)
+            size, cls = set_classes(d, x, len(texts))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(size.astype(np.int64)), pa.array(cls),
+                                              pa.array(signatures(d, x, len(texts)), pa.binary())], [*rest, "n", "cls", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, cls long")
+    return docs.mapInArrow(run, spec)
 
 
 def sketch(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
-    """Documents per slot of the shingles' hash; ``slots`` numbers whatever the input."""
+    """Documents per slot of the shingles' hash; ``slots`` numbers whatever the input.
+    A task sends its counts in blocks, which are added up block by block."""
     def run(batches):
         held = np.zeros(slots, np.int64)
         for _, texts in arrow_slices(batches):
             _, x = shingles(texts)
             held += np.bincount((x & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
-        at = np.flatnonzero(held)
-        yield _rows([at.astype(np.int32), held[at]], ["slot", "n"])
+        blocks = held.reshape(-1, 4096)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([_pack(blocks[i]) for i in some], pa.binary())], ["block", "n"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[block] = total.get(block, 0) + _unpack(n)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([_pack(n) for n in total.values()], pa.binary())], ["block", "n"])
+
+    parts = docs.select("text").mapInArrow(run, "block int, n binary")
+    out = np.zeros((slots // 4096, 4096), np.int64)
+    for r in parts.repartition(slots // 4096 // 8, "block").mapInArrow(add, "block int, n binary").collect():
+        out[r["block"]] += _unpack(r["n"])
+    return out.reshape(-1)
+
+
+def _pack(n: np.ndarray) -> bytes:
+    """Counts by byte of significance, so that small ones compress well."""
+    return n.astype(">i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
 
-    rows = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(slots, np.int64)
-    out[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
-    return out
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(">i8").reshape(-1).astype(np.int64)
 
 
 def boundary(counts: np.ndarray) -> int:
@@ -176,8 +212,9 @@ def keys(texts: list[bytes], counts: np.ndarray, limit: int):
 
 def _lists(batches):
     """Rows sorted by (key, salt, n, cls) -> the distinct rows of lists that have
-    another member or are salted, with the hub of their band: the first member
-    whose size is within 5/4. Holds a batch and the last, still open list."""
+    another member or are salted, with the hub of their band of sizes (within
+    5/4). The hub is drawn by key, so the many lists that a group shares have different
+    hubs. Holds a batch and the last, still open list."""
     names = ["key", "salt", "n", "cls"]
     held = None
     for batch in batches:
@@ -202,8 +239,9 @@ def _hubs(rows):
     band = np.floor(np.log(n / least) / np.log(1.25) + 1e-9)
     lead = fresh | np.r_[True, band[1:] != band[:-1]]
     at = np.flatnonzero(lead)
-    hub = np.repeat(cls[at], np.diff(np.r_[at, len(key)]))
-    hub_n = np.repeat(n[at], np.diff(np.r_[at, len(key)]))
+    group = np.cumsum(lead) - 1
+    drawn = np.lexsort((mix64(cls.view(np.uint64) ^ mix64(key.view(np.uint64))), group))[at]
+    hub, hub_n = cls[drawn][group], n[drawn][group]
     keep = (np.repeat(size, size) > 1) | (salt >= 0)
     return _rows([x[keep] for x in (key, salt, n, cls, hub, hub_n)], ["key", "salt", "n", "cls", "hub", "hub_n"])
 
@@ -229,29 +267,87 @@ def _pair(a: str, b: str):
 def hub_pairs(listed: DataFrame) -> DataFrame:
     """Pairs to compare first: each member with its hub, and the hubs of a salted
     key with the least of them."""
-    own = listed.where("cls <> hub and 5 * hub_n >= 4 * n").select(*_pair("cls", "hub"))
+    own = listed.where("cls <> hub and 5 * hub_n >= 4 * n and 5 * n >= 4 * hub_n").select(*_pair("cls", "hub"))
     hubs = listed.where("salt >= 0 and cls = hub").select("key", "cls", "n").distinct()
     least = hubs.groupBy("key").agg(F.min(F.struct("n", "cls")).alias("h"))
     across = hubs.join(least, "key").where("cls <> h.cls and 5 * h.n >= 4 * n").select(*_pair("cls", "h.cls"))
     return own.union(across).distinct()
 
 
-def rest_pairs(listed: DataFrame, linked: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of one list, sizes compatible, in different components and not yet compared."""
+def open_lists(listed: DataFrame, linked: DataFrame) -> DataFrame:
+    """``key, n, cls, comp, m`` of the lists of m > 2 members that still hold different components."""
     rows = listed.select("key", "n", "cls").join(linked, F.col("cls") == F.col("node"), "left")
     rows = cut(rows.select("key", "n", "cls", F.coalesce("component", "cls").alias("comp")))
     mixed = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("m > 2 and lo <> hi").select("key"))
-    rows = cut(rows.join(mixed, "key", "left_semi"))
-    other = rows.select(F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("cls").alias("cls2"), F.col("comp").alias("comp2"))
-    pairs = rows.join(other, (F.col("key") == F.col("key2")) & (F.col("cls") < F.col("cls2")) & (F.col("comp") != F.col("comp2"))
-                      & (5 * F.col("n") >= 4 * F.col("n2")) & (5 * F.col("n2") >= 4 * F.col("n")))
-    return pairs.select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+             .where("m > 2 and lo <> hi").select("key", "m"))
+    return cut(rows.join(mixed, "key"))
+
+
+def rest_pairs(rows: DataFrame, tested: DataFrame, own: DataFrame) -> DataFrame:
+    """Pairs of one open list, sizes compatible, in different components and not yet
+    compared. Long lists are cut into blocks by hash, and pairs of blocks compared by
+    signature where they meet, so only pairs that may link leave the task."""
+    short = rows.where(F.col("m") <= SHORT).drop("m")
+    other = short.select(F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("cls").alias("cls2"), F.col("comp").alias("comp2"))
+    pairs = short.join(other, (F.col("key") == F.col("key2")) & (F.col("cls") < F.col("cls2")) & (F.col("comp") != F.col("comp2"))
+                       & (5 * F.col("n") >= 4 * F.col("n2")) & (5 * F.col("n2") >= 4 * F.col("n")))
+    pairs = pairs.select(F.col("cls").alias("a"), F.col("cls2").alias("b"))
+
+    long = rows.where(F.col("m") > SHORT)
+    sigs = own.select("cls", "sig").join(long.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    count = F.ceil(F.col("m") / BLOCK).cast("int")
+    long = long.join(sigs, "cls").withColumn("own", F.pmod(F.xxhash64("cls", "key"), count).cast("int"))
+    long = long.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    long = long.select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "cls", "n", "comp", "sig")
+
+    def compare(block: pa.Table) -> pa.Table:
+        own_, p, q, cls, n, comp = (block.column(k).to_numpy() for k in ("own", "p", "q", "cls", "n", "comp"))
+        sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(-1, BINS)
+        left = np.flatnonzero(own_ == p[0])
+        right = np.flatnonzero(own_ == q[0])
+        found = []
+        for i in left:
+            other = right[(comp[right] != comp[i]) & (5 * n[right] >= 4 * n[i]) & (5 * n[i] >= 4 * n[right])]
+            if p[0] == q[0]:
+                other = other[cls[other] > cls[i]]
+            if len(other):
+                keep = other[_bound(sig[i], sig[other], n[i], n[other])]
+                found += [(min(cls[i], cls[j]), max(cls[i], cls[j])) for j in keep]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    met = long.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long")
+    return pairs.union(met).distinct().join(tested, ["a", "b"], "left_anti")
+
+
+def _bound(x: np.ndarray, y: np.ndarray, nx, ny) -> np.ndarray:
+    """Whether sets with signatures ``x`` and ``y`` may link."""
+    low = np.minimum(x, y)
+    most = np.where((low == 255).any(axis=1), np.minimum(nx, ny), low.sum(axis=1, dtype=np.int64))
+    return 100 * most >= 80 * (nx + ny - most)
+
+
+def possible(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """The pairs that their signatures leave possible (an upper bound, so none is lost)."""
+    need = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    sigs = own.select("cls", "n", "sig").join(need, "cls", "left_semi").dropDuplicates(["cls"])
+    both = (pairs.join(sigs.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
+                 .join(sigs.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b"))
+
+    def compare(batches):
+        for batch in batches:
+            a, b, na, nb = (batch.column(k).to_numpy() for k in ("a", "b", "na", "nb"))
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in ("sa", "sb"))
+            keep = _bound(x, y, na, nb)
+            yield _rows([a[keep], b[keep]], ["a", "b"])
+
+    return both.mapInArrow(compare, "a long, b long")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, slots: int = SLOTS) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, slots: int = SLOTS) -> DataFrame:
     """The pairs whose whole sets link. Sets are made again for the classes in
     question only: a bitmap of fixed size keeps most others from the shuffle, the join the rest."""
+    pairs = cut(possible(pairs, own))
     need = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     marked = need.select(F.pmod("cls", F.lit(slots)).cast("int").alias("s")).distinct().toArrow().column("s").to_numpy()
     bitmap = np.zeros(slots, bool)
@@ -270,7 +366,6 @@ def verified(docs: DataFrame, pairs: DataFrame, slots: int = SLOTS) -> DataFrame
                 [pa.array(cls[take]), pa.array([x[ends[i] - size[i]: ends[i]].tobytes() for i in take], pa.binary())], ["cls", "elements"])
 
     sets = docs.select("text").mapInArrow(run, "cls long, elements binary").join(need, "cls", "left_semi").dropDuplicates(["cls"])
-    sets = cut(sets)
     both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("elements").alias("ea")), "a")
                  .join(sets.select(F.col("cls").alias("b"), F.col("elements").alias("eb")), "b"))
 
@@ -287,17 +382,21 @@ def verified(docs: DataFrame, pairs: DataFrame, slots: int = SLOTS) -> DataFrame
     return both.mapInArrow(compare, "u long, v long")
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """``node, component`` over the classes of equal sets that link to other classes."""
+def link_components(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """``node, component`` over the classes of equal sets that link to other classes;
+    ``own`` has the classes of ``docs``."""
     counts = sketch(docs)
     listed = cut(lists(docs, counts, boundary(counts)))
     first = cut(hub_pairs(listed))
-    links = cut(verified(docs, first))
+    links = cut(verified(docs, first, own))
     linked = components(links)
-    rest = cut(rest_pairs(listed, linked, first))
+    rows = open_lists(listed, linked)
+    if rows.isEmpty():
+        return linked
+    rest = cut(rest_pairs(rows, first, own))
     if rest.isEmpty():
         return linked
-    return components(links.union(verified(docs, rest)))
+    return components(links.union(verified(docs, rest, own)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -305,8 +404,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", "text")
     own = cut(classes(docs))
-    linked = link_components(docs)
-    named = own.join(linked, F.col("cls") == F.col("node"), "left").withColumn("__c", F.coalesce("component", "cls"))
+    linked = link_components(docs, own)
+    named = own.drop("sig").join(linked, F.col("cls") == F.col("node"), "left").withColumn("__c", F.coalesce("component", "cls"))
     least = named.where("n > 0").groupBy("__c").agg(F.min("doc_id").alias("component_id"))
     some = named.where("n > 0").join(least, "__c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return some.union(own.where("n = 0").select("doc_id", "n", F.col("doc_id").cast(kind)))
@@ -317,18 +416,10 @@ def representatives(docs: DataFrame) -> DataFrame:
     hash) and every document without words; the columns stay as they are."""
     d = docs.withColumn("__row", F.xxhash64("text"))
     worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    slim = d.select("doc_id", "__row", "text")
-
-    def run(batches):
-        for batch, texts in arrow_slices(batches):
-            size, cls = set_classes(*shingles(texts), len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size.astype(np.int64)), pa.array(cls)],
-                                             ["doc_id", "__row", "n", "cls"])
-
-    own = slim.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, __row long, n long, cls long")
+    own = classes(d.select("doc_id", "__row", "text"))
     own = cut(own.where("n > 0"))
-    linked = link_components(docs.select("text"))
-    named = own.join(linked, F.col("cls") == F.col("node"), "left").withColumn("__c", F.coalesce("component", "cls"))
+    linked = link_components(docs.select("text"), own)
+    named = own.drop("sig").join(linked, F.col("cls") == F.col("node"), "left").withColumn("__c", F.coalesce("component", "cls"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))
     chosen = named.groupBy("__c").agg(F.min(order).alias("o")).select(F.col("o.doc_id").alias("__id"), F.col("o.__row").alias("__at"))
     kept = d.where(worded).join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__at")), "left_semi")
