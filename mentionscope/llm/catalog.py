@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, jaccard, licenses, mixing, pii, quality
+from . import cover_tree, decontam, html_text, jaccard, licenses, mixing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(cover_tree.ORACLE_SQL)
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""

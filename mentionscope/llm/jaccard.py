@@ -37,11 +37,11 @@ from .common import LOWER, UPPER, WORD, arrow_slices, cut, mix64, words
 from .components import components
 
 K = 5
-SLOTS = 1 << 20
+SLOTS, MOST_SLOTS = 1 << 20, 1 << 24
 SALT_ROWS = 1000
 LARGEST_BOUNDARY = 48
 BINS = 512
-SHORT, BLOCK = 64, 512
+SHORT, BLOCK = 16, 512
 _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -123,9 +123,13 @@ def sketch(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
     A task sends its counts in blocks, which are added up block by block."""
     def run(batches):
         held = np.zeros(slots, np.int64)
+        seen: list[np.ndarray] = []
         for _, texts in arrow_slices(batches):
-            _, x = shingles(texts)
-            held += np.bincount((x & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+            seen.append((shingles(texts)[1] & np.uint64(slots - 1)).astype(np.int64))
+            if sum(map(len, seen)) > 2 << 20:
+                held += np.bincount(np.concatenate(seen), minlength=slots)
+                seen = []
+        held += np.bincount(np.concatenate([np.zeros(0, np.int64), *seen]), minlength=slots)
         blocks = held.reshape(-1, 4096)
         some = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([_pack(blocks[i]) for i in some], pa.binary())], ["block", "n"])
@@ -248,7 +252,7 @@ def _hubs(rows):
 
 def lists(docs: DataFrame, counts: np.ndarray, limit: int) -> DataFrame:
     """``key, salt, n, cls, hub, hub_n``: the inverted lists with more than one member."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)  # SLOTS numbers
+    sent = docs.sparkSession.sparkContext.broadcast(counts)  # at most MOST_SLOTS numbers
 
     def run(batches):
         for _, texts in arrow_slices(batches):
@@ -385,7 +389,11 @@ def verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, slots: int = SLO
 def link_components(docs: DataFrame, own: DataFrame) -> DataFrame:
     """``node, component`` over the classes of equal sets that link to other classes;
     ``own`` has the classes of ``docs``."""
-    counts = sketch(docs)
+    total = own.agg(F.sum("n")).first()[0] or 0
+    slots = SLOTS
+    while slots < MOST_SLOTS and slots * 32 < total:
+        slots *= 2
+    counts = sketch(docs, slots)
     listed = cut(lists(docs, counts, boundary(counts)))
     first = cut(hub_pairs(listed))
     links = cut(verified(docs, first, own))
