@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontam, html_text, jaccard, licenses, mixing, pii, quality
+from . import cover_tree, decontam, html_text, jaccard, licenses, lm, mixing, pii, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and unigram scores of every document."""
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and its place."""
