@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontam, html_text, jaccard, licenses, lm, mixing, pii, quality
+from . import cover_tree, decontam, html_text, jaccard, licenses, lm, mixing, pii, quality, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query(suffix_dedup.ORACLE_SQL)
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed from each document and the digest of what remains."""
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query(cover_tree.ORACLE_SQL)
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every vector."""
