@@ -54,7 +54,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query(suffix_dedup.ORACLE_SQL)
+@query()
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes removed from each document and the digest of what remains."""
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
