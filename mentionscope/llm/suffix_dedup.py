@@ -2,7 +2,7 @@
 
 A byte goes if a 50-byte string that covers it also starts in a document with a
 smaller doc_id. Each 50-byte string is dealt to a shard by its anchor, the
-least of its 16-byte hashes, so equal strings always meet, whichever document
+least of its 20-byte hashes, so equal strings always meet, whichever document
 they stand in; the strings of one anchor that follow each other travel as one
 segment. First the anchors alone are exchanged: those of one text only cannot
 repeat elsewhere, and a bitmap of the others keeps most of the text where it is.
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .common import arrow_slices, cut, mix64
 
-SPAN, GRAM = 50, 16
+SPAN, GRAM = 50, 20
 STARTS = SPAN - GRAM + 1
 PLACE_BITS = 26
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 22, 28, 19
@@ -53,8 +53,12 @@ def segments(texts: list[bytes]):
     if n < SPAN:
         return empty, empty, empty, np.zeros(0, np.uint64), data, offsets
     h = data.astype(np.uint64) + np.uint64(1)
+    step = np.uint64(0x9E3779B97F4A7C15)
     for width in (1, 2, 4, 8):  # a hash of 2 * width bytes from two of width
-        h[:-width] = mix64(h[:-width] * np.uint64(0x9E3779B97F4A7C15) + np.roll(h, -width)[:-width] + np.uint64(width))
+        if width == 4:
+            four = h.copy()
+        h[:-width] = mix64(h[:-width] * step + h[width:] + np.uint64(width))
+    h[:-16] = mix64(h[:-16] * step + four[16:])  # 16 bytes and the 4 behind
     places = np.arange(n, dtype=np.uint64)
     least = (h[:n] >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | places
     width = 1
