@@ -164,7 +164,10 @@ LABELLED = np.array([
 LABELLED = np.vstack([LABELLED] + [
     [n, .0, before, linked_before, after, linked_after, furniture, main, 0, int(main and not furniture)]
     for n, before, after, linked_before, linked_after in product((1, 6, 18, 70), (0, 2, 15, 60), (0, 2, 15, 60), (.0, 1.), (.0, 1.))
-    for furniture, main in ((0, 1), (1, 0), (1, 1))])
+    for furniture, main in ((0, 1), (1, 0), (1, 1))] + [
+    # Blocks of an article with links in them; all link is only a list where its neighbours are.
+    [n, density, before, linked, after, linked, 0, 1, 0, int(density < 1 or not linked)]
+    for n, before, after, density, linked in product((2, 6, 18, 70), (2, 15, 60), (2, 15, 60), (.35, .7, 1.), (.0, 1.))])
 
 
 def grow(x: np.ndarray, y: np.ndarray, least: int = 1):
