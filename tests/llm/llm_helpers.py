@@ -1,13 +1,7 @@
-import os
-import sys
+"""Fixture and helper of the tests in this folder."""
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-for path in (ROOT, os.path.dirname(os.path.abspath(__file__))):
-    if path not in sys.path:
-        sys.path.insert(0, path)
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars int"
 
 

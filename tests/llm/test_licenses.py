@@ -1,5 +1,6 @@
 import re
 
+from llm_helpers import make_docs  # noqa: F401
 from mentionscope.llm import licenses
 
 BASE = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}

@@ -1,7 +1,7 @@
 import math
 import re
 
-from conftest import collect
+from llm_helpers import collect, make_docs  # noqa: F401
 from mentionscope.llm import mixing
 
 

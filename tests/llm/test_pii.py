@@ -1,6 +1,7 @@
 import datetime
 import re
 
+from llm_helpers import make_docs  # noqa: F401
 from mentionscope.llm import pii
 
 

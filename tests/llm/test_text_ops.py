@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
-from conftest import collect
+from llm_helpers import collect, make_docs  # noqa: F401
 from mentionscope.llm import catalog, decontam, jaccard, lm, quality, suffix_dedup
 
 SF = "/root/testdata/sf0.001"

@@ -1,5 +1,5 @@
 import numpy as np
-from conftest import collect
+from llm_helpers import collect, make_docs  # noqa: F401
 from mentionscope.llm import cover_tree, html_text, stages
 
 
