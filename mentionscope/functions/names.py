@@ -97,8 +97,10 @@ def day_string(ts) -> Column:
 
 
 def parse_record_id(rid) -> tuple[Column, Column]:
-    """``stamp-seq`` to two longs; any failure gives (0, 0)."""
-    parts = F.split(_c(rid), "-", -1)
+    """``stamp-seq`` to two longs; any failure gives (0, 0). Trailing dashes are
+    dropped like empty pieces of a JVM split; a number has no spaces or point."""
+    parts = F.transform(F.split(F.regexp_replace(_c(rid), "-+$", ""), "-", -1),
+                        lambda x: F.when(x.rlike("^[+]?[0-9]+$"), x))
     a = F.get(parts, 0).try_cast("bigint")
     b = F.get(parts, 1).try_cast("bigint")
     ok = (F.size(parts) == 2) & a.isNotNull() & b.isNotNull()

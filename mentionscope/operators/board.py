@@ -34,7 +34,12 @@ def latest_in_bucket(changelog: DataFrame, bucket: str = "1 hour", t: str = "t",
 
 
 def _unit(bucket: str) -> str:
-    return {"1 hour": "hour", "1 day": "day", "1 minute": "minute"}.get(bucket, bucket)
+    """Buckets at least as long as the rolling hour: in a shorter one a name can be
+    live without a change, and the last change in the bucket would miss it."""
+    units = {"1 hour": "hour", "1 day": "day"}
+    if bucket not in units:
+        raise ValueError(f"board bucket must be one of {sorted(units)}, not {bucket!r}")
+    return units[bucket]
 
 
 def boards(latest: DataFrame, n: int = 100, bucket: str = "bucket", key: str = "name",

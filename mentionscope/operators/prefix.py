@@ -65,7 +65,13 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], bucket: Column,
                           .drop("__init"))
     offsets = offsets.drop(_TOT)
 
-    res = local.join(offsets, on=[*keys, _B], how="inner")
+    # Null keys are keys like any other (a plain window groups them too).
+    same = None
+    for c in [*keys, _B]:
+        offsets = offsets.withColumnRenamed(c, f"__o_{c}")
+        equal = F.col(c).eqNullSafe(F.col(f"__o_{c}"))
+        same = equal if same is None else same & equal
+    res = local.join(offsets, same, "inner").drop(*[f"__o_{c}" for c in [*keys, _B]])
     res = res.withColumn(out, (F.col(_OFF) + F.col(_LOCAL)).cast("bigint"))
     if key_total:
         res = res.withColumnRenamed(_KEYTOT, key_total)

@@ -68,14 +68,22 @@ def split_first_n(df: DataFrame, n: int, order: Sequence[str], flag: str = "in_h
     """T4/T5: mark the first ``n`` rows of an ordered queue; the rest follow.
 
     The head is found with a bounded top-n (no global window): the ``n``
-    ordering keys are taken with TakeOrderedAndProject and joined back as a
-    flag, so no single task sees the whole queue.
+    ordering keys are taken with TakeOrderedAndProject, counted and joined back,
+    so no single task sees the whole queue. Only rows with a key of the head are
+    numbered among their equals, and no row is repeated.
     """
     order = list(order)
-    head = df.select(*order).orderBy(*order).limit(n).withColumn(flag, F.lit(True))
+    head = df.select(*order).orderBy(*order).limit(n).groupBy(*order).agg(F.count(F.lit(1)).alias("__head"))
+    head = head.select(*[F.col(c).alias(f"__h_{c}") for c in order], "__head")
+    same = F.lit(True)
+    for c in order:
+        same = same & F.col(c).eqNullSafe(F.col(f"__h_{c}"))
     # ``n`` rows at most: a broadcast of a bounded side.
-    return (df.join(bounded_broadcast(head, n), on=order, how="left")
-              .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
+    d = df.join(bounded_broadcast(head, n), on=same, how="left").drop(*[f"__h_{c}" for c in order])
+    equals = Window.partitionBy(*order).orderBy(F.lit(0))
+    near = d.where(F.col("__head").isNotNull()).withColumn(flag, F.row_number().over(equals) <= F.col("__head"))
+    rest = d.where(F.col("__head").isNull()).withColumn(flag, F.lit(False))
+    return near.unionByName(rest).drop("__head")
 
 
 def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -38,7 +38,7 @@ lines AS (
            strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(id AS VARCHAR)
              || CASE WHEN chunk > 0 THEN '.' || CAST(chunk AS VARCHAR) ELSE '' END,
            strftime(ts, '%Y%m%d%H%M%S'), '1', {empties},
-           CASE WHEN id % 10 = 0 THEN '' ELSE allnames END,
+           allnames,
            CASE WHEN id % 3 = 0 THEN 'am' ELSE '' END, '', '') AS value
   FROM packed)"""
 

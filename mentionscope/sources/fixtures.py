@@ -97,7 +97,7 @@ def article_lines(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataF
     """``id, value`` - one TAB separated article line per order."""
     g = packed_names(spark, sf_dir, grain)
     stamp = F.date_format("ts", "yyyyMMddHHmmss")
-    names = F.when(F.col("id") % 10 == 0, F.lit("")).otherwise(F.col("allnames"))
+    names = F.col("allnames")
     amounts = F.when(F.col("id") % 3 == 0, F.lit("am")).otherwise(F.lit(""))
     suffix = F.when(F.col("chunk") > 0, F.concat(F.lit("."), F.col("chunk").cast("string"))).otherwise(F.lit(""))
     fields = ([F.concat(stamp, F.lit("-"), F.col("id").cast("string"), suffix), stamp, F.lit("1")]

@@ -47,10 +47,12 @@ def read_clean_csv(spark: SparkSession, paths) -> DataFrame:
 
 
 def repair_utf8(col: str = "value") -> F.Column:
-    """Drop malformed UTF-8 byte sequences (valid text is left untouched)."""
+    """Drop malformed UTF-8 byte sequences (valid text is left untouched).
+    A genuine U+FFFD is set aside as a noncharacter while the malformed ones go."""
     c = F.col(col)
+    aside = F.make_valid_utf8(F.replace(c, F.lit("\ufffd"), F.lit("\ufdd0")))
     return F.when(F.is_valid_utf8(c), c).otherwise(
-        F.regexp_replace(F.make_valid_utf8(c), "�", ""))
+        F.replace(F.regexp_replace(aside, "\ufffd", ""), F.lit("\ufdd0"), F.lit("\ufffd")))
 
 
 def read_lines_utf8(spark: SparkSession, paths) -> DataFrame:

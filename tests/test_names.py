@@ -139,3 +139,42 @@ def test_split_names_property(spark, strings):
     got = {r["i"]: r["a"] for r in df.select("i", split_names(F.col("s")).alias("a")).collect()}
     for i, s in enumerate(strings):
         assert got[i] == java_split(s), s
+
+
+def test_record_ids_follow_the_jvm_rules(spark):
+    from mentionscope.functions.names import parse_record_id
+    ids = {"1-2": (1, 2), "1- 2": (0, 0), " 1-2": (0, 0), "1-2-": (1, 2), "1.1-2": (0, 0), "1-2-3": (0, 0), "x-1": (0, 0), "": (0, 0)}
+    df = spark.createDataFrame([(k,) for k in ids], "rid string")
+    assert {r[0]: (r[1], r[2]) for r in df.select("rid", *parse_record_id("rid")).collect()} == ids
+
+
+def test_genuine_replacement_character_survives_the_repair(spark):
+    from pyspark.sql import functions as F
+    from mentionscope.sources.text import repair_utf8
+    raw = spark.createDataFrame([(bytearray(b"a\xffb\xef\xbf\xbd"),), (bytearray(b"ok"),)], "b binary")
+    got = raw.select(F.col("b").cast("string").alias("value")).select(repair_utf8("value")).collect()
+    assert sorted(r[0] for r in got) == ["ab�", "ok"]
+
+
+def test_queue_head_with_equal_keys(spark):
+    from mentionscope.operators.topk import split_first_n
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "id int")
+    for n, heads in ((1, 1), (2, 2), (3, 3), (9, 4)):
+        got = split_first_n(df, n, ["id"]).collect()
+        assert len(got) == 4 and sum(r["in_head"] for r in got) == heads
+
+
+def test_board_bucket_shorter_than_the_span_is_refused():
+    import pytest
+    from mentionscope.operators.board import _unit
+    for bad in ("1 minute", "2 hours"):
+        with pytest.raises(ValueError):
+            _unit(bad)
+
+
+def test_running_sum_keeps_null_keys(spark):
+    from pyspark.sql import functions as F
+    from mentionscope.operators.prefix import bucketed_running_sum
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 5)], "k string, t int")
+    got = bucketed_running_sum(df, ["k"], F.col("t") % 2, [F.col("t")], F.lit(1), "s").collect()
+    assert len(got) == 4

@@ -13,16 +13,16 @@ def plan(spark, df, mode="formatted"):
     return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.REGISTRY))
 def test_no_cross_join_no_python_in_batch_queries(spark, name):
-    p = plan(spark, E.queries()[name](spark, SF_SMALL))
+    p = plan(spark, E.REGISTRY[name].run(spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in p, (name, bad)
 
 
 def test_flagship_limits_rows_before_the_day_shuffle(spark):
-    p = plan(spark, E.queries()["t1_daily_top_names"](spark, SF_SMALL))
+    p = plan(spark, E.REGISTRY["t1_daily_top_names"].run(spark, SF_SMALL))
     assert p.count("WindowGroupLimit") >= 2            # partial (map side) + final
     assert "partial_count" in p                         # map-side combined counting
     scans = re.findall(r"ReadSchema: (struct<[^>]*>)", p)
@@ -32,7 +32,7 @@ def test_flagship_limits_rows_before_the_day_shuffle(spark):
 @pytest.mark.parametrize("name", ["e3_rolling_hour_counts", "e4_rolling_changelog", "e1_event_time_spread",
                                   "k5_conflated_feed"])
 def test_running_sums_are_split_by_bucket(spark, name):
-    p = plan(spark, E.queries()[name](spark, SF_SMALL))
+    p = plan(spark, E.REGISTRY[name].run(spark, SF_SMALL))
     parts = re.findall(r"hashpartitioning\(([^)]*)\)", p)
     assert any("__bucket" in x for x in parts), parts
     # the row-level window is partitioned by (key, bucket); only the offsets
@@ -42,6 +42,6 @@ def test_running_sums_are_split_by_bucket(spark, name):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    p = plan(spark, E.queries()["e4_rolling_changelog"](spark, SF_SMALL))
+    p = plan(spark, E.REGISTRY["e4_rolling_changelog"].run(spark, SF_SMALL))
     for s in re.findall(r"ReadSchema: (struct<[^>]*>)", p):
         assert "value" not in s and "props" not in s and "user_id" not in s
