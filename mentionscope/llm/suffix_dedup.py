@@ -3,9 +3,11 @@
 A byte goes if a 50-byte string that covers it also starts in a document with a
 smaller doc_id. Each 50-byte string is dealt to a shard by its anchor, the
 least of its 20-byte hashes, so equal strings always meet, whichever document
-they stand in; the strings of one anchor that follow each other travel as one
+they stand in; the strings of one anchor that follow each other form one
 segment. First the anchors alone are exchanged: those of one text only cannot
-repeat elsewhere, and a bitmap of the others keeps most of the text where it is.
+repeat elsewhere. A segment that is the same wherever its anchor stands needs no
+bytes, the least doc_id of its digest says all; bitmaps of the shared anchors and
+of those with different segments keep most of the text where it is.
 
 In a shard the distinct segments are concatenated and a suffix array is built
 by Larsson-Sadakane refinement (ranks of 8 bytes, doubled, only unsorted groups
@@ -22,6 +24,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -44,14 +47,35 @@ def _joined(texts: list[bytes]):
     return data, np.r_[0, np.cumsum([len(t) for t in texts])]
 
 
+@functools.lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+    base = 0x9E3779B97F4A7C15
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(n, x, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
+def _digests(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit digest of the bytes a to b (excluded) from the hashes of all their grams."""
+    n = len(h)
+    power, inverse = (x[: n + 1] for x in _powers(1 << int(n + 1).bit_length()))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(h * power[:n], out=sums[1:])
+    return mix64((sums[b - GRAM + 1] - sums[a]) * inverse[a])
+
+
 def segments(texts: list[bytes]):
     """Segments of a batch: (text index, first byte, last byte excluded, within the
-    text; anchor hash), and the joined bytes with the texts' offsets."""
+    text; anchor hash; digest of the segment), and the joined bytes with the texts' offsets."""
     data, offsets = _joined(texts)
     n = len(data) - 64
     empty = np.zeros(0, np.int64)
     if n < SPAN:
-        return empty, empty, empty, np.zeros(0, np.uint64), data, offsets
+        return empty, empty, empty, np.zeros(0, np.uint64), np.zeros(0, np.uint64), data, offsets
     h = data.astype(np.uint64) + np.uint64(1)
     step = np.uint64(0x9E3779B97F4A7C15)
     for width in (1, 2, 4, 8):  # a hash of 2 * width bytes from two of width
@@ -73,65 +97,72 @@ def segments(texts: list[bytes]):
     inside = starts + SPAN <= offsets[text + 1]
     starts, text = starts[inside], text[inside]
     if not len(starts):
-        return empty, empty, empty, np.zeros(0, np.uint64), data, offsets
+        return empty, empty, empty, np.zeros(0, np.uint64), np.zeros(0, np.uint64), data, offsets
     anchor = (least[inside] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])
     last = np.r_[first[1:], len(starts)] - 1
     doc = text[first]
-    return doc, starts[first] - offsets[doc], starts[last] + SPAN - offsets[doc], h[anchor[first]], data, offsets
+    a, b = starts[first], starts[last] + SPAN
+    return doc, a - offsets[doc], b - offsets[doc], h[anchor[first]], _digests(h[:n], a, b), data, offsets
 
 
-def shared_bitmap(docs: DataFrame, total_bytes: int) -> np.ndarray:
-    """Bits of the anchors that stand in two different texts. Its size follows the
-    input up to a fixed most; a full bitmap costs traffic, never results."""
+def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the anchors that stand in two different texts, and of those with two
+    different segments. Their size follows the input up to a fixed most; full
+    bitmaps cost traffic, never results. Texts and segments of one anchor (64 bits)
+    are told apart here by 32 bits each."""
     bits = LEAST_BITS
     while bits < MOST_BITS and (1 << bits) < total_bytes // 8:
         bits += 1
+    low32 = np.uint64((1 << 32) - 1)
 
     def pairs(batches):
         for batch, texts in arrow_slices(batches, limit=CHUNK):
-            doc, _, _, h, _, _ = segments(texts)
-            t = batch.column("t").to_numpy()[doc]
-            order = np.lexsort((t, h))
-            h, t = h[order], t[order]
-            fresh = np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])] if len(h) else np.zeros(0, bool)
-            h, t = h[fresh], t[fresh]
-            block = (h & np.uint64((1 << bits) - 1)) >> np.uint64(BLOCK_BITS)
-            yield pa.RecordBatch.from_arrays([pa.array(block.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(t)], ["block", "h", "t"])
+            doc, _, _, h, k, _, _ = segments(texts)
+            tk = batch.column("t").to_numpy()[doc].view(np.uint64) << np.uint64(32) | k & low32
+            order = np.lexsort((tk, h))
+            h, tk = h[order], tk[order]
+            fresh = np.r_[True, (h[1:] != h[:-1]) | (tk[1:] != tk[:-1])] if len(h) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(tk[fresh].view(np.int64))], ["h", "tk"])
 
     def marks(batches):
-        """Rows sorted by (block, h, t): one bitmap for each block, 64 KB at a time."""
-        block = last_h = last_t = None
-        bitmap = np.zeros(1 << BLOCK_BITS, bool)
+        """Rows sorted by (block, h): two bitmaps for each block, 64 KB at a time."""
+        block = last = None
+        shared, mixed = np.zeros(1 << BLOCK_BITS, bool), np.zeros(1 << BLOCK_BITS, bool)
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(bitmap).tobytes()], pa.binary())], ["block", "bits"])
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([np.packbits(x).tobytes()], pa.binary()) for x in (shared, mixed))],
+                                              ["block", "shared", "mixed"])
 
         for batch in batches:
-            b, h, t = (batch.column(k).to_numpy() for k in ("block", "h", "t"))
-            for part in np.split(np.arange(len(b)), np.flatnonzero(np.diff(b)) + 1):
+            h, tk = (batch.column(c).to_numpy().view(np.uint64) for c in ("h", "tk"))
+            blocks = ((h & np.uint64((1 << bits) - 1)) >> np.uint64(BLOCK_BITS)).astype(np.int64)
+            for part in np.split(np.arange(len(h)), np.flatnonzero(np.diff(blocks)) + 1):
                 if not len(part):
                     continue
-                if b[part[0]] != block:
+                if blocks[part[0]] != block:
                     if block is not None:
                         yield done()
-                    block, bitmap = b[part[0]], np.zeros(1 << BLOCK_BITS, bool)
-                    last_h = last_t = None
-                x, y = h[part], t[part]
-                if last_h is not None:
-                    x, y = np.r_[last_h, x], np.r_[last_t, y]
-                twice = x[1:][(x[1:] == x[:-1]) & (y[1:] != y[:-1])].view(np.uint64)
-                bitmap[(twice & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)] = True
-                last_h, last_t = x[-1], y[-1]
+                    block, last = int(blocks[part[0]]), None
+                    shared[:], mixed[:] = False, False
+                x, y = h[part], tk[part]
+                if last is not None:  # the first row of the last anchor so far
+                    x, y = np.r_[last[0], x], np.r_[last[1], y]
+                first = np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
+                slot = (x & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+                shared[slot[y >> np.uint64(32) != y[first] >> np.uint64(32)]] = True
+                mixed[slot[y & low32 != y[first] & low32]] = True
+                last = x[-1], y[first[-1]]
         if block is not None:
             yield done()
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = docs.select("t", "text").mapInArrow(pairs, "block int, h long, t long").repartition(parts, "block").sortWithinPartitions("block", "h", "t")
-    out = np.zeros((1 << (bits - min(bits, BLOCK_BITS)), (1 << BLOCK_BITS) // 8), np.uint8)
-    for r in rows.mapInArrow(marks, "block int, bits binary").collect():
-        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-    return out.reshape(-1)
+    block = F.shiftright(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)), BLOCK_BITS)
+    rows = docs.select("t", "text").mapInArrow(pairs, "h long, tk long").repartition(parts, block).sortWithinPartitions(block, "h")
+    out = np.zeros((2, 1 << (bits - min(bits, BLOCK_BITS)), (1 << BLOCK_BITS) // 8), np.uint8)
+    for r in rows.mapInArrow(marks, "block int, shared binary, mixed binary").collect():
+        out[0, r["block"]], out[1, r["block"]] = np.frombuffer(r["shared"], np.uint8), np.frombuffer(r["mixed"], np.uint8)
+    return out[0].reshape(-1), out[1].reshape(-1)
 
 
 def _marked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -191,8 +222,8 @@ def least_ids(segs: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
 
 
 def _shards(batches):
-    """Rows sorted by (h, seg): whole anchors at a time -> ``h, k, m, cuts``: for a
-    segment, its least doc_id and the parts that this one loses as well."""
+    """Rows sorted by (h, k): whole anchors at a time -> ``h, k, m, cuts``: for a
+    segment of which this loses parts as well, its least doc_id and the parts."""
     held = None
     for batch in batches:
         held = batch if held is None else pa.concat_batches([held, batch])
@@ -207,7 +238,7 @@ def _shards(batches):
 
 
 def _shard(rows):
-    h, m, mx = (rows.column(k).to_numpy() for k in ("h", "m", "mx"))
+    h, m = (rows.column(k).to_numpy() for k in ("h", "m"))
     keys = rows.column("k").to_numpy()
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     size = np.repeat(np.diff(np.r_[first, len(h)]), np.diff(np.r_[first, len(h)]))
@@ -227,42 +258,55 @@ def _shard(rows):
             edge = np.flatnonzero(gone[1:] != gone[:-1])
             cuts[i] = [int(x) for a, b in zip(edge[::2], edge[1::2]) for x in (a, b - 1 + SPAN)]
         at = end
-    keep = [i for i in range(len(h)) if cuts[i] or m[i] < mx[i]]
+    keep = [i for i in range(len(h)) if cuts[i]]
     yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(keys[keep]), pa.array(m[keep]), pa.array([cuts[i] for i in keep], pa.list_(pa.int32()))],
                                      ["h", "k", "m", "cuts"])
 
 
-def removed_spans(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> DataFrame:
     """``doc_id, t, a, b``: byte ranges to remove, which may overlap."""
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+    sent = docs.sparkSession.sparkContext.broadcast((shared, mixed))
 
-    def run(batches, with_bytes: bool):
+    def place(batches):
+        """The segments of shared anchors, without their bytes."""
+        for batch, texts in arrow_slices(batches, limit=CHUNK):
+            doc, a, b, h, k, _, _ = segments(texts)
+            keep = np.flatnonzero(_marked(sent.value[0], h))
+            doc = doc[keep]
+            ids, t = (batch.column(c).to_numpy(zero_copy_only=False)[doc].astype(np.int64) for c in ("doc_id", "t"))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (h[keep].view(np.int64), k[keep].view(np.int64), ids, t)),
+                                              *(pa.array(x[keep].astype(np.int32)) for x in (a, b))], ["h", "k", "doc_id", "t", "a", "b"])
+
+    def send(batches):
+        """The segments of shared anchors that have different ones, each once a batch."""
         for batch, texts in arrow_slices(batches, limit=CHUNK):
-            doc, a, b, h, data, offsets = segments(texts)
-            keep = np.flatnonzero(_marked(sent.value, h)) if len(h) else np.zeros(0, np.int64)
-            doc, a, b, h = doc[keep], a[keep], b[keep], h[keep]
+            doc, a, b, h, k, data, offsets = segments(texts)
+            keep = np.flatnonzero(_marked(sent.value[0], h) & _marked(sent.value[1], h))
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[doc[keep]].astype(np.int64)
+            order = np.lexsort((ids, k[keep], h[keep]))
+            keep, ids = keep[order], ids[order]
+            doc, a, b, h, k = doc[keep], a[keep], b[keep], h[keep], k[keep]
+            first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (k[1:] != k[:-1])]) if len(h) else np.zeros(0, int)
             raw = data.tobytes()
-            segs = [raw[offsets[d] + x: offsets[d] + y] for d, x, y in zip(doc, a, b)]
-            k = np.array([int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in segs], np.int64)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[doc] if len(doc) else np.zeros(0, np.int64)
-            if with_bytes:
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(segs, pa.binary()), pa.array(ids.astype(np.int64))], ["h", "k", "seg", "doc_id"])
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k), pa.array(ids.astype(np.int64)), pa.array(batch.column("t").to_numpy()[doc]),
-                                                  pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], ["h", "k", "doc_id", "t", "a", "b"])
+            segs = [raw[offsets[d] + x: offsets[d] + y] for d, x, y in zip(doc[first], a[first], b[first])]
+            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(k[first].view(np.int64)), pa.array(segs, pa.binary()), pa.array(ids[first])],
+                                             ["h", "k", "seg", "doc_id"])
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     slim = docs.select("doc_id", "t", "text")
-    distinct = (slim.mapInArrow(lambda it: run(it, True), "h long, k long, seg binary, doc_id long")
-                .groupBy("h", "k").agg(F.first("seg").alias("seg"), F.min("doc_id").alias("m"), F.max("doc_id").alias("mx")))
-    told = cut(distinct.repartition(parts, "h").sortWithinPartitions("h", "k")
-               .mapInArrow(_shards, "h long, k long, m long, cuts array<int>"))
-    placed = slim.mapInArrow(lambda it: run(it, False), "h long, k long, doc_id long, t long, a int, b int")
+    distinct = (slim.mapInArrow(send, "h long, k long, seg binary, doc_id long")
+                .groupBy("h", "k").agg(F.first("seg").alias("seg"), F.min("doc_id").alias("m")))
+    parted = (distinct.repartition(parts, "h").sortWithinPartitions("h", "k")
+              .mapInArrow(_shards, "h long, k long, m long, cuts array<int>"))
+    placed = cut(slim.mapInArrow(place, "h long, k long, doc_id long, t long, a int, b int"))
+    least = placed.groupBy("h", "k").agg(F.min("doc_id").alias("m"), F.max("doc_id").alias("mx")).where("m < mx")
+    # Later holders of a segment lose all of it, the first one its parts.
+    told = cut(least.select("h", "k", "m", F.lit(None).cast("array<int>").alias("cuts")).union(parted))
     met = placed.join(told, ["h", "k"])
     whole = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")))
     some = F.transform(F.sequence(F.lit(0), (F.size("cuts") / 2 - 1).cast("int")),
                        lambda i: F.struct((F.col("a") + F.get("cuts", i * 2)).alias("a"), (F.col("a") + F.get("cuts", i * 2 + 1)).alias("b")))
-    spans = F.when(F.col("doc_id") > F.col("m"), whole).when(F.size("cuts") > 0, some)
+    spans = F.when(F.col("cuts").isNull() & (F.col("doc_id") > F.col("m")), whole).when(F.col("cuts").isNotNull() & (F.col("doc_id") == F.col("m")), some)
     return met.select("doc_id", "t", F.explode(spans).alias("s")).select("doc_id", "t", "s.a", "s.b")
 
 
@@ -271,7 +315,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     known = d.where("doc_id is not null")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spans = removed_spans(known, shared_bitmap(known, total))
+    spans = removed_spans(known, *anchor_bitmaps(known, total))
     # A copy of a whole text loses all of it, whatever its anchors.
     size = F.octet_length("text")
     texts = known.where(size >= SPAN).select("doc_id", "t", size.alias("b"))
