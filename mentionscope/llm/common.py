@@ -3,7 +3,9 @@ and vectorised word tables for code that runs inside tasks."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Jobs that run within remove their shuffle files when they end, so the disk
+    holds those of one job and not of all before it."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written to the shared folder (Parquet, smaller
+    than a checkpoint's rows)."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _RANDOM = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)

@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_slices, cut, mix64
+from .common import arrow_slices, mix64, shuffles_removed, stored
 
 SPAN, GRAM = 50, 20
 STARTS = SPAN - GRAM + 1
 PLACE_BITS = 26
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 22, 28, 19
-CHUNK = 1 << 20
+SLICE, CHUNK = 1 << 16, 1 << 18  # bytes of text hashed at a time (arrays that fit a core's cache), of a suffix array
 
 
 def _joined(texts: list[bytes]):
@@ -117,7 +117,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
     low32 = np.uint64((1 << 32) - 1)
 
     def pairs(batches):
-        for batch, texts in arrow_slices(batches, limit=CHUNK):
+        for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, _, _, h, k, _, _ = segments(texts)
             tk = batch.column("t").to_numpy()[doc].view(np.uint64) << np.uint64(32) | k & low32
             order = np.lexsort((tk, h))
@@ -160,7 +160,9 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
     block = F.shiftright(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)), BLOCK_BITS)
     rows = docs.select("t", "text").mapInArrow(pairs, "h long, tk long").repartition(parts, block).sortWithinPartitions(block, "h")
     out = np.zeros((2, 1 << (bits - min(bits, BLOCK_BITS)), (1 << BLOCK_BITS) // 8), np.uint8)
-    for r in rows.mapInArrow(marks, "block int, shared binary, mixed binary").collect():
+    with shuffles_removed(docs.sparkSession):
+        found = rows.mapInArrow(marks, "block int, shared binary, mixed binary").collect()
+    for r in found:
         out[0, r["block"]], out[1, r["block"]] = np.frombuffer(r["shared"], np.uint8), np.frombuffer(r["mixed"], np.uint8)
     return out[0].reshape(-1), out[1].reshape(-1)
 
@@ -269,7 +271,7 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> Dat
 
     def place(batches):
         """The segments of shared anchors, without their bytes."""
-        for batch, texts in arrow_slices(batches, limit=CHUNK):
+        for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, a, b, h, k, _, _ = segments(texts)
             keep = np.flatnonzero(_marked(sent.value[0], h))
             doc = doc[keep]
@@ -279,7 +281,7 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> Dat
 
     def send(batches):
         """The segments of shared anchors that have different ones, each once a batch."""
-        for batch, texts in arrow_slices(batches, limit=CHUNK):
+        for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, a, b, h, k, data, offsets = segments(texts)
             keep = np.flatnonzero(_marked(sent.value[0], h) & _marked(sent.value[1], h))
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[doc[keep]].astype(np.int64)
@@ -298,10 +300,10 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> Dat
                 .groupBy("h", "k").agg(F.first("seg").alias("seg"), F.min("doc_id").alias("m")))
     parted = (distinct.repartition(parts, "h").sortWithinPartitions("h", "k")
               .mapInArrow(_shards, "h long, k long, m long, cuts array<int>"))
-    placed = cut(slim.mapInArrow(place, "h long, k long, doc_id long, t long, a int, b int"))
+    placed = stored(slim.mapInArrow(place, "h long, k long, doc_id long, t long, a int, b int"))
     least = placed.groupBy("h", "k").agg(F.min("doc_id").alias("m"), F.max("doc_id").alias("mx")).where("m < mx")
     # Later holders of a segment lose all of it, the first one its parts.
-    told = cut(least.select("h", "k", "m", F.lit(None).cast("array<int>").alias("cuts")).union(parted))
+    told = stored(least.select("h", "k", "m", F.lit(None).cast("array<int>").alias("cuts")).union(parted))
     met = placed.join(told, ["h", "k"])
     whole = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")))
     some = F.transform(F.sequence(F.lit(0), (F.size("cuts") / 2 - 1).cast("int")),
@@ -323,7 +325,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     copies = texts.join(least, "t").where("doc_id > m").select("doc_id", "t", F.lit(0).alias("a"), "b")
     spans = spans.union(copies)
     # A document's ranges, in order, as one list (no longer than the text).
-    listed = cut(spans.groupBy("doc_id", "t").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")))
+    listed = stored(spans.groupBy("doc_id", "t").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")))
     marked = np.zeros(1 << 20, bool)
     marked[listed.select(F.pmod("t", F.lit(1 << 20)).cast("int").alias("s")).distinct().toArrow().column("s").to_numpy()] = True
     sent = d.sparkSession.sparkContext.broadcast(np.packbits(marked))
