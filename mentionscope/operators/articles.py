@@ -27,7 +27,6 @@ from ..functions.names import (
     has_names_field, parse_stamp, record_key, split_names, tab_fields, tab_fields_all,
 )
 from ..schema import ARTICLE_SCHEMA, N_FIELDS, NAMES_INDEX, STAMP_INDEX
-from .sizing import is_small
 
 
 @dataclass(frozen=True)
@@ -53,31 +52,31 @@ def rules_for(mode: str | ReadRules) -> ReadRules:
     return mode if isinstance(mode, ReadRules) else RULES[mode]
 
 
-def _closed_quote(x) -> "F.Column":
-    return (F.length(x) >= 2) & x.endswith('"')
+# A quoted text to the end of its field (spaces behind it fall away), and a quote that nothing closes within it;
+# a backslash escapes. Any other quote is plain text.
+_QUOTED = r'^"[^"\\]*+(?:\\.[^"\\]*+)*+" *\z'
+_OPEN = r'^"[^"\\]*+(?:\\.[^"\\]*+)*+\\?\z'
 
 
 def csv_value(x) -> "F.Column":
-    """A field as the CSV reader returns it: surrounding quotes removed,
-    doubled quotes undone, empty -> NULL."""
-    unq = F.when(x.startswith('"') & _closed_quote(x),
-                 F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), '""', '"')).otherwise(x)
-    return F.when(x != "", unq)
+    """A field as the CSV reader returns it: the quotes of a field that is one
+    quoted text removed and escaped quotes undone, empty -> NULL."""
+    text = F.when(x.rlike(_QUOTED), F.replace(F.substring(x, F.lit(2), F.length(F.rtrim(x)) - 2), F.lit('\\"'), F.lit('"'))).otherwise(x)
+    return F.when(text != "", text)
 
 
 def strict_valid(fields_all) -> "F.Column":
     """Row passes the typed 27-field reading (CSV with DROPMALFORMED).
 
     A field that opens a quote without closing it swallows the TABs after it
-    in the CSV reader, so the row is malformed; a closed quoted field is fine.
+    in the CSV reader, so the row is malformed.
     """
     stamp = csv_value(F.get(fields_all, STAMP_INDEX))
     stype = csv_value(F.get(fields_all, 2))
-    open_quote = F.exists(fields_all, lambda x: x.startswith('"') & ~_closed_quote(x))
     return ((F.size(fields_all) == N_FIELDS)
             & (stamp.isNull() | parse_stamp(stamp).isNotNull())
             & (stype.isNull() | stype.try_cast("int").isNotNull())
-            & ~open_quote)
+            & ~F.exists(fields_all, lambda x: x.rlike(_OPEN)))
 
 
 def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value",
@@ -147,17 +146,13 @@ def mentions(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "valu
     return explode_names(parse_articles(lines, mode, value, passthrough), mode, keep)
 
 
-def drop_stop_names(m: DataFrame, stop: DataFrame, name: str = "name",
-                    max_broadcast_rows: int = 100_000) -> DataFrame:
+def drop_stop_names(m: DataFrame, stop: DataFrame, name: str = "name") -> DataFrame:
     """P10: remove a list of known false positives with an anti-join.
 
-    The write-up's list has ten entries. The list is broadcast only after a
-    bounded check (at most ``max_broadcast_rows`` rows are read to decide);
-    a longer list goes through the ordinary shuffle anti-join.
+    The write-up's list has ten entries; whether a list is broadcast is left to
+    the planner, which measures it.
     """
     s = stop.select(F.col(stop.columns[0]).alias(name)).distinct()
-    if is_small(s, max_broadcast_rows):
-        s = F.broadcast(s)
     return m.join(s, on=name, how="left_anti")
 
 
@@ -167,7 +162,8 @@ def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
     Empty fields become NULL, the stamp a timestamp, the source type an int;
     lines the strict rule rejects are dropped.
     """
-    fa = tab_fields_all(F.col(value))
+    split = lines.select(tab_fields_all(F.col(value)).alias("__f"))
+    fa = F.col("__f")
     cols = []
     for i, f in enumerate(ARTICLE_SCHEMA.fields):
         raw = csv_value(F.get(fa, i))
@@ -178,5 +174,5 @@ def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
         else:
             c = raw
         cols.append(c.alias(f.name))
-    return lines.where(strict_valid(fa)).select(*cols)
+    return split.where(strict_valid(fa)).select(*cols)
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast
 from .topk import top_k_per_group
 
 
@@ -48,17 +47,32 @@ def boards(latest: DataFrame, n: int = 100, bucket: str = "bucket", key: str = "
     return top_k_per_group(latest, bucket, n, value, key, "rank").select(bucket, key, value, "rank")
 
 
+def _published(board: DataFrame, step: str, bucket: str, key: str, value: str) -> DataFrame:
+    """Each seat as its own row and as the 0 that its next bucket publishes unless
+    the name is on that board too (``here`` tells them apart)."""
+    seats = F.array(F.struct(F.col(bucket).alias("b"), F.col(value).cast("bigint").alias("v"), F.lit(True).alias("here")),
+                    F.struct((F.col(bucket) + F.expr(f"INTERVAL {step}")).alias("b"), F.lit(0).cast("bigint").alias("v"),
+                             F.lit(False).alias("here")))
+    return (board.select(F.col(key), F.explode(seats).alias("s"))
+                 .select(key, F.col("s.b").alias(bucket), F.col("s.v").alias(value), F.col("s.here").alias("here")))
+
+
 def tombstones(board: DataFrame, step: str = "1 hour", bucket: str = "bucket",
                key: str = "name", value: str = "count") -> DataFrame:
     """ST8: names on the board of one bucket and not on the next -> count 0.
 
-    Both sides are at most ``n`` rows per bucket; the anti-join is an
-    ordinary shuffle join on (bucket, name).
+    One pass over the boards (at most ``n`` rows per bucket) and one aggregate.
     """
-    prev = board.select((F.col(bucket) + F.expr(f"INTERVAL {step}")).alias(bucket), key)
-    cur = board.select(bucket, key)
-    return (prev.join(cur, on=[bucket, key], how="left_anti")
-                .withColumn(value, F.lit(0).cast("bigint")))
+    p = _published(board, step, bucket, key, value)
+    return (p.groupBy(bucket, key).agg(F.max("here").alias("here"))
+             .where(~F.col("here")).select(bucket, key, F.lit(0).cast("bigint").alias(value)))
+
+
+def board_snapshot(board: DataFrame, step: str = "1 hour", bucket: str = "bucket",
+                   key: str = "name", value: str = "count") -> DataFrame:
+    """K6: the last published value of every name (zeros kept) and its bucket, one aggregate."""
+    p = _published(board, step, bucket, key, value)
+    return p.groupBy(key).agg(F.max_by(value, F.struct(bucket, "here")).alias(value), F.max(bucket).alias(bucket))
 
 
 def board_minimum(board: DataFrame, bucket: str = "bucket", key: str = "name",
@@ -72,8 +86,7 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
                key: str = "name", value: str = "count") -> tuple[DataFrame, DataFrame]:
     """One incremental leaderboard step -> (new board, changes to publish).
 
-    ``old``: current board (``name, count``, at most ``n`` rows, so it is
-    broadcast: its size bound is ``n``).
+    ``old``: current board (``name, count``, at most ``n`` rows).
     ``batch_latest``: latest value per name in this micro-batch (any size).
     Only the batch's own best ``n`` (TakeOrderedAndProject, distributed) can
     reach the board, so the final ranking sees at most ``2n`` rows.
@@ -81,7 +94,7 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     (update or admission) plus a 0 for every incumbent that lost its seat
     (``tombstone`` marks the latter).
     """
-    inc = bounded_broadcast(old.select(key, F.col(value).alias("__old")), n)
+    inc = old.select(key, F.col(value).alias("__old"))
     flagged = (batch_latest.select(key, F.col(value).alias(value))
                .join(inc, on=key, how="left")
                .withColumn("__incumbent", F.col("__old").isNotNull())
@@ -100,19 +113,16 @@ def board_step(old: DataFrame, batch_latest: DataFrame, n: int = 100,
     # At most 2n rows: a single ordered window is bounded here.
     ranked = merged.withColumn("__r", F.row_number().over(Window.orderBy(*order)))
     new_board = ranked.where(F.col("__r") <= n).select(key, value)
-    return new_board, board_changes(old, new_board, batch_latest, key, value, n)
+    return new_board, board_changes(old, new_board, batch_latest, key, value)
 
 
 def board_changes(old: DataFrame, new_board: DataFrame, batch_latest: DataFrame,
-                  key: str = "name", value: str = "count", n: int = 100) -> DataFrame:
+                  key: str = "name", value: str = "count") -> DataFrame:
     """What one board step publishes: the batch's names that hold a seat on the
     new board, and a 0 tombstone for each incumbent that lost its seat.
-
-    ``old`` and ``new_board`` are at most ``n`` rows each (broadcast).
     """
-    nb = bounded_broadcast(new_board.select(key, value), n)
-    changed = (nb.join(batch_latest.select(key), on=key, how="left_semi")
+    changed = (new_board.join(batch_latest.select(key), on=key, how="left_semi")
                  .select(key, value, F.lit(False).alias("tombstone")))
-    evicted = (old.select(key).join(bounded_broadcast(new_board.select(key), n), on=key, how="left_anti")
+    evicted = (old.select(key).join(new_board.select(key), on=key, how="left_anti")
                   .select(key, F.lit(0).cast("bigint").alias(value), F.lit(True).alias("tombstone")))
     return changed.unionByName(evicted)

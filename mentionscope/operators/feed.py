@@ -2,8 +2,8 @@
 
 * K4 :func:`json_messages` - a set of ``(name, count)`` entries folded into
   one JSON array text ``[{"name":..,"count":..},..]`` per group, in a given
-  order. A group is cut into chunks of at most ``max_entries`` entries, so no
-  message (and no task) has to hold an unbounded group.
+  order. With ``max_entries`` every group is cut by position into chunks of so
+  many entries, for groups without a bound of their own.
 * K5 :func:`conflated_feed` - per flush interval (1 s), only the last value
   of each name, in first-seen order.
 * K6 :func:`snapshot` - the last value of every name ever touched (zeros
@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from .prefix import bucketed_row_number
 
-MAX_ENTRIES = 1000
-
 
 def json_entry(name: Column, count: Column) -> Column:
     """one ``{"name": .., "count": ..}`` object."""
@@ -28,28 +26,24 @@ def json_entry(name: Column, count: Column) -> Column:
 
 
 def json_messages(entries: DataFrame, group: Sequence[str], order: Sequence[str],
-                  name: str = "name", value: str = "count", max_entries: int = MAX_ENTRIES,
+                  name: str = "name", value: str = "count", max_entries: int | None = None,
                   bucket: Column | None = None, out: str = "message") -> DataFrame:
     """K4: ``*group, chunk, n_entries, message`` with entries in ``order``.
 
-    Groups of at most ``max_entries`` entries (found by a partial/final count)
-    are folded directly into one message. Only larger groups need exact
-    positions: a bucketed row number (``bucket`` non-decreasing in ``order``;
-    default: one bucket per group) gives ``chunk = (pos - 1) div max_entries``.
-    No join hint is used: AQE broadcasts the list of large groups only when it
-    measures it as small, and otherwise splits a skewed group's partition.
+    Without ``max_entries`` a group is one message (chunk 0), for groups of a
+    known bound such as a board of ``n`` rows: one aggregate. With it, a
+    bucketed row number over every group (``bucket`` non-decreasing in
+    ``order``, required) gives ``chunk = (pos - 1) div max_entries``.
     """
     group = list(group)
-    order_cols = [F.col(o) for o in order]
-    if bucket is None:
-        bucket = F.lit(0)
-    sizes = entries.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    big_groups = sizes.where(F.col("__n") > max_entries).select(*group)
-    small = entries.join(big_groups, group, "left_anti").withColumn("chunk", F.lit(0))
-    big = bucketed_row_number(entries.join(big_groups, group, "left_semi"), group, bucket, order_cols, "__pos")
-    big = (big.withColumn("chunk", F.floor((F.col("__pos") - 1) / F.lit(max_entries)).cast("int"))
-              .drop("__pos"))
-    allrows = small.unionByName(big)
+    if max_entries is None:
+        allrows = entries.withColumn("chunk", F.lit(0))
+    else:
+        if bucket is None:
+            raise ValueError("max_entries needs a bucket that does not decrease in the order")
+        allrows = bucketed_row_number(entries, group, bucket, [F.col(o) for o in order], "__pos")
+        allrows = (allrows.withColumn("chunk", F.floor((F.col("__pos") - 1) / F.lit(max_entries)).cast("int"))
+                          .drop("__pos"))
     key = F.struct(*[F.col(o).alias(f"k{i}") for i, o in enumerate(order)], F.col(name).alias("kn"))
     items = F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col(name).alias("name"),
                                                  F.col(value).alias("count"))))
@@ -71,10 +65,10 @@ def conflate(changelog: DataFrame, every: str = "1 second", t: str = "t", key: s
                      .agg(F.max_by(value, order).alias(value), F.min(order).alias("first_seq")))
 
 
-def conflated_feed(changelog: DataFrame, every: str = "1 second", t: str = "t", key: str = "name",
-                   value: str = "count", seq: Sequence[str] = ("t", "delta", "id"),
-                   max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """K5: one message per interval (chunked), names in first-seen order."""
+def conflated_feed(changelog: DataFrame, max_entries: int, every: str = "1 second", t: str = "t",
+                   key: str = "name", value: str = "count",
+                   seq: Sequence[str] = ("t", "delta", "id")) -> DataFrame:
+    """K5: messages per interval, ``max_entries`` names each at most, in first-seen order."""
     e = conflate(changelog, every, t, key, value, seq)
     e = e.select("slot", key, value, *[F.col("first_seq")[s].alias(f"__f{i}") for i, s in enumerate(seq)])
     order = [f"__f{i}" for i in range(len(seq))]

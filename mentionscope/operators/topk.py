@@ -18,8 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast
-
 
 def count_mentions(m: DataFrame, keys: Sequence[str] = ("day", "name"),
                    out: str = "mentions") -> DataFrame:
@@ -78,8 +76,7 @@ def split_first_n(df: DataFrame, n: int, order: Sequence[str], flag: str = "in_h
     same = F.lit(True)
     for c in order:
         same = same & F.col(c).eqNullSafe(F.col(f"__h_{c}"))
-    # ``n`` rows at most: a broadcast of a bounded side.
-    d = df.join(bounded_broadcast(head, n), on=same, how="left").drop(*[f"__h_{c}" for c in order])
+    d = df.join(head, on=same, how="left").drop(*[f"__h_{c}" for c in order])
     equals = Window.partitionBy(*order).orderBy(F.lit(0))
     near = d.where(F.col("__head").isNotNull()).withColumn(flag, F.row_number().over(equals) <= F.col("__head"))
     rest = d.where(F.col("__head").isNull()).withColumn(flag, F.lit(False))

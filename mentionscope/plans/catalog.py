@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timefuncs as tf
-from ..functions.names import DEFAULT_LAST_KEY, KNOWN_FALSE_POSITIVES
+from ..functions.names import DEFAULT_LAST_KEY, KNOWN_FALSE_POSITIVES, day_string
 from ..operators import articles, board, eventtime, feed, rolling, topk
 from ..schema import ARTICLE_COLUMNS
 from ..sources import fixtures as fx
@@ -202,13 +202,12 @@ def p10_stop_list_top(spark, sf_dir):
 @register("f10_record_ids", f"""
 WITH {q.lines_cte('day').lstrip()},
 k AS (SELECT id, split_part(value, chr(9), 1) AS key FROM lines),
-p AS (SELECT id, key, string_split(key, '-') AS parts FROM k)
-SELECT id, key,
-       CASE WHEN len(parts) = 2 AND TRY_CAST(parts[1] AS BIGINT) IS NOT NULL
-                 AND TRY_CAST(parts[2] AS BIGINT) IS NOT NULL THEN TRY_CAST(parts[1] AS BIGINT) ELSE 0 END AS stamp_no,
-       CASE WHEN len(parts) = 2 AND TRY_CAST(parts[1] AS BIGINT) IS NOT NULL
-                 AND TRY_CAST(parts[2] AS BIGINT) IS NOT NULL THEN TRY_CAST(parts[2] AS BIGINT) ELSE 0 END AS seq_no
-FROM p""")
+p AS (SELECT id, key, string_split(regexp_replace(key, '-+$', ''), '-') AS parts FROM k),
+n AS (SELECT id, key, len(parts) = 2 AND regexp_full_match(parts[1], '[+]?[0-9]+') AND regexp_full_match(parts[2], '[+]?[0-9]+')
+             AND TRY_CAST(parts[1] AS BIGINT) IS NOT NULL AND TRY_CAST(parts[2] AS BIGINT) IS NOT NULL AS ok, parts FROM p)
+SELECT id, key, CASE WHEN ok THEN TRY_CAST(parts[1] AS BIGINT) ELSE 0 END AS stamp_no,
+       CASE WHEN ok THEN TRY_CAST(parts[2] AS BIGINT) ELSE 0 END AS seq_no
+FROM n""")
 def f10_record_ids(spark, sf_dir):
     """record id ``stamp-seq`` -> two longs, (0, 0) on any failure."""
     from ..functions.names import parse_record_id, record_key
@@ -333,6 +332,14 @@ def e5_segment_rates(spark, sf_dir):
     return eventtime.segment_rates(ev, "segment_start")
 
 
+@register("f4_day_strings", f"""
+WITH {q.events_cte().lstrip()}
+SELECT id, strftime(ts, '%Y-%m-%d') AS day FROM ev""")
+def f4_day_strings(spark, sf_dir):
+    """``yyyy-MM-dd`` text of every record time."""
+    return _types(spark, sf_dir).select("id", day_string("ts").alias("day"))
+
+
 # ------------------------------------------------------- rolling counts
 @register("e3_rolling_hour_counts", f"""
 WITH {q.events_cte().lstrip()}
@@ -430,7 +437,7 @@ SELECT slot, CAST((pos - 1) // 1000 AS INTEGER) AS chunk, count(*) AS n_entries,
 FROM r GROUP BY 1, 2""")
 def k5_conflated_feed(spark, sf_dir):
     """K5: per second, the last count of each changed name in first-seen order."""
-    out = feed.conflated_feed(_user_changelog(spark, sf_dir))
+    out = feed.conflated_feed(_user_changelog(spark, sf_dir), max_entries=1000)
     return out.withColumn("slot", ntz("slot"))
 
 
@@ -443,11 +450,7 @@ fd AS (SELECT bucket, name, count FROM board UNION ALL SELECT bucket, name, coun
 SELECT name, arg_max(count, bucket) AS count, max(bucket) AS bucket FROM fd GROUP BY name""")
 def k6_board_snapshot(spark, sf_dir):
     """K6: snapshot for a new subscriber - last published value of every name (zeros kept)."""
-    b = _hourly_boards(spark, sf_dir)
-    fd = b.select("bucket", "name", "count").unionByName(board.tombstones(b))
-    snap = feed.snapshot(fd, "name", "count", ("bucket",))
-    last = fd.groupBy("name").agg(F.max("bucket").alias("bucket"))
-    return snap.join(last, "name").withColumn("bucket", ntz("bucket"))
+    return board.board_snapshot(_hourly_boards(spark, sf_dir)).withColumn("bucket", ntz("bucket"))
 
 
 # ------------------------------------------------------------- misc

@@ -6,7 +6,7 @@ operators implement; the driver runs them on the same parquet tables.
 
 from __future__ import annotations
 
-from ..sources.fixtures import MAX_ITEMS
+from ..sources.fixtures import EDGE_DAY, EDGE_LINES, ID_SPAN, LINES
 
 TAB = "chr(9)"
 DELIM = ",[0-9;]+"
@@ -15,32 +15,42 @@ DELIM = ",[0-9;]+"
 def packed_cte(grain: str = "day") -> str:
     ts = "o.o_orderdate" if grain == "day" else "date_trunc('month', o.o_orderdate)"
     return f"""
-li AS (
-  SELECT l.l_orderkey, l.l_linenumber, concat_ws(' ', p.p_name, p.p_brand) AS pname,
-         CAST((row_number() OVER (PARTITION BY l.l_orderkey
-                                  ORDER BY l.l_linenumber, concat_ws(' ', p.p_name, p.p_brand)) - 1)
-              // {MAX_ITEMS} AS INTEGER) AS chunk
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 items AS (
-  SELECT l_orderkey, chunk,
-         string_agg(pname || ',' || CAST(l_linenumber AS VARCHAR), ';' ORDER BY l_linenumber, pname) AS allnames
-  FROM li GROUP BY l_orderkey, chunk),
+  SELECT l.l_orderkey, (l.l_linenumber - 1) // {LINES} AS block,
+         string_agg(concat_ws(' ', p.p_name, p.p_brand) || ',' || CAST(l.l_linenumber AS VARCHAR), ';'
+                    ORDER BY l.l_linenumber, concat_ws(' ', p.p_name, p.p_brand)) AS allnames
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2),
 packed AS (
-  SELECT o.o_orderkey AS id, i.chunk, CAST({ts} AS TIMESTAMP) AS ts, i.allnames
+  SELECT CAST(o.o_orderkey AS BIGINT) * {ID_SPAN} + i.block AS id, CAST({ts} AS TIMESTAMP) AS ts, i.allnames
   FROM orders o JOIN items i ON o.o_orderkey = i.l_orderkey)"""
 
 
+def edge_cte(grain: str = "day") -> str:
+    day = f"DATE '{EDGE_DAY}' + CAST(c_custkey % 365 AS INTEGER)"
+    if grain == "month":
+        day = f"date_trunc('month', {day})"
+    listed = ", ".join("'" + x.replace("'", "''") + "'" for x in EDGE_LINES)
+    return f"""
+edge0 AS (
+  SELECT CAST(c_custkey AS BIGINT) * {ID_SPAN} + {ID_SPAN // 2} AS id, c_name,
+         strftime(CAST({day} AS TIMESTAMP), '%Y%m%d%H%M%S') AS stamp,
+         [{listed}][CAST(c_custkey % {len(EDGE_LINES)} AS INTEGER) + 1] AS line FROM customer),
+edge AS (
+  SELECT id, replace(replace(replace(line, '{{S}}', stamp), '{{K}}', CAST(id AS VARCHAR)), '{{N}}', c_name) AS value
+  FROM edge0)"""
+
+
 def lines_cte(grain: str = "day") -> str:
     empties = ", ".join(["''"] * 20)
-    return packed_cte(grain) + f""",
+    return packed_cte(grain) + "," + edge_cte(grain) + f""",
 lines AS (
   SELECT id, concat_ws({TAB},
-           strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(id AS VARCHAR)
-             || CASE WHEN chunk > 0 THEN '.' || CAST(chunk AS VARCHAR) ELSE '' END,
+           strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(id AS VARCHAR),
            strftime(ts, '%Y%m%d%H%M%S'), '1', {empties},
            allnames,
            CASE WHEN id % 3 = 0 THEN 'am' ELSE '' END, '', '') AS value
-  FROM packed)"""
+  FROM packed
+  UNION ALL SELECT id, value FROM edge)"""
 
 
 def split_names_sql(s: str, delim: str = DELIM) -> str:
@@ -91,14 +101,15 @@ ev AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS ts, CAST({name} AS VARCHA
 
 
 def csv_value_sql(x: str) -> str:
-    """A field as the CSV reader returns it (quotes removed, empty -> NULL)."""
-    return (f"CASE WHEN {x} = '' THEN NULL "
-            f"WHEN starts_with({x}, '\"') AND length({x}) >= 2 AND ends_with({x}, '\"') "
-            f"THEN replace(substr({x}, 2, length({x}) - 2), '\"\"', '\"') ELSE {x} END")
+    """A field as the CSV reader returns it: a field that is one quoted text loses its
+    quotes (escape: backslash), text after an inner quote stays as it is, empty -> NULL."""
+    return (f"NULLIF(CASE WHEN regexp_full_match({x}, '\"([^\"\\\\]|\\\\.)*\" *') "
+            f"THEN replace(substr({x}, 2, length(rtrim({x}, ' ')) - 2), '\\\"', '\"') ELSE {x} END, '')")
 
 
-OPEN_QUOTE_SQL = ("list_bool_or(list_transform(f, lambda x: starts_with(x, '\"') "
-                  "AND NOT (length(x) >= 2 AND ends_with(x, '\"'))))")
+# A quote that nothing closes within its field takes the TABs behind it.
+OPEN_QUOTE_SQL = ("list_bool_or(list_transform(f, lambda x: "
+                  "regexp_full_match(x, '\"([^\"\\\\]|\\\\.)*\\\\?')))")
 
 
 def ts_ok_sql(s: str) -> str:

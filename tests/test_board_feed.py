@@ -56,7 +56,7 @@ def test_conflated_feed_example(spark):
     ch = spark.createDataFrame(
         [(base + dt.timedelta(seconds=s, milliseconds=q), 0, q, n, c) for s, q, n, c in rows],
         "t timestamp, delta int, id long, name string, count long")
-    msgs = {r["slot"].second: r["message"] for r in feed.conflated_feed(ch).collect()}
+    msgs = {r["slot"].second: r["message"] for r in feed.conflated_feed(ch, max_entries=1000).collect()}
     assert json.loads(msgs[0]) == [{"name": "A", "count": 2}, {"name": "B", "count": 1}]
     assert json.loads(msgs[1]) == [{"name": "B", "count": 0}, {"name": 'q"x', "count": 1}]
     snap = {r["name"]: r["count"] for r in feed.snapshot(ch).collect()}

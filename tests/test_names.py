@@ -110,7 +110,8 @@ def test_strict_reading_unquotes_closed_quotes(spark):
     got = {}
     for r in articles.mentions(df, "ds", keep=("id",)).collect():
         got.setdefault(r["id"], []).append(r["name"])
-    assert got == {1: ["A", "B"], 3: ['x"y']}
+    # A doubled quote is no escape for the reader, so the third field stays as it is.
+    assert got == {1: ["A", "B"], 3: ['"x""y', '"']}
 
 
 # ---- property: the name split follows java.lang.String.split(regex) -------------
@@ -178,3 +179,20 @@ def test_running_sum_keeps_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 5)], "k string, t int")
     got = bucketed_running_sum(df, ["k"], F.col("t") % 2, [F.col("t")], F.lit(1), "s").collect()
     assert len(got) == 4
+
+
+def test_csv_quotes_like_the_csv_reader(spark, tmp_path):
+    """The strict reading keeps, drops and unquotes fields as Spark's CSV reader does."""
+    from mentionscope.operators.articles import typed_articles
+    from mentionscope.schema import ARTICLE_SCHEMA
+    fields = ['"abc"def', '"a""b"', '"a\\"', '"abc', '"abc"', '"a\\"b"', 'a"b"', '""', '"a b" ', "plain"]
+    rows = [f"k{i}-1\t20150218230000\t1" + "\t" * 21 + f + "\t" * 3 for i, f in enumerate(fields)]
+    for i, line in enumerate(rows):  # one file a line: an open quote takes what follows
+        (tmp_path / f"{i}.csv").write_text(line + "\n")
+    key, names = ARTICLE_SCHEMA.fieldNames()[0], ARTICLE_SCHEMA.fieldNames()[23]
+    want = (spark.read.schema(ARTICLE_SCHEMA).option("sep", "\t").option("mode", "DROPMALFORMED")
+            .option("timestampFormat", "yyyyMMddHHmmss").csv(str(tmp_path)))
+    want = {tuple(r)[0]: tuple(r)[23] for r in want.collect()}
+    got = typed_articles(spark.createDataFrame([(r,) for r in rows], "value string"))
+    assert {r[key]: r[names] for r in got.collect()} == want
+    assert "k2-1" not in want and "k0-1" in want

@@ -50,14 +50,27 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_huge_orders_are_chunked_like_the_oracle(spark, con, monkeypatch):
-    """With the article bound lowered to 3 items, orders above it are cut into
-    chunks; Spark's positional split equals the SQL row_number split."""
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_article_lines_match_the_oracle(spark, con, grain):
+    """Articles and edge lines are the same input on both sides, with one id each."""
     from mentionscope.plans import oracle_sql as q
     from mentionscope.sources import fixtures as fx
-    monkeypatch.setattr(fx, "MAX_ITEMS", 3)
-    monkeypatch.setattr(q, "MAX_ITEMS", 3)
-    got = sorted(tuple(r) for r in fx.article_lines(spark, SF_SMALL, "day").select("id", "value").collect())
-    want = sorted(con.sql(f"WITH {q.lines_cte('day').lstrip()} SELECT id, value FROM lines").fetchall())
+    got = sorted(tuple(r) for r in fx.article_lines(spark, SF_SMALL, grain).select("id", "value").collect())
+    want = sorted(con.sql(f"WITH {q.lines_cte(grain).lstrip()} SELECT id, value FROM lines").fetchall())
     assert got == want
-    assert any(".1\t" in v for _, v in got)          # some orders were split
+    assert len({i for i, _ in got}) == len(got)
+
+
+def test_edge_lines_reach_the_rules(spark):
+    """Every rule meets lines it rejects or names it removes."""
+    from mentionscope.operators import articles
+    from mentionscope.sources import fixtures as fx
+    lines = fx.article_lines(spark, SF_SMALL).cache()
+    for mode in ("rdd", "ds", "stream"):
+        assert articles.rejects(articles.parse_articles(lines, mode)).count() > 0
+    raw = articles.mentions(lines, articles.ReadRules("lenient", True, (), ()))
+    assert raw.where("name = 'Type ParentCategory'").count() > 0
+    assert raw.where("name like '%Category'").count() > 0
+    assert raw.where("name = 'Audio Described'").count() > 0
+    assert raw.where("name = ''").count() > 0
+    lines.unpersist()
