@@ -93,7 +93,7 @@ def segments(texts: list[bytes]):
         least = np.minimum(least[: len(least) - (STARTS - width)], least[STARTS - width:])
     starts = np.arange(min(len(least), n - SPAN + 1))
     least = least[: len(starts)]
-    text = np.searchsorted(offsets, starts, "right") - 1
+    text = np.repeat(np.arange(len(texts)), np.diff(offsets))[: len(starts)]
     inside = starts + SPAN <= offsets[text + 1]
     starts, text = starts[inside], text[inside]
     if not len(starts):
@@ -120,10 +120,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
         for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, _, _, h, k, _, _ = segments(texts)
             tk = batch.column("t").to_numpy()[doc].view(np.uint64) << np.uint64(32) | k & low32
-            order = np.lexsort((tk, h))
-            h, tk = h[order], tk[order]
-            fresh = np.r_[True, (h[1:] != h[:-1]) | (tk[1:] != tk[:-1])] if len(h) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(tk[fresh].view(np.int64))], ["h", "tk"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tk.view(np.int64))], ["h", "tk"])
 
     def marks(batches):
         """Rows sorted by (block, h): two bitmaps for each block, 64 KB at a time."""
