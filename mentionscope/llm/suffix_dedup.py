@@ -120,10 +120,11 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
         for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, _, _, h, k, _, _ = segments(texts)
             tk = batch.column("t").to_numpy()[doc].view(np.uint64) << np.uint64(32) | k & low32
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(tk.view(np.int64))], ["h", "tk"])
+            yield pa.RecordBatch.from_arrays([pa.array(mix64(h).view(np.int64)), pa.array(tk.view(np.int64))], ["h", "tk"])
 
     def marks(batches):
-        """Rows sorted by (block, h): two bitmaps for each block, 64 KB at a time."""
+        """Rows sorted by scrambled anchor, whose high bits are its slot: two bitmaps
+        for each block of slots, 64 KB at a time."""
         block = last = None
         shared, mixed = np.zeros(1 << BLOCK_BITS, bool), np.zeros(1 << BLOCK_BITS, bool)
 
@@ -133,7 +134,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
 
         for batch in batches:
             h, tk = (batch.column(c).to_numpy().view(np.uint64) for c in ("h", "tk"))
-            blocks = ((h & np.uint64((1 << bits) - 1)) >> np.uint64(BLOCK_BITS)).astype(np.int64)
+            blocks = (h >> np.uint64(64 - bits + BLOCK_BITS)).astype(np.int64)
             for part in np.split(np.arange(len(h)), np.flatnonzero(np.diff(blocks)) + 1):
                 if not len(part):
                     continue
@@ -146,7 +147,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
                 if last is not None:  # the first row of the last anchor so far
                     x, y = np.r_[last[0], x], np.r_[last[1], y]
                 first = np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
-                slot = (x & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+                slot = (x >> np.uint64(64 - bits) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
                 shared[slot[y >> np.uint64(32) != y[first] >> np.uint64(32)]] = True
                 mixed[slot[y & low32 != y[first] & low32]] = True
                 last = x[-1], y[first[-1]]
@@ -154,8 +155,8 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
             yield done()
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    block = F.shiftright(F.col("h").bitwiseAND(F.lit((1 << bits) - 1)), BLOCK_BITS)
-    rows = docs.select("t", "text").mapInArrow(pairs, "h long, tk long").repartition(parts, block).sortWithinPartitions(block, "h")
+    block = F.shiftrightunsigned("h", 64 - bits + BLOCK_BITS)
+    rows = docs.select("t", "text").mapInArrow(pairs, "h long, tk long").repartition(parts, block).sortWithinPartitions("h")
     out = np.zeros((2, 1 << (bits - min(bits, BLOCK_BITS)), (1 << BLOCK_BITS) // 8), np.uint8)
     with shuffles_removed(docs.sparkSession):
         found = rows.mapInArrow(marks, "block int, shared binary, mixed binary").collect()
@@ -165,7 +166,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
 
 
 def _marked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = (h & np.uint64(len(bitmap) * 8 - 1)).astype(np.int64)
+    at = (mix64(h) >> np.uint64(64 - (len(bitmap) * 8 - 1).bit_length())).astype(np.int64)
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
