@@ -5,7 +5,8 @@ bounded sample are the top level; every vector belongs to its nearest
 pivot's cell, large cells are cut into blocks, and each block gets nested
 levels with halving radii (1, then 1/2, then the vectors). Two trees are
 traversed together: a pair of nodes is given up when their centres are further
-apart than both covering radii and the threshold. What is left is compared in
+apart than both covering radii and the threshold. Products are made in single
+precision with a bound on their error; what it leaves open is decided in
 double precision, so the pairs found are exactly those of the threshold.
 
 Equal vectors are one weighted class (named by a 64-bit hash) before any comparison. Tasks return link
@@ -73,83 +74,117 @@ def far_pivots(points: np.ndarray, count: int) -> np.ndarray:
     return points[chosen]
 
 
-def cover(points: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy net: (index of the centre that covers each point, its distance)."""
+def _slack(points: np.ndarray) -> float:
+    """Most that a product of unit vectors may be off in single precision."""
+    return 2.4e-7 * (points.shape[1] + 8)
+
+
+def cover(points: np.ndarray, radius: float, rows: int = 256) -> np.ndarray:
+    """Greedy net: the index of the centre that covers each point, first come first
+    served. Products are made for ``rows`` candidates at a time, in single precision:
+    radii are measured afterwards, so a point at the very edge may fall to either side."""
     owner = np.full(len(points), -1)
-    dist = np.zeros(len(points))
+    single = points.astype(np.float32)
     left = np.arange(len(points))
     while len(left):
-        c = left[0]
-        d = np.sqrt(np.maximum(2 - 2 * (points[left] @ points[c]), 0))
-        d[0] = 0
-        near = d <= radius
-        owner[left[near]], dist[left[near]] = c, d[near]
-        left = left[~near]
-    return owner, dist
+        near = single[left[:rows]] @ single[left].T >= 1 - radius * radius / 2
+        own = np.full(len(left), -1)
+        for r in range(len(near)):
+            if own[r] < 0:
+                own[near[r] & (own < 0)] = r
+                own[r] = r
+        done = own >= 0
+        owner[left[done]] = left[own[done]]
+        left = left[~done]
+    return owner
 
 
 def build(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Centres at radius 1 and, within each of those nodes, at radius 1/2 (indices per point)."""
-    coarse, _ = cover(points, 1.0)
+    coarse = cover(points, 1.0)
     fine = np.arange(len(points))
     order = np.argsort(coarse, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(coarse[order])) + 1):
         if len(part) > 1:
-            fine[part] = part[cover(points[part], 0.5)[0]]
+            fine[part] = part[cover(points[part], 0.5)]
     return coarse, fine
 
 
 class Tree:
-    """A block's points with their nodes: centres, covering radii, members."""
+    """A block's points with their nodes: centres, covering radii, members. Nodes are
+    numbered in order of their radius."""
 
     def __init__(self, points: np.ndarray, coarse: np.ndarray, fine: np.ndarray) -> None:
         self.points = points
-        self.fine_ids, self.fine = np.unique(fine, return_inverse=True)
-        self.coarse_ids, point_coarse = np.unique(coarse, return_inverse=True)
+        self.single = points.astype(np.float32)
+        self.fine_ids, self.fine, self.fine_radius = self._nodes(fine)
+        self.coarse_ids, point_coarse, self.coarse_radius = self._nodes(coarse)
         self.fine_coarse = point_coarse[self.fine_ids]
-        self.fine_radius = self._radius(self.fine_ids, self.fine)
-        self.coarse_radius = self._radius(self.coarse_ids, point_coarse)
-
-    def _radius(self, ids: np.ndarray, node: np.ndarray) -> np.ndarray:
-        d = np.sqrt(((self.points - self.points[ids][node]) ** 2).sum(1))
-        out = np.zeros(len(ids))
-        np.maximum.at(out, node, d)
-        return out
 
-
-def _near(a: np.ndarray, ra: np.ndarray, b: np.ndarray, rb: np.ndarray, reach: float) -> np.ndarray:
-    """Node pairs that the covering radii do not rule out."""
-    d2 = np.maximum(2 - 2 * (a @ b.T), 0)
-    bound = ra[:, None] + rb[None, :] + reach + 1e-7
-    return d2 <= bound * bound
+    def _nodes(self, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids, node = np.unique(centre, return_inverse=True)
+        d = np.sqrt(((self.points - self.points[centre]) ** 2).sum(1))
+        radius = np.zeros(len(ids))
+        np.maximum.at(radius, node, d)
+        order = np.argsort(radius, kind="stable")
+        place = np.empty(len(ids), np.int64)
+        place[order] = np.arange(len(ids))
+        return ids[order], place[node], radius[order]
+
+
+def _near(a: np.ndarray, ra: np.ndarray, b: np.ndarray, rb: np.ndarray, reach: float, slack: float) -> np.ndarray:
+    """Node pairs that the covering radii do not rule out, by products in single
+    precision. The columns (in order of radius) are taken in runs, each under its largest radius."""
+    out = a @ b.T
+    near = np.empty(out.shape, bool)
+    zero = int(np.searchsorted(rb, SLACK, "right"))
+    edges = [0, *np.linspace(zero, len(rb), 9).astype(int)]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        if hi > lo:
+            bound = np.minimum(ra + rb[hi - 1] + reach + 1e-7, 2.0)
+            least = (1 - bound * bound / 2 - slack).astype(np.float32)
+            np.greater_equal(out[:, lo:hi], least[:, None], out=near[:, lo:hi])
+    return near
+
+
+def _links(a: Tree, part: np.ndarray, b: Tree, cols: np.ndarray, cosine: float, slack: float) -> np.ndarray:
+    """Links of points: products in single precision decide the clear pairs, those
+    within the slack of the threshold are decided in double precision."""
+    s = a.single[part] @ b.single[cols].T
+    links = s >= np.float32(cosine + slack)
+    i, j = np.nonzero((s >= np.float32(cosine - slack)) & ~links)
+    for k in range(0, len(i), 1 << 16):
+        x, y = i[k: k + (1 << 16)], j[k: k + (1 << 16)]
+        links[x, y] = np.einsum("ij,ij->i", a.points[part[x]], b.points[cols[y]]) >= cosine
+    return links
 
 
 def linked_pairs(a: Tree, b: Tree, cosine: float = COSINE, rows: int = 512):
-    """Yields (rows of a, columns of b, boolean matrix of links), by dual traversal."""
+    """Yields (rows of a, columns of b, boolean matrix of links), by dual traversal.
+    As nodes come in order of their radius, single points, which few nodes of b are
+    near to, do not share a step with wide nodes."""
     reach = float(np.sqrt(2 - 2 * cosine))
+    slack = _slack(a.points)
     for first in range(0, len(a.coarse_ids), rows):
-        block = np.arange(first, min(first + rows, len(a.coarse_ids)))
-        coarse = _near(a.points[a.coarse_ids[block]], a.coarse_radius[block], b.points[b.coarse_ids], b.coarse_radius, reach)
+        block = slice(first, first + rows)
+        coarse = _near(a.single[a.coarse_ids[block]], a.coarse_radius[block], b.single[b.coarse_ids], b.coarse_radius, reach, slack)
         fine_b = np.flatnonzero(coarse.any(0)[b.fine_coarse])
         fine_all = np.flatnonzero((a.fine_coarse >= first) & (a.fine_coarse < first + rows))
         if not len(fine_b):
             continue
         for at in range(0, len(fine_all), rows):
             fine_a = fine_all[at: at + rows]
-            near = _near(a.points[a.fine_ids[fine_a]], a.fine_radius[fine_a], b.points[b.fine_ids[fine_b]], b.fine_radius[fine_b], reach)
-            near &= coarse[a.fine_coarse[fine_a] - first][:, b.fine_coarse[fine_b]]
+            near = _near(a.single[a.fine_ids[fine_a]], a.fine_radius[fine_a], b.single[b.fine_ids[fine_b]], b.fine_radius[fine_b], reach, slack)
             use_a, use_b = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
             if not len(use_a):
                 continue
-            row_of = np.full(len(a.fine_ids), -1)
-            row_of[fine_a[use_a]] = use_a
-            col_of = np.full(len(b.fine_ids), -1)
-            col_of[fine_b[use_b]] = use_b
-            points_a, points_b = np.flatnonzero(row_of[a.fine] >= 0), np.flatnonzero(col_of[b.fine] >= 0)
-            cols = col_of[b.fine[points_b]]
+            in_a, in_b = np.zeros(len(a.fine_ids), bool), np.zeros(len(b.fine_ids), bool)
+            in_a[fine_a[use_a]] = True
+            in_b[fine_b[use_b]] = True
+            points_a, points_b = np.flatnonzero(in_a[a.fine]), np.flatnonzero(in_b[b.fine])
             for k in range(0, len(points_a), rows):
                 part = points_a[k: k + rows]
-                links = (a.points[part] @ b.points[points_b].T >= cosine) & near[row_of[a.fine[part]]][:, cols]
+                links = _links(a, part, b, points_b, cosine, slack)
                 if links.any():
                     yield part, points_b, links
 
@@ -167,14 +202,18 @@ def compare(ids_a, weight_a, a: Tree, ids_b, weight_b, b: Tree | None):
     edges = []
     for part, points_b, links in linked_pairs(a, b):
         if same:
-            links &= part[:, None] != points_b[None, :]
-        degree[part] += links @ weight_b[points_b]
+            at = np.minimum(np.searchsorted(points_b, part), len(points_b) - 1)
+            itself = np.flatnonzero(points_b[at] == part)
+            links[itself, at[itself]] = False
+        row, col = np.nonzero(links)
+        if not len(row):
+            continue
+        col = points_b[col]
+        np.add.at(degree, part[row], weight_b[col])
         if not same:
-            degree[points_b + shift] += weight_a[part] @ links
-        for r, row in zip(part, links):
-            cols = points_b[row] + shift
-            if not len(cols):
-                continue
+            np.add.at(degree, col + shift, weight_a[part[row]])
+        for k in np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1):
+            r, cols = part[row[k[0]]], col[k] + shift
             other, at = np.unique(root[cols], return_index=True)
             fresh = other != root[r]
             for o, c in zip(other[fresh], cols[at[fresh]]):
