@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import NAMES_INDEX, STAMP_INDEX
+from ..schema import NAMES_INDEX
 
 # ---- fixed values ------------------------------------------------------------
 # Delimiter between names in the packed list "name,offset;name,offset". Greedy
@@ -106,11 +106,3 @@ def parse_record_id(rid) -> tuple[Column, Column]:
     ok = (F.size(parts) == 2) & a.isNotNull() & b.isNotNull()
     return (F.when(ok, a).otherwise(F.lit(0).cast("bigint")),
             F.when(ok, b).otherwise(F.lit(0).cast("bigint")))
-
-
-def names_field(fields: Column) -> Column:
-    return F.get(fields, NAMES_INDEX)
-
-
-def stamp_field(fields: Column) -> Column:
-    return F.get(fields, STAMP_INDEX)

@@ -57,6 +57,14 @@ def _published(board: DataFrame, step: str, bucket: str, key: str, value: str) -
                  .select(key, F.col("s.b").alias(bucket), F.col("s.v").alias(value), F.col("s.here").alias("here")))
 
 
+def published(board: DataFrame, step: str = "1 hour", bucket: str = "bucket",
+              key: str = "name", value: str = "count") -> DataFrame:
+    """What the boards publish: every seat, and a 0 for each name that lost its seat
+    since the board before -> ``bucket, name, count`` (one row per bucket and name)."""
+    p = _published(board, step, bucket, key, value)
+    return p.groupBy(bucket, key).agg(F.max_by(value, "here").alias(value))
+
+
 def tombstones(board: DataFrame, step: str = "1 hour", bucket: str = "bucket",
                key: str = "name", value: str = "count") -> DataFrame:
     """ST8: names on the board of one bucket and not on the next -> count 0.

@@ -11,23 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import record_key
+from ..functions.timefuncs import stamp_minute
 from .prefix import bucketed_row_number
 
 SEGMENT_MS = 900_000
 
 
-def file_position(df: DataFrame) -> DataFrame:
-    """Attach ``file``, ``pos`` and ``split`` to a text scan, in line order.
-
-    ``_metadata.file_block_start`` orders the splits of one file and
-    ``monotonically_increasing_id`` orders lines inside a split; order is only
-    meaningful within one file.
-    """
-    return df.select("*", F.col("_metadata.file_name").alias("file"),
-                     F.col("_metadata.file_block_start").alias("split"),
-                     F.monotonically_increasing_id().alias("pos"))
-
-
 def spread_event_times(df: DataFrame, segment: str, pos: str, start: Column,
                        interval_ms: int = SEGMENT_MS, bucket: Column | None = None,
                        out: str = "event_ts") -> DataFrame:
@@ -41,16 +31,37 @@ def spread_event_times(df: DataFrame, segment: str, pos: str, start: Column,
         bucket = F.shiftright(F.col(pos), 16)
     d = df.withColumn("__start_ms", F.unix_millis(start.cast("timestamp")))
     d = bucketed_row_number(d, [segment], bucket, [F.col(pos)], "__rn", key_total="n_lines")
-    step = F.floor(F.lit(interval_ms) / F.col("n_lines"))
+    step = F.expr(f"{int(interval_ms)} div n_lines")
     return (d.withColumn("line_no", F.col("__rn") - 1)
              .withColumn(out, F.timestamp_millis(F.col("__start_ms") + F.col("line_no") * step))
              .drop("__rn", "__start_ms"))
 
 
+def segment_starts(lines: DataFrame, segment: str, order: Column, value: str = "value") -> DataFrame:
+    """The minute that a segment's first line is stamped with -> ``segment, start``.
+
+    The stamp is the head of the record key. A line whose stamp does not parse is
+    passed over; a segment without any stamp has no start (NULL).
+    """
+    minute = stamp_minute(record_key(value))
+    return lines.groupBy(segment).agg(F.min_by(minute, F.when(minute.isNotNull(), order)).alias("start"))
+
+
+def replay_times(lines: DataFrame, segment: str, pos: str, bucket: Column | None = None,
+                 value: str = "value", interval_ms: int = SEGMENT_MS) -> DataFrame:
+    """E1 as the replay does it: :func:`spread_event_times` from the first line's own stamp.
+
+    One row per segment is joined back, null segments included. ``pos`` may be a struct.
+    """
+    starts = segment_starts(lines, segment, F.col(pos), value).withColumnRenamed(segment, "__segment")
+    d = lines.join(starts, F.col(segment).eqNullSafe(F.col("__segment")), "left").drop("__segment")
+    return spread_event_times(d, segment, pos, F.col("start"), interval_ms, bucket).drop("start")
+
+
 def segment_rates(df: DataFrame, segment: str, interval_s: int = SEGMENT_MS // 1000) -> DataFrame:
     """E5: rows per segment, the send rate that drains it within one interval
     (``n div seconds``) and the spacing between replayed rows in ms."""
     return (df.groupBy(segment)
               .agg(F.count(F.lit(1)).alias("n_lines"))
-              .withColumn("per_second", F.floor(F.col("n_lines") / F.lit(interval_s)))
-              .withColumn("step_ms", F.floor(F.lit(interval_s * 1000) / F.col("n_lines"))))
+              .withColumn("per_second", F.expr(f"n_lines div {int(interval_s)}"))
+              .withColumn("step_ms", F.expr(f"{int(interval_s) * 1000} div n_lines")))

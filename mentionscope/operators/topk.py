@@ -55,6 +55,11 @@ def top_lists(top: DataFrame, group: str = "day", name: str = "name",
     return top.groupBy(group).agg(as_pairs.alias("top"))
 
 
+def by_mentions(counts: DataFrame, name: str = "name", count: str = "mentions") -> DataFrame:
+    """All names by ``count`` descending, then name (distributed range sort)."""
+    return counts.orderBy(F.desc(count), F.asc(name))
+
+
 def global_top(counts: DataFrame, n: int, score: str = "mentions",
                tie: Sequence[str] = ("name",)) -> DataFrame:
     """T2 + T3: global descending sort cut at ``n`` (TakeOrderedAndProject:

@@ -19,6 +19,7 @@ from ..operators import articles, board, eventtime, feed, rolling, topk
 from ..schema import ARTICLE_COLUMNS
 from ..sources import fixtures as fx
 from ..sources import segments
+from ..streaming.sources import record_frame
 from . import oracle_sql as q
 
 
@@ -176,6 +177,15 @@ def t3_top_names_overall(spark, sf_dir):
     return topk.global_top(topk.count_mentions(m, ("name",)), 100)
 
 
+@register("t2_names_by_mentions", f"""
+WITH {q.mentions_cte('day').lstrip()}
+SELECT name, count(*) AS mentions FROM m GROUP BY name ORDER BY mentions DESC, name ASC""")
+def t2_names_by_mentions(spark, sf_dir):
+    """Every name in order of its mentions (a range-partitioned sort, no cut)."""
+    m = articles.mentions(_lines(spark, sf_dir), "rdd")
+    return topk.by_mentions(topk.count_mentions(m, ("name",)))
+
+
 @register("t4_queue_head_flag", f"""
 WITH {q.lines_cte('day').lstrip()}
 SELECT id, (row_number() OVER (ORDER BY id)) <= 1000 AS in_head FROM lines""")
@@ -305,6 +315,23 @@ def s7_new_segments(spark, sf_dir):
     return segments.new_segments(listed, seen)
 
 
+@register("f12_after_marks", f"""
+WITH {q.events_cte().lstrip()},
+listed AS (SELECT DISTINCT name, strftime({_SEG_SQL}, '%Y%m%d%H%M00') || '.gkg.csv' AS file_name FROM ev),
+mid AS (SELECT name, epoch_ms((min(epoch_ms(ts)) + max(epoch_ms(ts))) // 2) AS ts FROM ev GROUP BY name),
+marks AS (SELECT name, strftime({_SEG_SQL}, '%Y%m%d%H%M00') || '.gkg.csv' AS mark FROM mid)
+SELECT l.name, l.file_name FROM listed l JOIN marks k ON l.name = k.name WHERE l.file_name > k.mark""")
+def f12_after_marks(spark, sf_dir):
+    """per feed (event type) the segments whose name sorts after its mark, the middle of its time."""
+    ev = _types(spark, sf_dir)
+    listed = ev.select("name", tf.segment_name(tf.floor_segment("ts")).alias("file_name")).distinct()
+    ms = F.unix_millis("ts")
+    mid = ev.groupBy("name").agg(F.min(ms).alias("lo"), F.max(ms).alias("hi"))
+    at = F.timestamp_millis(F.expr("(lo + hi) div 2"))
+    marks = mid.select("name", tf.segment_name(tf.floor_segment(at)).alias("mark"))
+    return segments.after_marks(listed, marks, feed="name")
+
+
 # ----------------------------------------------------------- event time
 @register("e1_event_time_spread", f"""
 WITH {q.events_cte().lstrip()},
@@ -321,6 +348,24 @@ def e1_event_time_spread(spark, sf_dir):
                       ntz("event_ts").alias("event_ts"))
 
 
+@register("k2_record_frame", f"""
+WITH {q.lines_cte('day').lstrip()},
+k AS (SELECT id, value, id // {64 * fx.ID_SPAN} AS segment, split_part(value, chr(9), 1) AS key FROM lines),
+s AS (SELECT *, CASE WHEN regexp_full_match(substr(key, 1, 12), '[0-9]{{12}}') THEN try_strptime(substr(key, 1, 12), '%Y%m%d%H%M') END AS minute FROM k),
+st AS (SELECT segment, arg_min(minute, id) FILTER (WHERE minute IS NOT NULL) AS start FROM s GROUP BY segment),
+x AS (SELECT s.*, row_number() OVER (PARTITION BY segment ORDER BY id) - 1 AS line_no, count(*) OVER (PARTITION BY segment) AS n FROM s)
+SELECT key, value, CAST(0 AS INTEGER) AS partition, epoch_ms(epoch_ms(start) + line_no * (900000 // n)) AS event_ts,
+       CAST(epoch_ms(start) + line_no * (900000 // n) AS VARCHAR) AS event_ts_ms
+FROM x JOIN st ON x.segment = st.segment""")
+def k2_record_frame(spark, sf_dir):
+    """K2 + E1: the replayed record of every article line - key, value, partition and event time
+    (also as a header), 64 orders to a segment, from the stamp of the segment's first line."""
+    lines = _lines(spark, sf_dir).withColumn("segment", F.expr(f"id div {64 * fx.ID_SPAN}"))
+    rec = record_frame(eventtime.replay_times(lines, "segment", "id"))
+    header = F.decode(rec["headers"][0]["value"], "UTF-8").alias("event_ts_ms")
+    return rec.select("key", "value", "partition", ntz("event_ts").alias("event_ts"), header)
+
+
 @register("e5_segment_rates", f"""
 WITH {q.events_cte().lstrip()}
 SELECT {_SEG_SQL} AS segment_start, count(*) AS n_lines, count(*) // 900 AS per_second,
@@ -441,6 +486,23 @@ def k5_conflated_feed(spark, sf_dir):
     return out.withColumn("slot", ntz("slot"))
 
 
+@register("k5_board_feed", f"""
+WITH {q.boards_cte(100).lstrip()},
+prev AS (SELECT bucket + INTERVAL 1 HOUR AS bucket, name FROM board),
+tomb AS (SELECT p.bucket, p.name, CAST(0 AS BIGINT) AS count FROM prev p
+         WHERE NOT EXISTS (SELECT 1 FROM board b WHERE b.bucket = p.bucket AND b.name = p.name)),
+fd AS (SELECT bucket, name, count FROM board UNION ALL SELECT bucket, name, count FROM tomb),
+r AS (SELECT bucket AS slot, name, count, row_number() OVER (PARTITION BY bucket ORDER BY name) AS pos FROM fd)
+SELECT slot, CAST((pos - 1) // 1000 AS INTEGER) AS chunk, count(*) AS n_entries,
+       CAST(to_json(list({{'name': name, 'count': count}} ORDER BY pos)) AS VARCHAR) AS message
+FROM r GROUP BY 1, 2""")
+def k5_board_feed(spark, sf_dir):
+    """K5 over what the boards publish: per hour every seat and a 0 for each name that left."""
+    changes = board.published(_hourly_boards(spark, sf_dir))
+    out = feed.conflated_feed(changes, max_entries=1000, every="1 hour", t="bucket", seq=("bucket", "name"))
+    return out.withColumn("slot", ntz("slot"))
+
+
 @register("k6_board_snapshot", f"""
 WITH {q.boards_cte(100).lstrip()},
 prev AS (SELECT bucket + INTERVAL 1 HOUR AS bucket, name FROM board),

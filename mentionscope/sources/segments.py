@@ -62,6 +62,15 @@ def after_high_water_mark(listed: DataFrame, last_file: str, file: str = "file_n
     return listed.where(F.col(file) > F.lit(last_file))
 
 
+def after_marks(listed: DataFrame, marks: DataFrame, feed: str = "feed", file: str = "file_name",
+                mark: str = "mark") -> DataFrame:
+    """F12 for several feeds: per feed, the listed names after its own newest seen one
+    (``marks``: one row per feed). A feed without a mark has seen nothing, so all is new."""
+    m = marks.select(F.col(feed).alias("__feed"), mark)
+    new = listed.join(m, F.col(feed).eqNullSafe(F.col("__feed")), "left").where(F.col(mark).isNull() | (F.col(file) > F.col(mark)))
+    return new.drop("__feed", mark)
+
+
 def last_key(log: DataFrame, key: str = "key", offset: str = "offset",
              default: str = DEFAULT_LAST_KEY) -> DataFrame:
     """Key of the last record of a log, or the default when it is empty."""

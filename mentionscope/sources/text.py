@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.articles import typed_articles
-from ..schema import ARTICLE_SCHEMA
 
 
 def read_lines(spark: SparkSession, paths, with_file: bool = False) -> DataFrame:
@@ -40,12 +39,6 @@ def read_articles(spark: SparkSession, paths, mode: str = "drop") -> DataFrame:
     return typed
 
 
-def read_clean_csv(spark: SparkSession, paths) -> DataFrame:
-    """S2 for input known to be clean: the CSV reader, TAB separated, no quoting."""
-    return (spark.read.option("sep", "\t").option("quote", "").option("mode", "DROPMALFORMED")
-            .option("timestampFormat", "yyyyMMddHHmmss").schema(ARTICLE_SCHEMA).csv(paths))
-
-
 def repair_utf8(col: str = "value") -> F.Column:
     """Drop malformed UTF-8 byte sequences (valid text is left untouched).
     A genuine U+FFFD is set aside as a noncharacter while the malformed ones go."""

@@ -2,9 +2,8 @@
 
 Reads record files (``key, value, event_ts`` parquet) from a folder as a file
 stream and keeps the exact rolling changelog, the leaderboard and the feed
-under ``base``. ``--form tables`` runs one foreachBatch query over state
-tables; ``--form processor`` runs the stateful processor and the board as two
-queries.
+under ``base``. The stateful processor and the board run as two queries;
+``--form tables`` runs one foreachBatch query over state tables instead.
 """
 
 import argparse
@@ -20,7 +19,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="Rolling one-hour mention counts and leaderboard")
     ap.add_argument("records", help="folder of record files (parquet: key, value, event_ts)")
     ap.add_argument("base", help="folder for changelog, state, feed and checkpoints (shared storage)")
-    ap.add_argument("--form", choices=["tables", "processor"], default="tables")
+    ap.add_argument("--form", choices=["tables", "processor"], default="processor")
     ap.add_argument("--delay-minutes", type=int, default=15)
     ap.add_argument("--board", type=int, default=100)
     ap.add_argument("--files-per-trigger", type=int, default=1)
