@@ -240,7 +240,10 @@ def _hubs(rows):
     first = np.flatnonzero(fresh)
     size = np.diff(np.r_[first, len(key)])
     least = np.repeat(n[first], size)
-    band = np.floor(np.log(n / least) / np.log(1.25) + 1e-9)
+    # A band holds its upper edge: two sets of 4k and 5k elements may link. The first
+    # band is cut in integers, so a list of two is compared or its sizes are incompatible.
+    band = np.ceil(np.log(n / least) / np.log(1.25) - 1e-9) - 1
+    band = np.where(4 * n.astype(np.int64) <= 5 * least.astype(np.int64), 0, np.maximum(band, 1))
     lead = fresh | np.r_[True, band[1:] != band[:-1]]
     at = np.flatnonzero(lead)
     group = np.cumsum(lead) - 1
@@ -279,7 +282,8 @@ def hub_pairs(listed: DataFrame) -> DataFrame:
 
 
 def open_lists(listed: DataFrame, linked: DataFrame) -> DataFrame:
-    """``key, n, cls, comp, m`` of the lists of m > 2 members that still hold different components."""
+    """``key, n, cls, comp, m`` of the lists of m > 2 members that still hold different
+    components. (Two members in a band are compared already, all others cannot link.)"""
     rows = listed.select("key", "n", "cls").join(linked, F.col("cls") == F.col("node"), "left")
     rows = cut(rows.select("key", "n", "cls", F.coalesce("component", "cls").alias("comp")))
     mixed = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))

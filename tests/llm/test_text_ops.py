@@ -67,6 +67,18 @@ def test_jaccard_against_brute_force(make_docs):
     assert sorted(got) == brute_components(rows)
 
 
+def test_nested_sets_at_the_threshold(make_docs):
+    """A set of 4k shingles within one of 5k has J = 4/5 exactly: it links."""
+    rows = []
+    for k in (1, 2, 3, 7, 20, 64):
+        w = ["k%dw%d" % (k, i) for i in range(5 * k + 5)]
+        rows += [(100 * k, " ".join(w[:5 * k + 4])), (100 * k + 1, " ".join(w[:4 * k + 4])), (100 * k + 2, " ".join(w[:4 * k + 4])),
+                 (100 * k + 50, " ".join("far" + x for x in w[:5 * k + 5])), (100 * k + 51, " ".join("far" + x for x in w[:4 * k + 4]))]
+    got = collect(jaccard.near_duplicates(make_docs(rows)), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == brute_components(rows)
+    assert {d: c for d, _, c in got}[2001] == 2000 and {d: c for d, _, c in got}[2051] == 2051
+
+
 @pytest.mark.parametrize("short", [2, 16])
 def test_long_lists_by_blocks(make_docs, monkeypatch, short):
     """A loose group, none of whose members need be near the first: lists of any length."""
