@@ -5,18 +5,19 @@ edits. Cut into k + 1 pieces, at least one piece of any such occurrence is
 unchanged, so all pieces go into one Aho-Corasick automaton, and only places
 around exact piece hits are verified, by Myers' bit-parallel edit distance.
 Texts are compared with A-Z lower-cased and white space turned into one space.
+Items under ``SHORT`` characters must occur without edits, as whole words.
 
 The items are the stated query set: they are taken in blocks of bounded size,
 each broadcast to one pass over all documents.
 
-Edge cases: null or empty texts and items match nothing; items under
-``MIN_CHARS`` characters are not searched (a word is no leak); repeated
-documents each get their rows; repeated items too; empty tables give an empty
-result; extra columns are ignored.
+Edge cases: null or empty texts and items match nothing; an item of symbols
+alone must stand between white space; repeated documents each get their rows;
+repeated items too; empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from .common import arrow_slices
 
 RATE = 0.08
-MIN_CHARS = 30
+SHORT = 30
 BLOCK_CHARS = 2_000_000
+# Scripts written without spaces, whose every character is a word's edge.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def plain(raw: bytes) -> str:
@@ -42,6 +45,24 @@ def pieces(item: str, rate: float = RATE) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(edges, edges[1:])]
 
 
+def edits_allowed(item: str, rate: float = RATE) -> int:
+    return int(rate * len(item)) if len(item) >= SHORT else 0
+
+
+def _in_word(c: str) -> bool:
+    return c.isalnum() and not UNSPACED.match(c)
+
+
+def stands_alone(text: str, a: int, b: int) -> bool:
+    """Whether ``text[a:b]`` begins and ends where words do; without any letter or
+    digit of its own, whether it stands between white space."""
+    symbols = not any(c.isalnum() for c in text[a:b])
+    for inner, outer in ((text[a], text[a - 1: a]), (text[b - 1], text[b: b + 1])):
+        if outer and (outer != " " if symbols else _in_word(inner) and _in_word(outer)):
+            return False
+    return True
+
+
 def masks(item: str) -> dict[str, int]:
     out: dict[str, int] = {}
     for i, c in enumerate(item):
@@ -83,12 +104,12 @@ class Finder:
         import ahocorasick
 
         self.items = {k: t for k, t in items}
-        self.budget = {k: int(rate * len(t)) for k, t in items}
-        self.masks = {k: masks(t) for k, t in items}
-        self.back = {k: masks(t[::-1]) for k, t in items}
+        self.budget = {k: edits_allowed(t, rate) for k, t in items}
+        self.masks = {k: masks(t) for k, t in items if self.budget[k]}
+        self.back = {k: masks(t[::-1]) for k, t in items if self.budget[k]}
         found: dict[str, list[tuple[int, int]]] = {}
         for k, t in items:
-            for offset, piece in pieces(t, rate):
+            for offset, piece in pieces(t, rate if len(t) >= SHORT else 0):
                 found.setdefault(piece, []).append((k, offset))
         self.automaton = ahocorasick.Automaton()
         for piece, owners in found.items():
@@ -109,10 +130,12 @@ class Finder:
         for k, at in starts.items():
             item, budget, best = self.items[k], self.budget[k], None
             n = len(item)
-            exact = next((a for a in sorted(at) if a >= 0 and text.startswith(item, a)), None)
+            exact = next((a for a in sorted(at) if a >= 0 and text.startswith(item, a) and (n >= SHORT or stands_alone(text, a, a + n))), None)
             if exact is not None:
                 out.append((k, 0, exact, exact + n))
                 continue
+            if not budget:
+                continue
             reached = -1
             for a in sorted(at):
                 # Windows of neighbouring starts are verified as one.
@@ -140,14 +163,15 @@ def find(docs: DataFrame, items: DataFrame, rate: float = RATE, block_chars: int
     item_type = items.schema["item_id"].dataType
     spec = f"doc_id {doc_type}, item_id {item_type.simpleString()}, edits int, budget int, first_char int, last_char int"
     d = docs.select("doc_id", "text")
-    items = items.select("item_id", "text").where(F.length("text") >= MIN_CHARS)
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    items = items.select("item_id", "text").where(F.length("text") > 0)
+    # A short item counts as SHORT characters, which bounds the items of a block as well.
+    total = items.agg(F.sum(F.greatest(F.length("text"), F.lit(SHORT)))).first()[0] or 0
     count = max(1, -(-total // block_chars))
     out = None
     for b in range(count):
         block = [(r["item_id"], plain(r["text"].encode()))
                  for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == b).collect()]
-        block = [(i, t) for i, t in block if len(t) >= MIN_CHARS]
+        block = [(i, t) for i, t in block if t]
         sent = d.sparkSession.sparkContext.broadcast(block)
 
         def run(batches, sent=sent):

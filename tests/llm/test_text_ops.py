@@ -186,6 +186,18 @@ def test_decontamination_against_brute_force(make_docs, spark):
     assert decontam.find(docs, bench.where("false")).count() == 0 and decontam.clean(make_docs([]), bench).count() == 0
 
 
+def test_short_items_are_found_word_for_word(make_docs, spark):
+    bench = spark.createDataFrame([(1, "What is 2+2?"), (2, "Paris"), (3, " \n"), (4, "?!"), (5, "\u4e2d\u6587\u9898"), (6, "blue  Whale song")], "item_id long, text string")
+    rows = [(1, "Q: what  is 2+2? four"), (2, "comparison of parisian plays"), (3, "(PARIS)"), (4, "really?! yes"), (5, "a ?! b"),
+            (6, "x\u8fd9\u4e2d\u6587\u9898\u662f"), (7, "a blue\twhale song"), (8, "a blue whale sang"), (9, "paris"), (10, "parisian paris"), (11, "blue whale songs")]
+    for chars in (10 ** 6, 20):
+        got = decontam.find(make_docs(rows), bench, block_chars=chars).collect()
+        assert {(r["doc_id"], r["item_id"], r["edits"], r["budget"]) for r in got} == {(d, i, 0, 0) for d, i in ((1, 1), (3, 2), (5, 4), (6, 5), (7, 6), (9, 2), (10, 2))}
+    at = {r["doc_id"]: (r["first_char"], r["last_char"]) for r in got}
+    assert at[10] == (9, 14) and at[3] == (1, 6)
+    assert collect(decontam.clean(make_docs(rows), bench), "doc_id") == [(11,), (2,), (4,), (8,)]
+
+
 def test_lm_base_and_normalised_probabilities(make_docs):
     rows = corpus(2)
     got = lm.score(make_docs(rows, extra=["row", "held"]), hot=50).collect()
