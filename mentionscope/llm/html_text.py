@@ -2,8 +2,10 @@
 
 A page is cut into blocks at block-level tags. Each block has its word count
 and link density, those of its neighbours, and what its containers say
-(semantic tags, words of their class, id and role). A decision tree trained on
-the small labelled table below decides which blocks are main text.
+(semantic tags, words of their class, id and role). A container that says
+furniture counts by its share of the page's words, and only if it does not hold
+the page's article: a wrapper with such a word loses nothing. A decision tree
+trained on the small labelled table below decides which blocks are main text.
 
 Edge cases: null or empty html, and a page without main text, give the empty
 string; broken markup is read as far as it goes; repeated rows give equal
@@ -48,31 +50,93 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Block:
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
-    furniture: int = 0
-    main: int = 0
+    within: set[int] = field(default_factory=set)
+    hidden: int = 0
     heading: int = 0
+    share: float = 1.0
+    beside: int = 0
+    main: int = 0
 
 
-def _says(attributes: str) -> tuple[int, int]:
-    """Whether class, id, role or style name page furniture, or content."""
-    furniture, content = 0, 0
+@dataclass
+class Container:
+    """An element that says furniture or content, by tag or by words; the first one is the page."""
+    parent: int
+    furniture: bool = False
+    semantic: bool = False
+    content: bool = False
+    words: int = 0
+
+
+def _says(attributes: str) -> tuple[int, int, int]:
+    """Whether class, id or role name page furniture, or content, and whether the element is hidden."""
+    furniture, content, hidden = 0, 0, 0
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("hidden", "aria-hidden"):
-            furniture |= name == "hidden" or value.lower() == "true"
+            hidden |= name == "hidden" or value.lower() == "true"
         elif name == "style":
-            furniture |= "display:none" in value.replace(" ", "").lower()
+            hidden |= "display:none" in value.replace(" ", "").lower()
         else:
             said = set(PARTS.split(CAMEL.sub(" ", value).lower()))
             furniture |= not said.isdisjoint(FURNITURE)
             content |= not said.isdisjoint(CONTENT)
-    return int(furniture), int(content)
+    return int(furniture), int(content), int(hidden)
+
+
+def article_path(held: list[Container]) -> list[int]:
+    """The page's article, from the outside in: of the elements that say content the
+    one with the most words, and so on within it. Words of a container that says
+    furniture between count in part, and an element that says both must hold a third of what is around it."""
+    n = len(held)
+    words, said, end = np.array([c.words for c in held]), np.zeros(n, int), np.arange(1, n + 1)
+    for i in range(1, n):
+        said[i] = said[held[i].parent] + held[i].furniture
+    for i in range(n - 1, 0, -1):
+        end[held[i].parent] = max(end[held[i].parent], end[i])
+    furniture, semantic = (np.array([getattr(c, k) for c in held]) for k in ("furniture", "semantic"))
+    can = np.array([(c.semantic or c.content) and c.words > 0 for c in held])
+    path, scope = [], 0
+    while True:
+        i = np.arange(scope + 1, end[scope])
+        between = said[i] - said[scope]
+        least = np.where(furniture[i] & ~(semantic[i] & (scope == 0)), 1 / 3, np.where((between > 0) | (scope > 0), 0.2, 0.0))
+        keep = can[i] & (words[i] >= least * words[scope])
+        if not keep.any():
+            return path
+        i, weight = i[keep], (words[i] / (1 + between))[keep]
+        scope = int(i[np.flatnonzero(weight == weight.max())[-1]])
+        path.append(scope)
+
+
+def judge(found: list[tuple[str, Block]], held: list[Container]) -> None:
+    """Sets ``share``, ``beside`` and ``main`` of the blocks."""
+    for c in reversed(held[1:]):
+        held[c.parent].words += c.words
+    path = article_path(held)
+    around = {0, *path}
+    for i in path:
+        while i:
+            i = held[i].parent
+            around.add(i)
+    total = max(held[0].words, 1)
+    share, main = [1.0] * len(held), [0] * len(held)
+    for i, c in enumerate(held[1:], 1):  # parents come first
+        own = c.words / total if c.furniture and i not in around else 1.0
+        share[i] = min(share[c.parent], own)
+        main[i] = int(main[c.parent] or c.semantic or (c.content and not c.furniture) or i in path)
+    for _, block in found:
+        least = min((share[i] for i in block.within), default=1.0)
+        block.share = 0.0 if block.hidden else least
+        block.beside = int(bool(path) and least < 1)
+        block.main = max((main[i] for i in block.within), default=0)
 
 
 def blocks(page: str) -> list[tuple[str, Block]]:
     """Flat text blocks in page order, with white space turned into one space."""
     out: list[tuple[str, Block]] = []
-    stack: list[tuple[str, int, int, int]] = []  # tag, unseen, furniture, main
+    stack: list[tuple[str, int, int, int, int]] = []  # tag, unseen, hidden, main, container
+    held = [Container(0)]
     block, links = Block(), 0
 
     def close() -> None:
@@ -91,8 +155,10 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             if links:
                 block.linked.append(text)
             if stack:
-                block.furniture |= stack[-1][2]
-                block.main |= stack[-1][3]
+                block.hidden |= stack[-1][2]
+            inner = stack[-1][4] if stack else 0
+            block.within.add(inner)
+            held[inner].words += len(text.split())
             block.heading |= any(s[0] in HEADING for s in stack[-4:])
 
     at, size = 0, len(page)
@@ -130,21 +196,27 @@ def blocks(page: str) -> list[tuple[str, Block]]:
                 del stack[depth:]
         if tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == tag:
             stack.pop()
-        _, unseen, furniture, main = stack[-1] if stack else ("", 0, 0, 0)
-        says_furniture, says_content = _says(attributes) if attributes else (0, 0)
+        _, unseen, hidden, main, inner = stack[-1] if stack else ("", 0, 0, 0, 0)
+        says_furniture, says_content, says_hidden = _says(attributes) if attributes else (0, 0, 0)
         if tag in ("html", "body"):
-            says_furniture = 0
+            says_furniture = says_hidden = 0
         chrome = tag in CHROME and not (tag == "header" and main and not says_furniture)
-        stack.append((tag, unseen | (tag in UNSEEN), int(furniture | chrome | says_furniture),
-                      int(main | (tag in MAIN) | (says_content and not says_furniture))))
+        if chrome or says_furniture or says_content or tag in MAIN:
+            held.append(Container(inner, bool(chrome or says_furniture), tag in MAIN, bool(says_content)))
+            inner = len(held) - 1
+        stack.append((tag, unseen | (tag in UNSEEN), int(hidden | says_hidden),
+                      int(main | (tag in MAIN) | (says_content and not says_furniture)), inner))
         links += tag == "a"
     close()
+    judge(out, held)
     return out
 
 
 # Columns: words, link density, words before, link density before, words after,
-# link density after, in furniture, in main container, heading; then the label.
-FEATURES = 9
+# link density after, share of the page's words in the least container that says
+# furniture and does not hold the article (1: in none, 0: hidden), in main
+# container, heading, whether the page has an article beside that container; then the label.
+FEATURES = 10
 LABELLED = np.array([
     # link lists and links within an article
     [25, .60, 40, .0, 40, .0, 0, 1, 0, 1], [12, 1.0, 40, .0, 35, .0, 0, 1, 0, 1], [2, 1.0, 30, .0, 25, .0, 0, 1, 0, 1],
@@ -170,6 +242,24 @@ LABELLED = np.vstack([LABELLED] + [
     for n, before, after, density, linked in product((2, 6, 18, 70), (2, 15, 60), (2, 15, 60), (.35, .7, 1.), (.0, 1.))])
 
 
+def _shares(rows: np.ndarray) -> np.ndarray:
+    """The rows above by share. Little of the page in a furniture container is
+    furniture; so is much of it where the article is beside; without an article a
+    container of most words is a wrapper, whose blocks are judged as if it said nothing."""
+    def with_share(x, share, beside):
+        return np.column_stack([x[:, :6], np.full(len(x), share), x[:, 7:9], np.full(len(x), beside), x[:, 9]])
+    inside, outside = rows[rows[:, 6] == 1], rows[rows[:, 6] == 0]
+    bare = outside[outside[:, 7] == 0]
+    # In furniture neither the block nor its main container changes the answer.
+    moved = np.vstack([np.column_stack([outside[:, :6], np.tile([1, main, heading, 0], (len(outside), 1))]) for main, heading in product((0, 1), (0, 1))])
+    return np.vstack([with_share(outside, 1.0, 0), with_share(inside, .03, 0)] + [with_share(moved, share, beside) for share, beside in
+                     ((.0, 0), (.0, 1), (.45, 0), (.45, 1), (.98, 1))]
+                     + [with_share(bare, share, 0) for share in (.6, .8, .98)])
+
+
+LABELLED = _shares(LABELLED)
+
+
 def grow(x: np.ndarray, y: np.ndarray, least: int = 1):
     """Decision tree by Gini impurity: a leaf is a probability, a node (feature, cut, low, high)."""
     p = y.mean()
@@ -206,7 +296,7 @@ def features(found: list[tuple[str, Block]]) -> np.ndarray:
     n = np.array([len(t.split()) for t, _ in found], float)
     linked = np.array([len(" ".join(b.linked).split()) if b.linked else 0 for _, b in found], float)
     density = np.minimum(linked / n, 1.0)
-    own = np.array([(b.furniture, b.main, b.heading) for _, b in found], float)
+    own = np.array([(b.share, b.main, b.heading, b.beside) for _, b in found], float)
     z = [0.0]
     return np.column_stack([n, density, np.r_[z, n[:-1]], np.r_[z, density[:-1]], np.r_[n[1:], z], np.r_[density[1:], z], own])
 

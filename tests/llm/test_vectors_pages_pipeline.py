@@ -71,6 +71,36 @@ def test_main_text(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+ARTICLE = "<h1>A title</h1><p>First paragraph of the text that is long enough.</p><p>A second one, with <a href='x'>a link</a> in it.</p>"
+ARTICLE_TEXT = "A title First paragraph of the text that is long enough. A second one, with a link in it."
+AROUND = "<nav><a href='/'>Home</a> <a href='/b'>B</a></nav>{}<aside class='sidebar'><p>Side words that go on for a while.</p></aside><footer>The end</footer>"
+
+
+def test_wrappers_that_say_furniture():
+    """One furniture word on an element around the article loses nothing of it, and
+    real furniture inside or beside stays out."""
+    comments = "<section id='comments'><h2>Comments</h2><div class='comment-body'><p>I am a reader with a comment to make.</p></div></section>"
+    ad = "<div class='ad'>Buy now, this is the best offer of all.</div>"
+    for page in (
+        AROUND.format(f"<article>{ARTICLE}{ad}</article>"),
+        AROUND.format(f"<div class='layout has-sidebar'><article>{ARTICLE}{ad}</article>{comments}</div>"),
+        AROUND.format(f"<article class='post no-comments'>{ARTICLE}{ad}</article>"),
+        AROUND.format(f"<main class='with-sidebar'><div class='side-by-side'><article class='post has-comments'>{ARTICLE}</article></div>{comments}</main>"),
+        AROUND.format(f"<form id='search-form'><div class='post no-comments'>{ARTICLE}</div>{comments}</form>"),
+        "<div id='page' class='header-fixed'>" + AROUND.format(f"<article>{ARTICLE}</article>{comments}") + "</div>",
+        "<div id='page' class='header-fixed'>" + AROUND.format(f"<div class='content'>{ARTICLE}{ad}</div>") + "</div>",
+    ):
+        assert html_text.main_text(page) == ARTICLE_TEXT, page
+    plain = "".join(f"<p>{'word ' * 30}{i}.</p>" for i in range(6))
+    assert html_text.main_text(f"<div id='page' class='header-fixed'>{plain}<div class='ad'>{'buy ' * 20}</div></div>").split() == [
+        w for i in range(6) for w in ["word"] * 30 + [f"{i}."]]
+    long = f"<section class='comments'>{'<p>' + 'reply ' * 40 + '</p>'}{'<p>' + 'answer ' * 160 + '</p>'}<p>{"see " * 90}<a href='x'>{"there " * 60}</a></p></section>"
+    assert html_text.main_text(f"<article>{ARTICLE}</article>{long}") == ARTICLE_TEXT
+    assert html_text.main_text(f"<article hidden>{ARTICLE}</article>") == ""
+    deep = "".join(f"<div class='content sidebar'>w{i} " for i in range(3000))
+    assert len(html_text.main_text(f"<article>{deep}").split()) >= 1
+
+
 def test_whole_pages_table(spark):
     import html
     import re
