@@ -15,6 +15,10 @@ sorted again). Neighbours in it that agree in 50 bytes are one string; the
 common prefix is read off the ranks of the 32-byte round, which numpy can do at
 once, instead of Kasai's loop over bytes. The least doc_id of each string says
 which parts of a segment go. Shards need no merging, as no string is in two.
+An anchor with many different segments (a very common line with another neighbour
+each time) goes to no shard: its 50-byte strings are dealt one by one, by a
+128-bit hash of the whole string, and the least doc_id of each comes by a partial
+and final minimum.
 
 Edge cases: null text is empty; texts under 50 bytes lose nothing; rows with
 one doc_id never remove from each other unless a smaller one has the string;
@@ -37,6 +41,7 @@ from .common import arrow_slices, mix64, shuffles_removed, stored
 
 SPAN, GRAM = 50, 20
 STARTS = SPAN - GRAM + 1
+MANY = 1 << 14  # rows with another segment than the first from which an anchor is dealt by its strings
 PLACE_BITS = 26
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 22, 28, 19
 SLICE, CHUNK = 1 << 16, 1 << 18  # bytes of text hashed at a time (arrays that fit a core's cache), of a suffix array
@@ -106,9 +111,10 @@ def segments(texts: list[bytes]):
     return doc, a - offsets[doc], b - offsets[doc], h[anchor[first]], _digests(h[:n], a, b), data, offsets
 
 
-def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+def anchor_bitmaps(docs: DataFrame, total_bytes: int, many: int = MANY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bits of the anchors that stand in two different texts, and of those with two
-    different segments. Their size follows the input up to a fixed most; full
+    different segments; and, scrambled and sorted, the anchors with at least ``many``
+    rows of another segment than their first (one anchor for ``many`` rows at most). Their size follows the input up to a fixed most; full
     bitmaps cost traffic, never results. Texts and segments of one anchor (64 bits)
     are told apart here by 32 bits each."""
     bits = LEAST_BITS
@@ -126,11 +132,13 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
         """Rows sorted by scrambled anchor, whose high bits are its slot: two bitmaps
         for each block of slots, 64 KB at a time."""
         block = last = None
+        so_far, crowded = 0, set()
         shared, mixed = np.zeros(1 << BLOCK_BITS, bool), np.zeros(1 << BLOCK_BITS, bool)
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([np.packbits(x).tobytes()], pa.binary()) for x in (shared, mixed))],
-                                              ["block", "shared", "mixed"])
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([np.packbits(x).tobytes()], pa.binary()) for x in (shared, mixed)),
+                                               pa.array([np.array(sorted(crowded), np.uint64).tobytes()], pa.binary())],
+                                              ["block", "shared", "mixed", "crowded"])
 
         for batch in batches:
             h, tk = (batch.column(c).to_numpy().view(np.uint64) for c in ("h", "tk"))
@@ -142,6 +150,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
                     if block is not None:
                         yield done()
                     block, last = int(blocks[part[0]]), None
+                    so_far, crowded = 0, set()
                     shared[:], mixed[:] = False, False
                 x, y = h[part], tk[part]
                 if last is not None:  # the first row of the last anchor so far
@@ -149,7 +158,15 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
                 first = np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
                 slot = (x >> np.uint64(64 - bits) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
                 shared[slot[y >> np.uint64(32) != y[first] >> np.uint64(32)]] = True
-                mixed[slot[y & low32 != y[first] & low32]] = True
+                other = y & low32 != y[first] & low32
+                mixed[slot[other]] = True
+                xs = x[other]
+                if so_far + np.searchsorted(xs, x[0], "right") >= many:
+                    crowded.add(int(x[0]))
+                if len(xs) >= many:
+                    found, n = np.unique(xs, return_counts=True)
+                    crowded.update(found[n >= many].tolist())
+                so_far = int(len(xs) - np.searchsorted(xs, x[-1])) + (so_far if x[0] == x[-1] else 0)
                 last = x[-1], y[first[-1]]
         if block is not None:
             yield done()
@@ -159,10 +176,11 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int) -> tuple[np.ndarray, np.nd
     rows = docs.select("t", "text").mapInArrow(pairs, "h long, tk long").repartition(parts, block).sortWithinPartitions("h")
     out = np.zeros((2, 1 << (bits - min(bits, BLOCK_BITS)), (1 << BLOCK_BITS) // 8), np.uint8)
     with shuffles_removed(docs.sparkSession):
-        found = rows.mapInArrow(marks, "block int, shared binary, mixed binary").collect()
+        found = rows.mapInArrow(marks, "block int, shared binary, mixed binary, crowded binary").collect()
     for r in found:
         out[0, r["block"]], out[1, r["block"]] = np.frombuffer(r["shared"], np.uint8), np.frombuffer(r["mixed"], np.uint8)
-    return out[0].reshape(-1), out[1].reshape(-1)
+    crowded = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["crowded"], np.uint64) for r in found)]))
+    return out[0].reshape(-1), out[1].reshape(-1), crowded
 
 
 def _marked(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -263,25 +281,74 @@ def _shard(rows):
                                      ["h", "k", "m", "cuts"])
 
 
-def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> DataFrame:
-    """``doc_id, t, a, b``: byte ranges to remove, which may overlap."""
-    sent = docs.sparkSession.sparkContext.broadcast((shared, mixed))
+def _string_keys(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each row of 50 bytes."""
+    lanes = np.zeros((len(raw), 56), np.uint8)
+    lanes[:, :SPAN] = raw
+    lanes = lanes.view("<u8").astype(np.uint64)
+    out = []
+    for seed in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        x = np.full(len(raw), seed, np.uint64)
+        for j in range(lanes.shape[1]):
+            x = mix64((x ^ lanes[:, j]) * np.uint64(seed) + np.uint64(j + 1))
+        out.append(x.view(np.int64))
+    return out[0], out[1]
 
-    def place(batches):
-        """The segments of shared anchors, without their bytes."""
-        for batch, texts in arrow_slices(batches, limit=SLICE):
-            doc, a, b, h, k, _, _ = segments(texts)
-            keep = np.flatnonzero(_marked(sent.value[0], h))
-            doc = doc[keep]
-            ids, t = (batch.column(c).to_numpy(zero_copy_only=False)[doc].astype(np.int64) for c in ("doc_id", "t"))
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (h[keep].view(np.int64), k[keep].view(np.int64), ids, t)),
-                                              *(pa.array(x[keep].astype(np.int32)) for x in (a, b))], ["h", "k", "doc_id", "t", "a", "b"])
+
+def _strings(batches):
+    """Segments -> ``s1, s2, h, k, at, m``: each of their 50-byte strings."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 1024):
+            piece = batch.slice(first, 1024)
+            segs = piece.column("seg").to_pylist()
+            data = np.frombuffer(b"".join(segs), np.uint8)
+            sizes = np.array([len(x) for x in segs])
+            count = sizes - SPAN + 1
+            row = np.repeat(np.arange(len(segs)), count)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            s1, s2 = _string_keys(np.lib.stride_tricks.sliding_window_view(data, SPAN)[(np.cumsum(sizes) - sizes)[row] + at])
+            h, k, m = (piece.column(c).to_numpy()[row] for c in ("h", "k", "m"))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (s1, s2, h, k, at.astype(np.int32), m))], ["s1", "s2", "h", "k", "at", "m"])
+
+
+def crowded_cuts(distinct: DataFrame, many: int = MANY) -> DataFrame:
+    """``h, k, m, cuts`` as of ``_shards``, for segments of crowded anchors, string by
+    string. Strings of more than ``many`` segments are few (one for so many rows) and
+    meet their rows by broadcast, so no task holds the rows of one."""
+    rows = stored(distinct.mapInArrow(_strings, "s1 long, s2 long, h long, k long, at int, m long"))
+    key = ["s1", "s2"]
+    least = stored(rows.groupBy(*key).agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high"))
+    common = F.broadcast(least.where(F.col("n") > many))
+    some = rows.join(common, key, "left_anti").join(least.where(F.col("n") <= many), key)
+    gone = some.union(rows.join(common, key).select(*some.columns)).where("low < m")
+
+    def runs(batches):
+        for batch in batches:
+            cuts = []
+            for at in batch.column("at").to_pylist():
+                at = np.sort(at)
+                edge = np.flatnonzero(np.diff(at) > 1)
+                cuts.append([int(x) for a, b in zip(at[np.r_[0, edge + 1]], at[np.r_[edge, len(at) - 1]]) for x in (a, b + SPAN)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "k", "m")), pa.array(cuts, pa.list_(pa.int32()))], ["h", "k", "m", "cuts"])
+
+    # At most one place for each of the few starts of a segment.
+    listed = gone.groupBy("h", "k").agg(F.min("m").alias("m"), F.collect_list("at").alias("at"))
+    return listed.select("h", "k", "m", "at").mapInArrow(runs, "h long, k long, m long, cuts array<int>")
+
+
+def distinct_segments(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray, crowded: np.ndarray, of_crowded: bool) -> DataFrame:
+    """``h, k, seg, m``: the different segments of shared anchors that have several, with
+    their least doc_id; those of the crowded anchors, or those of all others."""
+    sent = docs.sparkSession.sparkContext.broadcast((shared, mixed, crowded))
 
     def send(batches):
         """The segments of shared anchors that have different ones, each once a batch."""
         for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, a, b, h, k, data, offsets = segments(texts)
-            keep = np.flatnonzero(_marked(sent.value[0], h) & _marked(sent.value[1], h))
+            take = _marked(sent.value[0], h) & _marked(sent.value[1], h)
+            if len(sent.value[2]):
+                take &= np.isin(mix64(h), sent.value[2]) == of_crowded
+            keep = np.flatnonzero(take)
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[doc[keep]].astype(np.int64)
             order = np.lexsort((ids, k[keep], h[keep]))
             keep, ids = keep[order], ids[order]
@@ -292,12 +359,31 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(k[first].view(np.int64)), pa.array(segs, pa.binary()), pa.array(ids[first])],
                                              ["h", "k", "seg", "doc_id"])
 
+    return (docs.select("doc_id", "t", "text").mapInArrow(send, "h long, k long, seg binary, doc_id long")
+            .groupBy("h", "k").agg(F.first("seg").alias("seg"), F.min("doc_id").alias("m")))
+
+
+def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray, crowded: np.ndarray, many: int = MANY) -> DataFrame:
+    """``doc_id, t, a, b``: byte ranges to remove, which may overlap."""
+    sent = docs.sparkSession.sparkContext.broadcast(shared)
+
+    def place(batches):
+        """The segments of shared anchors, without their bytes."""
+        for batch, texts in arrow_slices(batches, limit=SLICE):
+            doc, a, b, h, k, _, _ = segments(texts)
+            keep = np.flatnonzero(_marked(sent.value, h))
+            doc = doc[keep]
+            ids, t = (batch.column(c).to_numpy(zero_copy_only=False)[doc].astype(np.int64) for c in ("doc_id", "t"))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (h[keep].view(np.int64), k[keep].view(np.int64), ids, t)),
+                                              *(pa.array(x[keep].astype(np.int32)) for x in (a, b))], ["h", "k", "doc_id", "t", "a", "b"])
+
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     slim = docs.select("doc_id", "t", "text")
-    distinct = (slim.mapInArrow(send, "h long, k long, seg binary, doc_id long")
-                .groupBy("h", "k").agg(F.first("seg").alias("seg"), F.min("doc_id").alias("m")))
+    distinct = distinct_segments(docs, shared, mixed, crowded, False)
     parted = (distinct.repartition(parts, "h").sortWithinPartitions("h", "k")
               .mapInArrow(_shards, "h long, k long, m long, cuts array<int>"))
+    if len(crowded):
+        parted = parted.union(crowded_cuts(distinct_segments(docs, shared, mixed, crowded, True), many))
     placed = stored(slim.mapInArrow(place, "h long, k long, doc_id long, t long, a int, b int"))
     least = placed.groupBy("h", "k").agg(F.min("doc_id").alias("m"), F.max("doc_id").alias("mx")).where("m < mx")
     # Later holders of a segment lose all of it, the first one its parts.
@@ -310,12 +396,12 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray) -> Dat
     return met.select("doc_id", "t", F.explode(spans).alias("s")).select("doc_id", "t", "s.a", "s.b")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, many: int = MANY) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) of every row."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     known = d.where("doc_id is not null")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spans = removed_spans(known, *anchor_bitmaps(known, total))
+    spans = removed_spans(known, *anchor_bitmaps(known, total, many), many)
     # A copy of a whole text loses all of it, whatever its anchors.
     size = F.octet_length("text")
     texts = known.where(size >= SPAN).select("doc_id", "t", size.alias("b"))

@@ -133,6 +133,25 @@ def test_suffix_dedup_against_brute_force(make_docs):
     assert {r["n_removed"] for r in suffix_dedup.dedup(make_docs([(None, "q" * 99), (1, "q" * 99), (None, None)])).collect()} == {0}
 
 
+@pytest.mark.parametrize("many", [2, 20])
+def test_crowded_anchors_are_dealt_by_string(make_docs, many):
+    """A common line with another neighbour each time: no shard gets more than ``many`` segments of one anchor."""
+    rng = random.Random(8)
+    rows = corpus(11)
+    line = "this very common line stands in a third of all texts"
+    for i in range(150):
+        a, b = ("".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(2))
+        rows.append((1000 + rng.randrange(150), a + (line if i % 3 else line[8:40] + " tail %d" % (i % 7) * 3) + b))
+    docs = make_docs(rows).selectExpr("doc_id", "coalesce(text, '') AS text", "xxhash64(text) AS t").where("doc_id is not null")
+    marks = suffix_dedup.anchor_bitmaps(docs, 1 << 20, many)
+    most = [suffix_dedup.distinct_segments(docs, *marks, crowded).groupBy("h").count().agg({"count": "max"}).first()[0] for crowded in (False, True)]
+    assert len(marks[2]) and most[0] <= many + 1 < most[1]
+    # Rows of one doc_id are one document to the operator, so each id stands once.
+    rows = list(dict(rows).items())
+    got = suffix_dedup.dedup(make_docs(rows), many)
+    assert sorted(collect(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == brute_repeats(rows)
+
+
 def test_suffix_ranks_tell_suffixes_apart():
     data = np.frombuffer(bytes(random.Random(1).choices(b"ab", k=3000)) + bytes(64), np.uint8)
     sa, _ = suffix_dedup.suffix_ranks(data)
