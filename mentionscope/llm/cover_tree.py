@@ -227,9 +227,21 @@ def link_table(classes: DataFrame) -> DataFrame:
     """``rep, weight, v`` (distinct unit vectors) -> ``a, b, n``: links (b is null, n the
     weight of the other classes linked) and spanning edges (a, b)."""
     spark = classes.sparkSession
-    lengths = classes.select(F.length("v").alias("bytes")).distinct()
-    parts = []
-    for size in sorted(r["bytes"] for r in lengths.limit(64).collect()):
+    size_of = F.length("v")
+    # Lengths with more vectors than a block holds have a plan each; all others, one block each, share one.
+    lengths = classes.groupBy(size_of.alias("bytes")).agg(F.count(F.lit(1)).alias("n"))
+    large = [r["bytes"] for r in lengths.where(F.col("n") > BLOCK).collect()]
+
+    def alone(rows: pa.Table) -> pa.Table:
+        x = _matrix(rows.column("v"))
+        ids, degree, edges = compare(rows.column("rep").to_numpy(), rows.column("weight").to_numpy(), Tree(x, *build(x)), None, None, None)
+        a, b = ([e[0] for e in edges], [e[1] for e in edges])
+        return pa.table({"a": pa.array([*ids, *a], pa.int64()), "b": pa.array([*([None] * len(ids)), *b], pa.int64()),
+                         "n": pa.array([*degree, *([0] * len(a))], pa.int64())})
+
+    small = classes.where(~size_of.isin(large)) if large else classes
+    parts = [small.withColumn("bytes", size_of).groupBy("bytes").applyInArrow(alone, "a long, b long, n long")]
+    for size in sorted(large):
         of = classes.where(F.length("v") == size)
         n = of.count()
         drawn = of.orderBy(F.xxhash64("v"), "rep").limit(SAMPLE).toArrow()
@@ -288,8 +300,6 @@ def link_table(classes: DataFrame) -> DataFrame:
                              "n": pa.array([*degree, *([0] * len(a))], pa.int64())})
 
         parts.append(rows.groupBy("p", "q").applyInArrow(pair, "a long, b long, n long"))
-    if not parts:
-        return spark.createDataFrame([], "a long, b long, n long")
     out = parts[0]
     for x in parts[1:]:
         out = out.union(x)

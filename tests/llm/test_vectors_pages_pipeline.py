@@ -42,6 +42,13 @@ def test_cover_tree_against_brute_force(spark, monkeypatch):
     assert cover_tree.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vectors_of_very_many_lengths(spark):
+    """100 lengths of three vectors, two of which link."""
+    rows = [(3 * n + j, [1.0] * (n - 1) + [-30.0 if j == 2 else 1.0 + j / 9]) for n in range(2, 102) for j in range(3)]
+    got = cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3))
+    assert sorted(collect(got, "vec_id", "n_links", "component_id", "kept")) == brute(rows)
+
+
 def test_dual_traversal_prunes_and_keeps_pairs():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(30, 6))[rng.integers(0, 30, 300)] + rng.normal(size=(300, 6)) * 0.1
