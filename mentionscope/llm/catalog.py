@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontam, html_text, jaccard, licenses, lm, mixing, pii, quality, suffix_dedup
+from . import cover_tree, decontam, html_text, jaccard, licenses, lm, merkle, mixing, phrases, pii, quality, suffix_dedup, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.transform("pii", lambda p: p["kind"])
     return pii.pseudonymise(docs).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"),
                                          F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds"))
+
+
+@query(merkle.ORACLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests, proof and check of every document in the dataset's Merkle manifest."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query(phrases.ORACLE_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first collocations of every language."""
+    return phrases.top_collocations(table(spark, sf_dir, "documents"))
+
+
+@query(warc.ORACLE_SQL)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written to WARC archives and read back."""
+    return warc.archived(table(spark, sf_dir, "pages"))
