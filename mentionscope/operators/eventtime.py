@@ -18,44 +18,41 @@ from .prefix import bucketed_row_number
 SEGMENT_MS = 900_000
 
 
-def spread_event_times(df: DataFrame, segment: str, pos: str, start: Column,
-                       interval_ms: int = SEGMENT_MS, bucket: Column | None = None,
-                       out: str = "event_ts") -> DataFrame:
-    """Index rows within their segment and spread them over the interval.
-
-    Adds ``line_no`` (0-based), ``n_lines`` and ``out`` (timestamp, ms precision).
-    ``bucket`` must be non-decreasing in ``pos`` within a segment; by default
-    ``pos >> 16`` (blocks of 65,536 positions).
-    """
+def _spread(df: DataFrame, segment: str, pos: str, start: Column, interval_ms: int, bucket: Column | None,
+            out: str, per_row: bool) -> DataFrame:
     if bucket is None:
         bucket = F.shiftright(F.col(pos), 16)
-    d = df.withColumn("__start_ms", F.unix_millis(start.cast("timestamp")))
-    d = bucketed_row_number(d, [segment], bucket, [F.col(pos)], "__rn", key_total="n_lines")
+    start_ms = F.unix_millis(start.cast("timestamp"))
+    firsts = {} if per_row else {"__start_ms": start_ms}
+    d = df.withColumn("__start_ms", start_ms) if per_row else df
+    d = bucketed_row_number(d, [segment], bucket, [F.col(pos)], "__rn", key_total="n_lines", firsts=firsts)
     step = F.expr(f"{int(interval_ms)} div n_lines")
     return (d.withColumn("line_no", F.col("__rn") - 1)
              .withColumn(out, F.timestamp_millis(F.col("__start_ms") + F.col("line_no") * step))
              .drop("__rn", "__start_ms"))
 
 
-def segment_starts(lines: DataFrame, segment: str, order: Column, value: str = "value") -> DataFrame:
-    """The minute that a segment's first line is stamped with -> ``segment, start``.
+def spread_event_times(df: DataFrame, segment: str, pos: str, start: Column,
+                       interval_ms: int = SEGMENT_MS, bucket: Column | None = None,
+                       out: str = "event_ts") -> DataFrame:
+    """Index rows within their segment and spread them over the interval.
 
-    The stamp is the head of the record key. A line whose stamp does not parse is
-    passed over; a segment without any stamp has no start (NULL).
+    Adds ``line_no`` (0-based), ``n_lines`` and ``out`` (timestamp, ms precision).
+    ``bucket`` must be non-decreasing in ``pos`` within a segment; by default
+    ``pos >> 16`` (blocks of 65,536 positions).
     """
-    minute = stamp_minute(record_key(value))
-    return lines.groupBy(segment).agg(F.min_by(minute, F.when(minute.isNotNull(), order)).alias("start"))
+    return _spread(df, segment, pos, start, interval_ms, bucket, out, True)
 
 
 def replay_times(lines: DataFrame, segment: str, pos: str, bucket: Column | None = None,
                  value: str = "value", interval_ms: int = SEGMENT_MS) -> DataFrame:
-    """E1 as the replay does it: :func:`spread_event_times` from the first line's own stamp.
+    """E1 as the replay does it: :func:`spread_event_times` from the minute that the segment's
+    first line with a stamp is stamped with (the head of the record key).
 
-    One row per segment is joined back, null segments included. ``pos`` may be a struct.
+    The start is a value of the same pass that numbers the lines, so the lines are read
+    once. A segment without any stamp has no start: its lines get no event time. ``pos`` may be a struct.
     """
-    starts = segment_starts(lines, segment, F.col(pos), value).withColumnRenamed(segment, "__segment")
-    d = lines.join(starts, F.col(segment).eqNullSafe(F.col("__segment")), "left").drop("__segment")
-    return spread_event_times(d, segment, pos, F.col("start"), interval_ms, bucket).drop("start")
+    return _spread(lines, segment, pos, stamp_minute(record_key(value)), interval_ms, bucket, "event_ts", False)
 
 
 def segment_rates(df: DataFrame, segment: str, interval_s: int = SEGMENT_MS // 1000) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .prefix import bucketed_row_number
@@ -27,21 +27,25 @@ def json_entry(name: Column, count: Column) -> Column:
 
 def json_messages(entries: DataFrame, group: Sequence[str], order: Sequence[str],
                   name: str = "name", value: str = "count", max_entries: int | None = None,
-                  bucket: Column | None = None, out: str = "message") -> DataFrame:
+                  bucket: Column | None = None, out: str = "message", bounded: bool = False) -> DataFrame:
     """K4: ``*group, chunk, n_entries, message`` with entries in ``order``.
 
     Without ``max_entries`` a group is one message (chunk 0), for groups of a
     known bound such as a board of ``n`` rows: one aggregate. With it, a
     bucketed row number over every group (``bucket`` non-decreasing in
-    ``order``, required) gives ``chunk = (pos - 1) div max_entries``.
+    ``order``, required) gives ``chunk = (pos - 1) div max_entries``; groups of a
+    known bound (``bounded``) are numbered by one window each.
     """
     group = list(group)
     if max_entries is None:
         allrows = entries.withColumn("chunk", F.lit(0))
     else:
-        if bucket is None:
+        if bounded:
+            allrows = entries.withColumn("__pos", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+        elif bucket is None:
             raise ValueError("max_entries needs a bucket that does not decrease in the order")
-        allrows = bucketed_row_number(entries, group, bucket, [F.col(o) for o in order], "__pos")
+        else:
+            allrows = bucketed_row_number(entries, group, bucket, [F.col(o) for o in order], "__pos")
         allrows = (allrows.withColumn("chunk", F.floor((F.col("__pos") - 1) / F.lit(max_entries)).cast("int"))
                           .drop("__pos"))
     key = F.struct(*[F.col(o).alias(f"k{i}") for i, o in enumerate(order)], F.col(name).alias("kn"))
@@ -67,13 +71,14 @@ def conflate(changelog: DataFrame, every: str = "1 second", t: str = "t", key: s
 
 def conflated_feed(changelog: DataFrame, max_entries: int, every: str = "1 second", t: str = "t",
                    key: str = "name", value: str = "count",
-                   seq: Sequence[str] = ("t", "delta", "id")) -> DataFrame:
-    """K5: messages per interval, ``max_entries`` names each at most, in first-seen order."""
+                   seq: Sequence[str] = ("t", "delta", "id"), bounded: bool = False) -> DataFrame:
+    """K5: messages per interval, ``max_entries`` names each at most, in first-seen order
+    (``bounded``: an interval has few names, such as a board's seats)."""
     e = conflate(changelog, every, t, key, value, seq)
     e = e.select("slot", key, value, *[F.col("first_seq")[s].alias(f"__f{i}") for i, s in enumerate(seq)])
     order = [f"__f{i}" for i in range(len(seq))]
     return json_messages(e, ["slot"], order, key, value, max_entries,
-                         bucket=F.floor(F.unix_micros(F.col("__f0").cast("timestamp")) / F.lit(1000)))
+                         bucket=F.floor(F.unix_micros(F.col("__f0").cast("timestamp")) / F.lit(1000)), bounded=bounded)
 
 
 def snapshot(changelog: DataFrame, key: str = "name", value: str = "count",

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import all_columns
+
 
 def count_mentions(m: DataFrame, keys: Sequence[str] = ("day", "name"),
                    out: str = "mentions") -> DataFrame:
@@ -72,20 +74,19 @@ def split_first_n(df: DataFrame, n: int, order: Sequence[str], flag: str = "in_h
 
     The head is found with a bounded top-n (no global window): the ``n``
     ordering keys are taken with TakeOrderedAndProject, counted and joined back,
-    so no single task sees the whole queue. Only rows with a key of the head are
-    numbered among their equals, and no row is repeated.
+    so no single task sees the whole queue. Equal keys are numbered among
+    themselves and no row is repeated. Both sides read one shuffle on the keys,
+    so the input is computed once.
     """
-    order = list(order)
-    head = df.select(*order).orderBy(*order).limit(n).groupBy(*order).agg(F.count(F.lit(1)).alias("__head"))
-    head = head.select(*[F.col(c).alias(f"__h_{c}") for c in order], "__head")
-    same = F.lit(True)
-    for c in order:
-        same = same & F.col(c).eqNullSafe(F.col(f"__h_{c}"))
-    d = df.join(head, on=same, how="left").drop(*[f"__h_{c}" for c in order])
-    equals = Window.partitionBy(*order).orderBy(F.lit(0))
-    near = d.where(F.col("__head").isNotNull()).withColumn(flag, F.row_number().over(equals) <= F.col("__head"))
-    rest = d.where(F.col("__head").isNull()).withColumn(flag, F.lit(False))
-    return near.unionByName(rest).drop("__head")
+    # Structs are equal where their fields are, nulls included. Counted, not row_number():
+    # a group limit below one branch's shuffle would make it another shuffle.
+    keyed = df.withColumn("__key", F.struct(*order))
+    equals = Window.partitionBy("__key").orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    queue = keyed.withColumn("__no", F.count(F.lit(1)).over(equals)).where(all_columns(keyed))
+    head = (queue.where(F.col("__no") <= n).select(F.col("__key").alias("__h")).orderBy("__h").limit(n)
+                 .groupBy("__h").agg(F.count(F.lit(1)).alias("__head")))
+    d = queue.join(head, F.col("__key") == F.col("__h"), "left")
+    return d.withColumn(flag, F.col("__no") <= F.coalesce("__head", F.lit(0))).drop("__no", "__head", "__key", "__h")
 
 
 def head_n(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

@@ -499,7 +499,7 @@ FROM r GROUP BY 1, 2""")
 def k5_board_feed(spark, sf_dir):
     """K5 over what the boards publish: per hour every seat and a 0 for each name that left."""
     changes = board.published(_hourly_boards(spark, sf_dir))
-    out = feed.conflated_feed(changes, max_entries=1000, every="1 hour", t="bucket", seq=("bucket", "name"))
+    out = feed.conflated_feed(changes, max_entries=1000, every="1 hour", t="bucket", seq=("bucket", "name"), bounded=True)
     return out.withColumn("slot", ntz("slot"))
 
 

@@ -1,15 +1,15 @@
 """The streaming job, end to end (entry C of the survey).
 
-Query 1: record stream -> names (stream rule) -> exact rolling one-hour
-changelog (``transformWithStateInPandas``) -> changelog folder (append).
-Query 2: changelog folder (file stream) -> leaderboard + feed
-(``foreachBatch``).
-
-``start_tables`` runs the same chain as one query without a Python state
-processor (:mod:`mentionscope.streaming.changelog_tables`).
+Query 1: record stream -> names (stream rule) -> per (name, time bucket) the
+changes of closed buckets and their totals, and the rejected mentions -> ``local``.
+Query 2: ``local`` -> each bucket's offset from the totals -> exact rolling
+one-hour changelog -> ``changelog``.
+Query 3: ``changelog`` -> leaderboard and feed (``foreachBatch``).
+Query 4: ``feed/changes`` -> the last published value per name (what a new
+subscriber receives), kept as keyed state.
 
 Records are ``key, value, event_ts`` (the record frame written by the replay
-producer, or a topic read with the event time taken from the record). Both
+producer, or a topic read with the event time taken from the record). All
 queries checkpoint under ``base``; restarting with the same ``base`` resumes.
 """
 
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ..operators import articles
 from ..streaming import board as sboard
 from ..streaming import rolling as srl
-from ..streaming.changelog_tables import RollingChangelogWriter
 
 CHANGELOG_SCHEMA = "name string, id long, t timestamp, delta int, count long"
 
@@ -39,22 +38,36 @@ def record_mentions(records: DataFrame) -> DataFrame:
     return m.select(F.xxhash64("key").alias("id"), F.col("event_ts").alias("ts"), "name")
 
 
-def start_rolling(spark: SparkSession, records: DataFrame, base: str, delay: str = "15 minutes",
-                  trigger: dict | None = None, bucket_us: int = 60_000_000):
-    """Query 1: records -> exact rolling changelog folder.
+def start_local(spark: SparkSession, records: DataFrame, base: str, delay: str = "15 minutes",
+                trigger: dict | None = None, bucket_us: int = 60_000_000):
+    """Query 1: records -> closed buckets' changes and totals, and rejects, in ``base/local``.
 
-    ``bucket_us`` is the state bucket width (see
-    :class:`~mentionscope.streaming.rolling.RollingHourProcessor`): a minute
-    for live streams, an hour for replaying a sparse archive.
+    ``bucket_us`` is the width of a name's time buckets (see :mod:`mentionscope.streaming.rolling`):
+    short for live streams with hot names, an hour for replaying a sparse archive.
     """
     srl.use_rocksdb_state(spark)
     mentions = srl.mention_stream(record_mentions(records), delay=delay)
-    return (srl.rolling_changelog_stream(mentions, bucket_us=bucket_us).writeStream.format("parquet")
+    return (srl.local_changes(mentions, bucket_us=bucket_us).writeStream.format("parquet")
+            .option("path", os.path.join(base, "local"))
+            .option("checkpointLocation", os.path.join(base, "ck-local")).partitionBy("kind")
+            .outputMode("append").trigger(**(trigger or {"processingTime": "1 second"})).start())
+
+
+def start_changelog(spark: SparkSession, base: str, trigger: dict | None = None):
+    """Query 2: ``base/local`` -> exact rolling changelog in ``base/changelog``."""
+    srl.use_rocksdb_state(spark)
+    local = spark.readStream.schema(srl.LOCAL_SCHEMA).parquet(os.path.join(base, "local"))
+    return (srl.with_offsets(local).writeStream.format("parquet")
             .option("path", os.path.join(base, "changelog"))
-            .option("checkpointLocation", os.path.join(base, "ck-rolling"))
+            .option("checkpointLocation", os.path.join(base, "ck-changelog"))
             .outputMode("append").trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
+def rejected(spark: SparkSession, base: str) -> DataFrame:
+    """ST6: mentions that were late or had no time so far -> ``name, id, ts, reason``."""
+    return srl.rejects(spark.read.schema(srl.LOCAL_SCHEMA).parquet(os.path.join(base, "local")))
+
+
 def start_board(spark: SparkSession, base: str, n: int = 100, trigger: dict | None = None,
                 max_files_per_trigger: int | None = None):
     """Query 2: changelog folder -> leaderboard, feed messages and snapshot."""
@@ -67,36 +80,26 @@ def start_board(spark: SparkSession, base: str, n: int = 100, trigger: dict | No
                                     trigger=trigger or {"processingTime": "1 second"})
 
 
+def start_snapshot(spark: SparkSession, base: str, trigger: dict | None = None):
+    """Query 4: published changes -> the last value of every name."""
+    return sboard.start_snapshot(spark, os.path.join(base, "feed"), os.path.join(base, "ck-snapshot"),
+                                 trigger=trigger or {"processingTime": "1 second"})
+
+
 def start(spark: SparkSession, records: DataFrame, base: str, delay: str = "15 minutes",
-          n: int = 100, trigger: dict | None = None):
-    """Start both queries; returns ``(rolling_query, board_query)``."""
-    fs, path = sboard._fs(spark, os.path.join(base, "changelog"))
-    fs.mkdirs(path)   # the board query's file source needs the folder to exist
-    return start_rolling(spark, records, base, delay, trigger), start_board(spark, base, n, trigger)
-
-
-class TablesJob:
-    """``foreachBatch``: the table-state changelog, then the leaderboard on the
-    epoch's changelog rows. Both steps are idempotent per epoch, so the chain
-    is exactly-once without a file hop between two queries."""
-
-    def __init__(self, base: str, delay_us: int, n: int, bucket_us: int):
-        self.changelog = RollingChangelogWriter(os.path.join(base, "state-changelog"),
-                                                os.path.join(base, "changelog"), delay_us=delay_us,
-                                                bucket_us=bucket_us)
-        self.board = sboard.LeaderboardWriter(os.path.join(base, "state"), os.path.join(base, "feed"), n)
-
-    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        mentions = record_mentions(batch)
-        self.changelog(mentions, epoch_id)
-        spark = batch.sparkSession
-        rows = spark.read.schema(CHANGELOG_SCHEMA).parquet(f"{self.changelog.out_dir}/epoch={epoch_id}")
-        self.board(rows, epoch_id)
-
-
-def start_tables(spark: SparkSession, records: DataFrame, base: str, delay_us: int = 15 * 60_000_000,
-                 n: int = 100, trigger: dict | None = None, bucket_us: int = 3_600_000_000):
-    """One query: records -> exact changelog (state tables) -> leaderboard and feed."""
-    w = (records.writeStream.foreachBatch(TablesJob(base, delay_us, n, bucket_us))
-         .option("checkpointLocation", os.path.join(base, "ck-tables")))
-    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
+          n: int = 100, trigger: dict | None = None, bucket_us: int = 60_000_000) -> list:
+    """Start all queries, in the order of the data."""
+    for folder in ("local", "changelog", "feed/changes"):     # file sources need their folders to exist
+        fs, path = sboard._fs(spark, os.path.join(base, folder))
+        fs.mkdirs(path)
+    return [start_local(spark, records, base, delay, trigger, bucket_us), start_changelog(spark, base, trigger),
+            start_board(spark, base, n, trigger), start_snapshot(spark, base, trigger)]
+
+
+def run_available(spark: SparkSession, records: DataFrame, base: str, delay: str = "15 minutes",
+                  n: int = 100, bucket_us: int = 60_000_000) -> None:
+    """Process what is there, one query after the other, then stop."""
+    now = {"availableNow": True}
+    for begin in (lambda: start_local(spark, records, base, delay, now, bucket_us), lambda: start_changelog(spark, base, now),
+                  lambda: start_board(spark, base, n, now), lambda: start_snapshot(spark, base, now)):
+        begin().awaitTermination()

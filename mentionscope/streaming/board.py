@@ -14,8 +14,12 @@ The changelog stream (``name, id, t, delta, count``) is consumed with
 State is a written table, not driver memory: the board of epoch ``e`` is
 stored at ``<state>/board/epoch=e``. A replayed epoch overwrites its own
 files, so a batch re-run after a failure is idempotent, and a restarted query
-(same checkpoint) resumes from the last stored board (ST10). The snapshot
-for a new subscriber (K6) is the latest value per name over the feed.
+(same checkpoint) resumes from the last stored board (ST10).
+
+The snapshot for a new subscriber (K6) is the last published value per name. A
+query of its own keeps it as keyed state, one small entry per name
+(:func:`start_snapshot`); :func:`snapshot_table` reads that state, not the
+feed's history.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.board import board_changes, board_step
-from ..operators.feed import json_messages, snapshot
+from ..operators.feed import json_messages
 
 BOARD_SCHEMA = "name string, count long"
 
@@ -123,15 +127,40 @@ def current_board(spark: SparkSession, state_dir: str) -> DataFrame:
     return spark.read.schema(BOARD_SCHEMA).parquet(f"{w.board_dir}/epoch={epochs[-1]}")
 
 
+CHANGES_SCHEMA = "name string, count long, tombstone boolean, epoch long"
+
+
 def feed_changes(spark: SparkSession, feed_dir: str) -> DataFrame:
     """All published changes (``epoch, name, count, ...``)."""
     return spark.read.parquet(f"{feed_dir.rstrip('/')}/changes")
 
 
-def feed_snapshot(spark: SparkSession, feed_dir: str) -> DataFrame:
-    """K6/ST9: what a new subscriber receives - the last published value per name."""
-    ch = feed_changes(spark, feed_dir).withColumn("__ord", F.struct("epoch", F.col("tombstone").cast("int")))
-    return snapshot(ch, "name", "count", ("__ord",))
+def last_values(changes: DataFrame) -> DataFrame:
+    """K6: the last published value per name, of a table or a stream of changes.
+
+    The largest (epoch, tombstone, count) of a name: adding a change twice, as when an
+    epoch is written again after a failure, changes nothing.
+    """
+    seq = F.struct("epoch", "tombstone", "count")
+    return changes.groupBy("name").agg(F.max(seq).alias("last"))
+
+
+def start_snapshot(spark: SparkSession, feed_dir: str, checkpoint: str, trigger: dict | None = None):
+    """K6/ST9: keep the last published value of every name as the state of a running
+    aggregate. The state store holds one entry per name, whatever the feed's length, and
+    compacts itself; the query gives nothing out."""
+    changes = (spark.readStream.schema(CHANGES_SCHEMA).option("ignoreMissingFiles", "true")
+               .parquet(f"{feed_dir.rstrip('/')}/changes"))
+    w = last_values(changes).writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def snapshot_table(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """K6/ST9: what a new subscriber receives -> ``name, count, epoch`` (zeros kept), read from
+    the state of :func:`start_snapshot` as of its last finished batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    last = state["value"][state.schema["value"].dataType.fieldNames()[0]]
+    return state.select(F.col("key.name").alias("name"), last["count"].alias("count"), last["epoch"].alias("epoch"))
 
 
 def start_leaderboard(changelog: DataFrame, state_dir: str, feed_dir: str, checkpoint: str,

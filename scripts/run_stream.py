@@ -2,8 +2,7 @@
 
 Reads record files (``key, value, event_ts`` parquet) from a folder as a file
 stream and keeps the exact rolling changelog, the leaderboard and the feed
-under ``base``. The stateful processor and the board run as two queries;
-``--form tables`` runs one foreachBatch query over state tables instead.
+under ``base``, with the rejected mentions and the last value of every name.
 """
 
 import argparse
@@ -19,9 +18,9 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="Rolling one-hour mention counts and leaderboard")
     ap.add_argument("records", help="folder of record files (parquet: key, value, event_ts)")
     ap.add_argument("base", help="folder for changelog, state, feed and checkpoints (shared storage)")
-    ap.add_argument("--form", choices=["tables", "processor"], default="processor")
     ap.add_argument("--delay-minutes", type=int, default=15)
     ap.add_argument("--board", type=int, default=100)
+    ap.add_argument("--bucket-ms", type=int, default=60_000, help="width of a name's time buckets")
     ap.add_argument("--files-per-trigger", type=int, default=1)
     ap.add_argument("--once", action="store_true", help="process what is there, then stop")
     a = ap.parse_args(argv)
@@ -32,17 +31,11 @@ def main(argv=None) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     src = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", a.files_per_trigger)
            .parquet(a.records))
-    trigger = {"availableNow": True} if a.once else {"processingTime": "1 second"}
-    if a.form == "tables":
-        queries = [stream_job.start_tables(spark, src, a.base, delay_us=a.delay_minutes * 60_000_000,
-                                           n=a.board, trigger=trigger)]
-    else:
-        rolling = stream_job.start_rolling(spark, src, a.base, delay=f"{a.delay_minutes} minutes",
-                                           trigger=trigger)
-        if a.once:                 # the board reads what the changelog query has written
-            rolling.awaitTermination()
-        queries = [rolling, stream_job.start_board(spark, a.base, n=a.board, trigger=trigger)]
-    for q in queries:
+    delay, bucket_us = f"{a.delay_minutes} minutes", a.bucket_ms * 1000
+    if a.once:
+        stream_job.run_available(spark, src, a.base, delay, a.board, bucket_us)
+        return
+    for q in stream_job.start(spark, src, a.base, delay, a.board, bucket_us=bucket_us):
         q.awaitTermination()
 
 

@@ -31,13 +31,13 @@ def test_daily_job_writes_day_partitions(spark, scratch):
 
 
 def test_streaming_job_equals_batch(spark, scratch):
+    """Records with and without event times -> local, changelog, board, snapshot; no input is filtered."""
     lines = fx.article_lines(spark, SF_SMALL, "day")
     stamp = F.split("value", "\t").getItem(1)
-    # A line whose stamp does not parse has no segment and no event time to replay.
-    seg = lines.withColumn("seg", tf.floor_segment(tf.stamp_minute(stamp))).where("seg is not null")
-    spread = eventtime.spread_event_times(seg, "seg", "id", F.col("seg"))
-    records = record_frame(spread).select("key", "value", "event_ts")
+    seg = lines.withColumn("seg", tf.floor_segment(tf.stamp_minute(stamp)))
+    records = record_frame(eventtime.spread_event_times(seg, "seg", "id", F.col("seg"))).select("key", "value", "event_ts")
     pdf = records.toPandas().sort_values("event_ts").reset_index(drop=True)
+    assert pdf.event_ts.isna().any()
     schema = records.schema
     inp = os.path.join(scratch, "in")
     write_files(spark, pdf, schema, inp, 4)
@@ -48,22 +48,23 @@ def test_streaming_job_equals_batch(spark, scratch):
 
     base = os.path.join(scratch, "run")
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(inp, "*"))
-    q1 = stream_job.start_rolling(spark, src, base, delay="0 seconds", trigger={"availableNow": True},
-                                bucket_us=3_600_000_000)
-    q1.awaitTermination(600)
-    got = spark.read.parquet(os.path.join(base, "changelog")).where("name <> '__sentinel__'")
+    stream_job.run_available(spark, src, base, delay="0 seconds", n=25, bucket_us=3_600_000_000)
+    allch = spark.read.parquet(os.path.join(base, "changelog"))
+    got = allch.where("name <> '__sentinel__'")
     m = stream_job.record_mentions(records)
     exp = rolling.rolling_changelog(m, ts="ts", key="name", id_col="id")
     assert got.count() == exp.count() > 0
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    lost = stream_job.rejected(spark, base)
+    assert lost.count() == rolling.untimed(m).count() > 0
+    assert got.count() // 2 + lost.count() == m.count()
 
-    q2 = stream_job.start_board(spark, base, n=25, trigger={"availableNow": True})
-    q2.awaitTermination(600)
     board = sboard.current_board(spark, os.path.join(base, "state"))
-    allch = spark.read.parquet(os.path.join(base, "changelog"))
     latest = allch.groupBy("name").agg(F.max_by("count", F.struct("t", "delta", "id")).alias("count"))
     exact = latest.orderBy(F.desc("count"), "name").limit(25)
     assert sorted(board.collect()) == sorted(exact.collect())
+    snap = {r["name"]: r["count"] for r in sboard.snapshot_table(spark, os.path.join(base, "ck-snapshot")).collect()}
+    assert {r["name"]: r["count"] for r in board.collect()}.items() <= snap.items()
 
 
 def test_daily_job_cli_with_lists(spark, scratch):
@@ -78,29 +79,3 @@ def test_daily_job_cli_with_lists(spark, scratch):
     assert sizes and max(sizes) <= 3
     exp = daily.daily_top(lines, 3, "ds")
     assert sum(sizes) == exp.count()
-
-
-def test_tables_job_equals_batch(spark, scratch):
-    """One foreachBatch query: changelog (state tables) then leaderboard."""
-    from mentionscope.streaming.changelog_tables import changelog_output
-    lines = fx.article_lines(spark, SF_SMALL, "day")
-    stamp = F.split("value", "\t").getItem(1)
-    seg = lines.withColumn("seg", tf.floor_segment(tf.stamp_minute(stamp)))
-    records = record_frame(eventtime.spread_event_times(seg, "seg", "id", F.col("seg"))).select(
-        "key", "value", "event_ts")
-    pdf = records.toPandas().sort_values("event_ts").reset_index(drop=True)
-    inp = os.path.join(scratch, "in")
-    write_files(spark, pdf, records.schema, inp, 4)
-    far = pdf.event_ts.max() + pd.Timedelta(days=3)
-    sent = pd.DataFrame({"key": ["99999999999999-0"], "event_ts": [far],
-                         "value": ["\t".join(["99999999999999-0", "x", "1"] + [""] * 20 + ["__sentinel__,1"])]})
-    write_files(spark, sent[["key", "value", "event_ts"]], records.schema, inp, 1, start=50)
-    base = os.path.join(scratch, "run")
-    src = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(inp, "*"))
-    q = stream_job.start_tables(spark, src, base, delay_us=0, n=25, trigger={"availableNow": True})
-    q.awaitTermination(600)
-    got = changelog_output(spark, os.path.join(base, "changelog")).where("name <> '__sentinel__'")
-    exp = rolling.rolling_changelog(stream_job.record_mentions(records), ts="ts", key="name", id_col="id")
-    assert got.count() == exp.count() > 0
-    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
-    assert 0 < sboard.current_board(spark, os.path.join(base, "state")).count() <= 25

@@ -22,7 +22,7 @@ def mentions(spark):
 
 def test_changelog_example(spark):
     df = mentions(spark).where("id <> 5")
-    out = rolling.rolling_changelog(df, bucket_us=600_000_000).orderBy("name", "t", "delta", "id").collect()
+    out = rolling.rolling_changelog(df).orderBy("name", "t", "delta", "id").collect()
     a = [(r["t"].strftime("%H:%M"), r["count"]) for r in out if r["name"] == "A"]
     b = [(r["t"].strftime("%H:%M"), r["count"]) for r in out if r["name"] == "B"]
     assert a == [("00:00", 1), ("00:10", 2), ("01:00", 1), ("01:05", 2), ("01:10", 1), ("02:05", 0)]
@@ -65,8 +65,8 @@ def test_bucketed_sum_equals_plain_window(spark):
 
 def test_changelog_properties_and_partition_independence(spark):
     df = _skewed(spark)
-    a = rolling.rolling_changelog(df, bucket_us=300_000_000)
-    b = rolling.rolling_changelog(df.repartition(3), bucket_us=3_600_000_000 * 3)
+    a = rolling.rolling_changelog(df)
+    b = rolling.rolling_changelog(df.repartition(3), splits=rolling.hot_splits(df, 40))
     assert a.exceptAll(b).count() == 0 and a.count() == 2 * df.count()
     assert a.agg(F.min("count")).first()[0] == 0
     last = a.groupBy("name").agg(F.max_by("count", F.struct("t", "delta", "id")).alias("c"))
@@ -116,10 +116,49 @@ def test_changelog_and_counts_match_brute_force(spark, pairs):
     df = spark.createDataFrame([(i, n, BASE + dt.timedelta(seconds=s)) for i, n, s in rows],
                                "id long, name string, ts timestamp")
     got = {(r["name"], r["id"], int((r["t"] - BASE).total_seconds()), r["delta"]): r["count"]
-           for r in rolling.rolling_changelog(df, bucket_us=1_200_000_000).collect()}
+           for r in rolling.rolling_changelog(df, splits=rolling.hot_splits(df, 5)).collect()}
     assert got == brute_changelog(rows)
-    cnt = {r["id"]: r["count"] for r in rolling.rolling_counts(df, bucket_us=1_200_000_000).collect()}
+    cnt = {r["id"]: r["count"] for r in rolling.rolling_counts(df, splits=rolling.hot_splits(df, 5)).collect()}
     assert cnt == brute_counts(rows)
     half = {r["id"]: r["count"]
-            for r in rolling.rolling_counts(df, bucket_us=1_200_000_000, closed_start=False).collect()}
+            for r in rolling.rolling_counts(df, closed_start=False).collect()}
     assert half == brute_counts(rows, closed=False)
+
+
+# ---- mentions without a time, hot names within one hour, late rows ------------
+def test_untimed_mentions_are_returned_with_a_reason(spark):
+    df = _skewed(spark, 500).withColumn("ts", F.when(F.col("id") % 7 != 0, F.col("ts")))
+    kept, out = rolling.rolling_changelog(df), rolling.untimed(df)
+    assert kept.where("t IS NULL OR count < 0").count() == 0
+    assert kept.count() // 2 + out.count() == 500 and {r["reason"] for r in out.collect()} == {"no time"}
+    assert rolling.rolling_counts(df).count() + out.count() == 500
+
+
+def test_one_name_one_hour_is_split_into_even_parts(spark):
+    """All rows of one name within one hour, unevenly: equi-depth parts, the same counts."""
+    df = spark.range(4000).select("id", F.lit("hot").alias("name"),
+                                  F.timestamp_micros((F.lit(1_704_067_200_000_000) + F.pow(F.col("id") / 4000, F.lit(3)) * 3_500_000_000).cast("long")).alias("ts"))
+    splits = rolling.hot_splits(df, 250)
+    ch = rolling.split_bucket(rolling._changes(df, "ts", "name", "id", rolling.HOUR_US), ["name", "__span"], "__t", splits, "__sub")
+    sizes = [r["count"] for r in ch.groupBy("__span", "__sub").count().collect()]
+    assert len(sizes) == 32 and max(sizes) <= 2 * 8000 / 32
+    a, b = rolling.rolling_changelog(df), rolling.rolling_changelog(df, splits=splits)
+    assert a.exceptAll(b).count() == 0 and b.count() == 8000
+    c, d = rolling.rolling_counts(df), rolling.rolling_counts(df, splits=splits)
+    assert c.exceptAll(d).count() == 0 and d.count() == 4000
+
+
+def test_late_rows_of_micro_batches(spark):
+    rows = [(1, 0, "10:00"), (2, 0, "10:30"), (3, 1, "10:10"), (4, 1, "11:00"), (5, 2, "10:20"), (6, 2, "10:45"), (7, 2, None)]
+    df = spark.createDataFrame([(i, b, None if h is None else t(h)) for i, b, h in rows], "id long, batch long, ts timestamp")
+    got = {r["id"] for r in rolling.late(df, "batch", delay_us=15 * 60_000_000).collect() if r["late"]}
+    assert got == {3, 5}
+
+
+def test_null_names_and_times_before_1970(spark):
+    rows = [(1, None, -7_200_000_000 - 5), (2, None, -7_200_000_000), (3, "a", -1), (4, "a", 0), (5, "a", 3_600_000_000)]
+    df = spark.createDataFrame(rows, "id long, name string, us long").withColumn("ts", F.timestamp_micros("us"))
+    got = {(r["name"], r["id"], r["delta"]): r["count"] for r in rolling.rolling_changelog(df).collect()}
+    assert got == {(None, 1, 1): 1, (None, 2, 1): 2, (None, 1, -1): 1, (None, 2, -1): 0,
+                   ("a", 3, 1): 1, ("a", 4, 1): 2, ("a", 3, -1): 1, ("a", 4, -1): 0, ("a", 5, 1): 1, ("a", 5, -1): 0}
+    assert rolling.rolling_changelog(df).exceptAll(rolling.rolling_changelog(df, splits=rolling.hot_splits(df, 1))).count() == 0
