@@ -18,8 +18,9 @@ codegen stage next to the scan.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.names import (
@@ -146,6 +147,29 @@ def mentions(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "valu
     return explode_names(parse_articles(lines, mode, value, passthrough), mode, keep)
 
 
+def mentions_and_rejects(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value",
+                         keep: tuple[str, ...] = ()) -> DataFrame:
+    """Mentions and rejected lines of one reading, in one pass -> ``*keep, kind, day, item``.
+
+    ``kind`` is ``mention`` (``item``: the name) or ``reject`` (``item``: the whole line, no day).
+    """
+    r = rules_for(mode)
+    parsed = parse_articles(lines, r, value, (*keep, value))
+    arr = split_names(F.col("allnames"), r.delim)
+    if not r.keep_empty:
+        arr = drop_empty(arr)
+
+    def kept(name):
+        found = [name.isin(list(r.stop_exact))] if r.stop_exact else []
+        return ~reduce(lambda a, b: a | b, found + [name.contains(s) for s in r.stop_contains], F.lit(False))
+
+    if r.stop_exact or r.stop_contains:
+        arr = F.filter(arr, kept)
+    kind = F.when(F.col("valid"), "mention").otherwise("reject")
+    return parsed.select(*keep, kind.alias("kind"), F.when(F.col("valid"), F.col("day")).alias("day"),
+                         F.explode(F.when(F.col("valid"), arr).otherwise(F.array(F.col(value)))).alias("item"))
+
+
 def drop_stop_names(m: DataFrame, stop: DataFrame, name: str = "name") -> DataFrame:
     """P10: remove a list of known false positives with an anti-join.
 
@@ -156,13 +180,22 @@ def drop_stop_names(m: DataFrame, stop: DataFrame, name: str = "name") -> DataFr
     return m.join(s, on=name, how="left_anti")
 
 
-def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
+def typed_articles(lines: DataFrame, value: str = "value", mode: str = "drop",
+                   observation: Observation | None = None) -> DataFrame:
     """Bind each line to the 27-column typed record (strict reading).
 
-    Empty fields become NULL, the stamp a timestamp, the source type an int;
-    lines the strict rule rejects are dropped.
+    Empty fields become NULL, the stamp a timestamp, the source type an int. A line that the
+    strict rule rejects is dropped (``mode="drop"``) or ends the job with an error that shows
+    it (``"fail"``), in the same pass. ``observation`` receives the counts ``accepted`` and
+    ``rejected`` of that pass when the job has run.
     """
-    split = lines.select(tab_fields_all(F.col(value)).alias("__f"))
+    if mode not in ("drop", "fail"):
+        raise ValueError(f"mode must be 'drop' or 'fail', not {mode!r}")
+    split = lines.select(F.col(value).alias("__line"), tab_fields_all(F.col(value)).alias("__f"))
+    split = split.withColumn("__ok", F.coalesce(strict_valid(F.col("__f")), F.lit(False)))
+    if observation is not None:
+        split = split.observe(observation, F.count(F.when(F.col("__ok"), 1)).alias("accepted"),
+                              F.count(F.when(~F.col("__ok"), 1)).alias("rejected"))
     fa = F.col("__f")
     cols = []
     for i, f in enumerate(ARTICLE_SCHEMA.fields):
@@ -174,5 +207,9 @@ def typed_articles(lines: DataFrame, value: str = "value") -> DataFrame:
         else:
             c = raw
         cols.append(c.alias(f.name))
-    return split.where(strict_valid(fa)).select(*cols)
-
+    if mode == "fail":
+        shown = F.concat(F.lit("malformed article line: "), F.coalesce(F.substring("__line", 1, 200), F.lit("NULL")))
+        kept = F.when(F.col("__ok"), F.lit(True)).otherwise(F.raise_error(shown).cast("boolean"))
+    else:
+        kept = F.col("__ok")
+    return split.where(kept).select(*cols)

@@ -117,3 +117,18 @@ def distinct_keys(df: DataFrame, group: Sequence[str], key: str = "name",
     """Number of distinct keys per group (exact, or HyperLogLog++ sketch)."""
     agg = F.approx_count_distinct(key) if approx else F.count_distinct(key)
     return df.groupBy(*group).agg(agg.alias(out))
+
+
+# ------------------------------------------------- A7: sketches that can be merged
+LG_K = 12                   # 2^12 registers: a standard error of 1.6 %
+
+
+def sketch_keys(df: DataFrame, group: Sequence[str], key: str = "name", out: str = "sketch") -> DataFrame:
+    """A7, approximate: a HyperLogLog sketch of the distinct keys per group (null keys do not
+    count, as in count distinct). A few kilobytes a group, whatever it holds."""
+    return df.groupBy(*group).agg(F.hll_sketch_agg(F.col(key), F.lit(LG_K)).alias(out))
+
+
+def merge_sketches(sketches: DataFrame, group: Sequence[str], sketch: str = "sketch", out: str = "n_names") -> DataFrame:
+    """Estimated distinct keys over any union of sketched groups, without their rows."""
+    return sketches.groupBy(*group).agg(F.hll_sketch_estimate(F.hll_union_agg(F.col(sketch))).alias(out))

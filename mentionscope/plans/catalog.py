@@ -7,6 +7,7 @@ full; no row caps, id subsets or prefixes. Names follow the survey IDs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -17,9 +18,11 @@ from ..functions import timefuncs as tf
 from ..functions.names import DEFAULT_LAST_KEY, KNOWN_FALSE_POSITIVES, day_string
 from ..operators import articles, board, eventtime, feed, rolling, topk
 from ..schema import ARTICLE_COLUMNS
+from ..session import checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources import segments
 from ..streaming.sources import record_frame
+from . import daily
 from . import oracle_sql as q
 
 
@@ -234,6 +237,39 @@ def a7_distinct_names_per_day(spark, sf_dir):
     return topk.distinct_keys(articles.mentions(_lines(spark, sf_dir), "rdd"), ["day"])
 
 
+@register("a7_sketched_names", f"""
+WITH {q.mentions_cte('day').lstrip()}
+SELECT date_trunc('month', day)::DATE AS month, count(DISTINCT name) AS n_names, true AS within FROM m GROUP BY 1""")
+def a7_sketched_names(spark, sf_dir):
+    """A7, mergeable: a sketch per day, united per month; the estimate lies within four
+    standard errors of the exact count (which the query also returns)."""
+    m = articles.mentions(_lines(spark, sf_dir), "rdd")
+    month = F.trunc("day", "month").alias("month")
+    estimate = topk.merge_sketches(topk.sketch_keys(m, ["day"]).select(month, "sketch"), ["month"], out="estimate")
+    exact = topk.distinct_keys(m.select(month, "name"), ["month"])
+    off = F.abs(F.col("estimate") - F.col("n_names")) / F.col("n_names")
+    bound = 4 * 1.04 / 2 ** (topk.LG_K / 2)
+    return exact.join(estimate, "month").select("month", "n_names", (off <= F.lit(bound)).alias("within"))
+
+
+@register("k1_incremental_days", f"""
+WITH {q.mentions_cte('month').lstrip()},
+counts AS (SELECT day, name, count(*) AS mentions FROM m GROUP BY day, name),
+ranked AS (SELECT day, name, mentions,
+                  CAST(row_number() OVER (PARTITION BY day ORDER BY mentions DESC, name ASC) AS INTEGER) AS rank
+           FROM counts)
+SELECT day, name, mentions, rank FROM ranked WHERE rank <= 10""")
+def k1_incremental_days(spark, sf_dir):
+    """S7 -> A1 -> T1 -> K1: the daily top-10 kept as day tables, the segments taken in two
+    runs; the ranks equal those of one full run."""
+    base = f"{checkpoint_dir(spark)}/days-{uuid.uuid4().hex}"
+    lines = _lines(spark, sf_dir, "month").withColumn("file", F.concat(F.lit("segment-"), F.pmod(F.xxhash64("id"), F.lit(4)).cast("string")))
+    for part in (F.col("file") <= "segment-1", F.col("file") > "segment-1"):
+        daily.ingest(spark, lines.where(part), base)
+        daily.rank_days(spark, base)
+    return daily.top_table(spark, base)
+
+
 @register("s11_last_key", f"""
 WITH {q.lines_cte('day').lstrip()}
 SELECT coalesce(arg_max(split_part(value, chr(9), 1), id), '{DEFAULT_LAST_KEY}') AS last_key FROM lines""")
@@ -366,6 +402,28 @@ def k2_record_frame(spark, sf_dir):
     return rec.select("key", "value", "partition", ntz("event_ts").alias("event_ts"), header)
 
 
+_DELAY_DAYS = 365
+
+
+@register("st6_rejected_mentions", f"""
+WITH {q.lines_cte('day').lstrip()},
+k AS (SELECT id, id // {64 * fx.ID_SPAN} AS batch, substr(split_part(value, chr(9), 1), 1, 12) AS head FROM lines),
+s AS (SELECT id, batch, CASE WHEN regexp_full_match(head, '[0-9]{{12}}') THEN try_strptime(head, '%Y%m%d%H%M') END AS ts FROM k),
+b AS (SELECT batch, max(ts) AS top FROM s GROUP BY batch),
+w AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {_DELAY_DAYS} DAYS AS mark FROM b)
+SELECT id, ts, CASE WHEN ts IS NULL THEN 'no time' ELSE 'late' END AS reason
+FROM s JOIN w ON s.batch = w.batch WHERE ts IS NULL OR ts < mark""")
+def st6_rejected_mentions(spark, sf_dir):
+    """ST5/ST6 (batch twin): article lines in arrival order, 64 orders to a micro-batch - those
+    without an event time and those older than the watermark their batch meets, with the reason."""
+    from ..functions.names import record_key
+    lines = _lines(spark, sf_dir).select("id", F.expr(f"id div {64 * fx.ID_SPAN}").alias("batch"),
+                                         tf.stamp_minute(record_key("value")).alias("ts"))
+    told = rolling.late(lines, "batch", delay_us=_DELAY_DAYS * 24 * rolling.HOUR_US)
+    reason = F.when(F.col("ts").isNull(), rolling.NO_TIME).when(F.col("late"), rolling.LATE)
+    return told.select("id", ntz("ts").alias("ts"), reason.alias("reason")).where("reason IS NOT NULL")
+
+
 @register("e5_segment_rates", f"""
 WITH {q.events_cte().lstrip()}
 SELECT {_SEG_SQL} AS segment_start, count(*) AS n_lines, count(*) // 900 AS per_second,
@@ -537,6 +595,22 @@ def s10_utf8_documents(spark, sf_dir):
     return d.select("doc_id", repair_utf8("text").alias("text"))
 
 
+@register("s10_repaired_bytes", r"""
+SELECT doc_id, regexp_replace(text, '[\x{80}-\x{7FF}]', '', 'g') AS text,
+       (length(text) - length(regexp_replace(text, '[\x{80}-\x{7FF}]', '', 'g')))::BIGINT AS n_cut FROM documents""")
+def s10_repaired_bytes(spark, sf_dir):
+    """S10 on malformed bytes: every two-byte character of the documents is cut after its
+    first byte; the repair drops what is left of it and nothing else."""
+    from ..sources.text import repair_utf8
+    d = fx.table(spark, sf_dir, "documents")
+    # As bytes, one character each: a first byte of two, then the byte that goes with it.
+    pairs = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    cut = F.regexp_replace(pairs, "([\u00c2-\u00df])[\u0080-\u00bf]", "$1")
+    raw = F.encode(cut, "ISO-8859-1").cast("string")
+    n_cut = (F.length(pairs) - F.length(cut)).cast("long")
+    return d.select("doc_id", raw.alias("raw"), n_cut.alias("n_cut")).select("doc_id", repair_utf8("raw").alias("text"), "n_cut")
+
+
 @register("f13_url_parts", r"""
 SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
        regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages""")

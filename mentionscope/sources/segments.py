@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import DEFAULT_LAST_KEY
 from ..functions.timefuncs import segment_name, segment_window
+from .text import numbered_lines
 
 # ---- fixed values ------------------------------------------------------------
 MANIFEST_PATH_PATTERN = r"/v2/gkg/[0-9]*\.gkg\.csv"
@@ -21,9 +22,8 @@ MANIFEST_NAME_PATTERN = r"[0-9]*\.gkg\.csv"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A manifest text file as ``pos, line`` (pos = line order within the file)."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("pos"),
-                                        F.col("value").alias("line"))
+    """A manifest text file as ``pos, line`` (pos = number of the line in the file, from 1)."""
+    return numbered_lines(spark, path).select(F.col("line_no").alias("pos"), F.col("value").alias("line"))
 
 
 def manifest_head(manifest: DataFrame, n: int, pos: str = "pos", line: str = "line") -> DataFrame:

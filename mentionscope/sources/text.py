@@ -8,14 +8,17 @@ lines survive, while the text route gives one explicit rule.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.articles import typed_articles
+from ..operators.prefix import bucketed_row_number
 
 
 def read_lines(spark: SparkSession, paths, with_file: bool = False) -> DataFrame:
-    """A glob (or list) of text files -> ``value`` (+ ``file``, ``split``, ``pos``)."""
+    """A glob (or list) of text files -> ``value`` (+ ``file``, ``split``, ``pos``).
+
+    ``split`` is where the line's block starts in its file, ``pos`` grows with the lines of a block."""
     df = spark.read.text(paths)
     if with_file:
         df = df.select("value", F.col("_metadata.file_name").alias("file"),
@@ -24,19 +27,20 @@ def read_lines(spark: SparkSession, paths, with_file: bool = False) -> DataFrame
     return df
 
 
-def read_articles(spark: SparkSession, paths, mode: str = "drop") -> DataFrame:
-    """Typed 27-column records from TAB separated segments.
+def numbered_lines(spark: SparkSession, paths) -> DataFrame:
+    """S1 with true line numbers -> ``file, line_no, value`` (``line_no`` from 1, per file).
 
-    ``mode="drop"`` drops malformed lines; ``mode="fail"`` raises if any line
-    is malformed (checked with one extra aggregate over the scan).
+    Blocks of a file are read by many tasks, in any packing: lines are numbered within their
+    block and the blocks' counts summed in the order of the file.
     """
-    lines = read_lines(spark, paths)
-    typed = typed_articles(lines)
-    if mode == "fail":
-        bad = lines.count() - typed.count()
-        if bad:
-            raise ValueError(f"{bad} malformed article lines")
-    return typed
+    lines = read_lines(spark, paths, with_file=True)
+    return bucketed_row_number(lines, ["file"], F.col("split"), [F.col("pos")], "line_no").select("file", "line_no", "value")
+
+
+def read_articles(spark: SparkSession, paths, mode: str = "drop", observation: Observation | None = None) -> DataFrame:
+    """Typed 27-column records from TAB separated segments, read once in either
+    mode (see :func:`~mentionscope.operators.articles.typed_articles`)."""
+    return typed_articles(read_lines(spark, paths), mode=mode, observation=observation)
 
 
 def repair_utf8(col: str = "value") -> F.Column:

@@ -79,3 +79,63 @@ def test_daily_job_cli_with_lists(spark, scratch):
     assert sizes and max(sizes) <= 3
     exp = daily.daily_top(lines, 3, "ds")
     assert sum(sizes) == exp.count()
+
+
+def _segments(spark, scratch, name, lines):
+    out = os.path.join(scratch, "segments", name)
+    lines.select("value").coalesce(1).write.text(out)
+    return out
+
+
+def _files(folder):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(folder) for f in fs if f.startswith("part-")}
+
+
+def test_updates_equal_one_full_run(spark, scratch):
+    """New segments only: two updates give the ranks of one full run, days that the second
+    does not touch keep their files, and nothing is read twice."""
+    lines = fx.article_lines(spark, SF_SMALL, "month")
+    stamp = F.split("value", "\t").getItem(1)
+    early = F.coalesce(stamp < "19980101000000", F.lit(False))
+    _segments(spark, scratch, "a", lines.where(early))
+    pattern, base = os.path.join(scratch, "segments", "*", "*.txt"), os.path.join(scratch, "tables")
+    assert daily.update(spark, pattern, base) == 1
+    first = _files(os.path.join(base, "top"))
+    assert first and daily.update(spark, pattern, base) == 0 and _files(os.path.join(base, "top")) == first
+    _segments(spark, scratch, "b", lines.where(~early & (F.col("id") % 2 == 0)))
+    _segments(spark, scratch, "c", lines.where(~early & (F.col("id") % 2 == 1)))
+    assert daily.update(spark, pattern, base) == 2
+    second = _files(os.path.join(base, "top"))
+    assert first.items() <= second.items() and len(second) > len(first)
+    got, exp = daily.top_table(spark, base), daily.daily_top(lines, 10)
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp.select(got.columns)).count() == 0
+    # Kept and rejected lines are the input.
+    from mentionscope.operators import articles
+    parsed = articles.parse_articles(lines, "rdd")
+    assert daily.rejected(spark, base).agg(F.sum("n")).first()[0] == articles.rejects(parsed).count() > 0
+
+
+def test_update_after_a_failure(spark, scratch):
+    """A run that ended after its items were written, or before they were noted as seen."""
+    lines = fx.article_lines(spark, SF_SMALL, "month").where("id % 3 = 0")
+    _segments(spark, scratch, "a", lines)
+    pattern, base = os.path.join(scratch, "segments", "*", "*.txt"), os.path.join(scratch, "tables")
+    from mentionscope.sources.text import read_lines
+    daily.ingest(spark, read_lines(spark, pattern, with_file=True).select("file", "value"), base)     # and then nothing more
+    assert daily.top_table(spark, base).count() == 0
+    assert daily.update(spark, pattern, base) == 1                                                    # the segment again: counted once
+    got, exp = daily.top_table(spark, base), daily.daily_top(lines, 10)
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp.select(got.columns)).count() == 0
+
+
+def test_full_run_with_rejects_reads_once(spark, scratch):
+    lines = fx.article_lines(spark, SF_SMALL, "month")
+    _segments(spark, scratch, "a", lines)
+    out, rej = os.path.join(scratch, "out"), os.path.join(scratch, "rej")
+    daily.run(spark, os.path.join(scratch, "segments", "*", "*.txt"), out, mode="ds", rejects_output=rej)
+    exp = daily.daily_top(lines, 10, "ds")
+    got = spark.read.parquet(out).select("day", "name", "mentions", "rank")
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp.select(got.columns)).count() == 0
+    from mentionscope.operators import articles
+    n = spark.read.parquet(rej).where("kind = 'reject'").agg(F.sum("n")).first()[0]
+    assert n == articles.rejects(articles.parse_articles(lines, "ds")).count() > 0

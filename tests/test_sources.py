@@ -4,11 +4,14 @@ UTF-8 repair, record frames, file discovery."""
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from mentionscope.operators import articles, topk
 from mentionscope.schema import ARTICLE_SCHEMA, read_header_table, schema_from_header_table
-from mentionscope.sources import text
+from mentionscope.sources import fixtures as fx
+from mentionscope.sources import segments, text
 from mentionscope.streaming.sources import changelog_value, decode_records, record_frame
 
 
@@ -30,8 +33,8 @@ def test_text_scan_and_daily_top(spark, scratch):
     assert got == [("2015-02-18", "A", 2, 1), ("2015-02-18", "B", 1, 2), ("2015-02-19", "C", 1, 1)]
     typed = text.read_articles(spark, os.path.join(seg, "*.csv"))
     assert typed.schema == ARTICLE_SCHEMA and typed.count() == 3
-    with pytest.raises(ValueError):
-        text.read_articles(spark, os.path.join(seg, "*.csv"), mode="fail")
+    with pytest.raises(PySparkException, match="malformed article line: short"):
+        text.read_articles(spark, os.path.join(seg, "*.csv"), mode="fail").count()
 
 
 def test_header_table_to_schema(spark, scratch):
@@ -79,3 +82,67 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == -(-int(100 * 10**12 * 0.3) // (256 << 20))
     small = cluster_conf(10**9, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 128          # at least two waves of tasks
+
+
+# ---- one pass per reading mode, line numbers, sketches, malformed bytes ---------
+def _scans(spark, df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_bad_rows_in_one_pass(spark, scratch):
+    from pyspark.sql import Observation
+    lines = fx.article_lines(spark, SF_SMALL, "day")
+    path = os.path.join(scratch, "lines")
+    lines.select("value").write.text(path)
+    counts = Observation()
+    kept = text.read_articles(spark, path, observation=counts)
+    assert _scans(spark, kept) == 1
+    n = kept.count()
+    parsed = articles.typed_articles(lines)
+    assert n == parsed.count() == counts.get["accepted"] and counts.get["rejected"] == lines.count() - n > 0
+    strict = text.read_articles(spark, path, mode="fail")
+    assert _scans(spark, strict) == 1
+    with pytest.raises(PySparkException, match="malformed article line"):
+        strict.count()
+    clean = os.path.join(scratch, "clean")
+    lines.where("value LIKE '%am\t\t'").where(F.size(F.split("value", "\t")) == 27).where("id % 1048576 < 1000").select("value").write.text(clean)
+    assert text.read_articles(spark, clean, mode="fail").count() == spark.read.text(clean).count() > 0
+    with pytest.raises(ValueError):
+        text.read_articles(spark, path, mode="skip")
+
+
+def test_lines_are_numbered_as_in_the_file(spark, scratch):
+    """Files of many blocks, read by many tasks in another order."""
+    for name, n in (("a.txt", 3000), ("b.txt", 1), ("c.txt", 500)):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.writelines(f"{name} {i} {'x' * (i % 50)}\n" for i in range(1, n + 1))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "4096")
+    try:
+        got = text.numbered_lines(spark, scratch)
+        assert spark.read.text(scratch).rdd.getNumPartitions() > 10
+        rows = got.collect()
+        head = segments.read_manifest(spark, os.path.join(scratch, "a.txt")).orderBy("pos").limit(3).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(rows) == 3501 and all(r["value"].split(" ")[:2] == [r["file"], str(r["line_no"])] for r in rows)
+    assert [r["pos"] for r in head] == [1, 2, 3] and head[2]["line"].startswith("a.txt 3 ")
+
+
+def test_sketches_merge(spark):
+    df = spark.range(60_000).selectExpr("id % 30 AS day", "CASE WHEN id % 1000 > 0 THEN concat('n', id % 20000) END AS name")
+    daily = topk.sketch_keys(df, ["day"])
+    assert daily.select(F.max(F.length("sketch"))).first()[0] < 10_000
+    whole = topk.merge_sketches(daily.withColumn("g", F.lit(1)), ["g"]).first()["n_names"]
+    exact = df.agg(F.count_distinct("name")).first()[0]
+    assert abs(whole - exact) <= 4 * 1.04 / 64 * exact
+    one = topk.sketch_keys(df.withColumn("g", F.lit(1)), ["g"])
+    assert topk.merge_sketches(one, ["g"]).first()["n_names"] == whole         # merged parts equal the whole
+
+
+def test_malformed_bytes_are_cut_out(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["s10_repaired_bytes"](spark, SF_SMALL).collect()
+    assert sum(r["n_cut"] > 0 for r in rows) > 20
+    assert all("�" not in r["text"] for r in rows)
