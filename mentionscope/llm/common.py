@@ -51,6 +51,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BATCH = 4 << 20             # bytes of an Arrow batch on its way to a Python worker
+
+
+def bound_batches(spark: SparkSession, size: int = BATCH) -> None:
+    """Bound the Arrow batches of the session by bytes. Spark's own bound (64 MB, 10,000 rows) is
+    held several times over by each task: in the JVM's vectors, on the way, and in the worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 @contextmanager
 def shuffles_removed(spark: SparkSession):
     """Jobs that run within remove their shuffle files when they end, so the disk
@@ -132,3 +141,18 @@ def arrow_slices(batches, column: str = "text", limit: int = 2 << 20) -> Iterato
             held += len(t)
         if first < len(texts):
             yield batch.slice(first), texts[first:]
+
+
+def offset_slices(batches, column: str = "text", limit: int = 2 << 20) -> Iterator:
+    """As :func:`arrow_slices`, but cut by the column's lengths first, so that only the
+    texts of one piece are made Python bytes at a time, not those of the whole batch."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    for batch in batches:
+        raw = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + limit, "right")) - 1)
+            yield batch.slice(first, last - first), [b"" if t is None else t for t in raw.slice(first, last - first).to_pylist()]
+            first = last

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, WORD, arrow_slices, cut, mix64, words
+from .common import LOWER, UPPER, WORD, cut, mix64, offset_slices, words
 from .components import components
 
 K = 5
@@ -109,7 +109,7 @@ def classes(docs: DataFrame) -> DataFrame:
     spec = T.StructType([docs.schema[c] for c in rest] + [T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()), T.StructField("sig", T.BinaryType())])
 
     def run(batches):
-        for batch, texts in arrow_slices(batches):
+        for batch, texts in offset_slices(batches):
             d, x = shingles(texts)
             size, cls = set_classes(d, x, len(texts))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(size.astype(np.int64)), pa.array(cls),
@@ -122,14 +122,14 @@ def sketch(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
     """Documents per slot of the shingles' hash; ``slots`` numbers whatever the input.
     A task sends its counts in blocks, which are added up block by block."""
     def run(batches):
-        held = np.zeros(slots, np.int64)
+        held = np.zeros(slots, np.uint32)
         seen: list[np.ndarray] = []
-        for _, texts in arrow_slices(batches):
-            seen.append((shingles(texts)[1] & np.uint64(slots - 1)).astype(np.int64))
+        for _, texts in offset_slices(batches):
+            seen.append((shingles(texts)[1] & np.uint64(slots - 1)).astype(np.uint32))
             if sum(map(len, seen)) > 2 << 20:
-                held += np.bincount(np.concatenate(seen), minlength=slots)
+                _count(held, seen)
                 seen = []
-        held += np.bincount(np.concatenate([np.zeros(0, np.int64), *seen]), minlength=slots)
+        _count(held, seen)
         blocks = held.reshape(-1, 4096)
         some = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([_pack(blocks[i]) for i in some], pa.binary())], ["block", "n"])
@@ -142,12 +142,23 @@ def sketch(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([_pack(n) for n in total.values()], pa.binary())], ["block", "n"])
 
     parts = docs.select("text").mapInArrow(run, "block int, n binary")
-    out = np.zeros((slots // 4096, 4096), np.int64)
+    out = np.zeros((slots // 4096, 4096), np.uint32)      # at most 2^32 - 1: beyond it a slot is as frequent as can be
     for r in parts.repartition(slots // 4096 // 8, "block").mapInArrow(add, "block int, n binary").collect():
-        out[r["block"]] += _unpack(r["n"])
+        out[r["block"]] = np.minimum(out[r["block"]] + _unpack(r["n"]), (1 << 32) - 1)
     return out.reshape(-1)
 
 
+def _count(held: np.ndarray, seen: list[np.ndarray], block: int = 1 << 20) -> None:
+    """Add the slots of ``seen`` to ``held``, a block of slots at a time."""
+    if not seen:
+        return
+    at = np.sort(np.concatenate(seen)) if len(held) > block else np.concatenate(seen)
+    edges = np.searchsorted(at, np.arange(0, len(held) + block, block)) if len(held) > block else [0, len(at)]
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        part = held[k * block:(k + 1) * block]
+        part += np.bincount(at[a:b].astype(np.int64) - k * block, minlength=len(part)).astype(np.uint32)
+
+
 def _pack(n: np.ndarray) -> bytes:
     """Counts by byte of significance, so that small ones compress well."""
     return n.astype(">i8").view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -184,7 +195,7 @@ def keys(texts: list[bytes], counts: np.ndarray, limit: int):
     chosen[one] = True
     here = chosen[d]
     d, x = d[here], x[here]
-    df = counts[(x & np.uint64(len(counts) - 1)).astype(np.int64)]
+    df = counts[(x & np.uint64(len(counts) - 1)).astype(np.int64)].astype(np.int64)
     floor = max(1.0, 2.0 * counts.mean())
     level = np.maximum(0, np.floor(np.log2(np.maximum(df, 1) / floor)) + 1).astype(np.int64)
     level[df < floor] = 0
@@ -258,7 +269,7 @@ def lists(docs: DataFrame, counts: np.ndarray, limit: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(counts)  # at most MOST_SLOTS numbers
 
     def run(batches):
-        for _, texts in arrow_slices(batches):
+        for _, texts in offset_slices(batches):
             yield _rows(keys(texts, sent.value, limit), ["key", "salt", "cls", "n"])
 
     rows = docs.select("text").mapInArrow(run, "key long, salt int, cls long, n int")
@@ -364,7 +375,7 @@ def verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, slots: int = SLO
 
     def run(batches):
         wanted = np.unpackbits(sent.value).astype(bool)
-        for _, texts in arrow_slices(batches):
+        for _, texts in offset_slices(batches):
             d, x = shingles(texts)
             size, cls = set_classes(d, x, len(texts))
             ends = np.cumsum(size)

@@ -10,21 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontam, jaccard, mixing, pii, quality
-from .common import table
+from .common import bound_batches, table
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    bound_batches(spark)
     return quality.classify(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    bound_batches(spark)
     return jaccard.representatives(docs).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    bound_batches(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
