@@ -84,7 +84,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced by pseudonyms."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kinds = F.transform("pii", lambda p: p["kind"])
-    return pii.pseudonymise(docs).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"),
+    return pii.pseudonymise(docs, pii.key_of(spark)).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"),
                                          F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("kinds"))
 
 

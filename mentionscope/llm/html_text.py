@@ -40,7 +40,11 @@ FURNITURE = frozenset("ad ads adv advert adverts advertisement advertising spons
                       "comment comments commentlist reply replies respond discussion disqus feedback reviews hidden skip toolbar contentinfo complementary".split())
 CONTENT = frozenset("article content main post entry story body text prose".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
+# A quote opens a value only behind the equals sign of an attribute; anywhere else it is a character.
+VALUE = r"""(?:"[^"]*"|'[^']*'|(?!["'])[^\s>]+)"""
+TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|=?[^\s=>/]+(?:\s*=\s*{VALUE})?|=)*+)>""", re.S)
+# A tag whose end the page lacks, and the rest of the page with it.
+CUT_TAG = re.compile(r"</?[a-zA-Z].*", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 PARTS = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -161,15 +165,18 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             held[inner].words += len(text.split())
             block.heading |= any(s[0] in HEADING for s in stack[-4:])
 
-    at, size = 0, len(page)
+    # Nothing closes a tag behind the last ``>``, so none is looked for there.
+    at, size, last = 0, len(page), page.rfind(">") + 1
     while at < size:
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at, last)
         if m is None:
-            add(page[at:])
+            add(CUT_TAG.sub("", page[at:]))
             break
         add(page[at:m.start()])
         at = m.end()
         if m[2] is None:
+            if at == last and not m[0].endswith(">"):      # a comment that nothing closes
+                break
             continue
         end, tag, attributes = m[1], m[2].lower(), m[3] or ""
         if tag not in INLINE:

@@ -233,13 +233,13 @@ def fit(train: DataFrame, vocabulary: Vocabulary, n_words: int, n_docs: int, rou
             arrays, flat = sent.value
             vocabulary = Vocabulary.of(*arrays)
             own = Model(flat.copy())
-            rng = np.random.default_rng([k, TaskContext.get().partitionId()])
+            part = TaskContext.get().partitionId()
+            rng, deal = np.random.default_rng([k, part]), np.random.default_rng([rounds, part])
             seen = 0
             for _, texts in arrow_slices(batches):
                 _, _, _, c, doc = tokens(texts, vocabulary)
                 u, v = contexts(c, doc)
-                order = rng.permutation(len(c))
-                order = order[k::rounds]  # the rounds share the tokens between them
+                order = dealt(len(c), k, rounds, deal)
                 for first in range(0, len(order), BATCH):
                     at = order[first: first + BATCH]
                     own.step(u[at], v[at], c[at], rng.choice(SIZE, NOISE, p=unigram), log_noise, RATE)
@@ -252,6 +252,12 @@ def fit(train: DataFrame, vocabulary: Vocabulary, n_words: int, n_docs: int, rou
     return model
 
 
+def dealt(n: int, k: int, rounds: int, deal: np.random.Generator) -> np.ndarray:
+    """Round ``k``'s share of ``n`` tokens, in random order. All rounds draw from generators of
+    the same state, so they share the tokens between them: each is used once."""
+    return deal.permutation(n)[k::rounds]
+
+
 def score(docs: DataFrame, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

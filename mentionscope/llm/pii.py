@@ -20,10 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "corpus-pseudonyms"
+# Whoever holds the key can undo the pseudonyms: a run on real data names its own in the
+# session setting; without it this open one serves tests.
+KEY_SETTING, OPEN_KEY = "spark.corpus.pseudonymKey", "corpus-pseudonyms"
 ROUNDS = 10
 
 # The shapes of the values looked for.
@@ -34,7 +36,16 @@ PHONE_LOCAL = r"(?<![0-9A-Za-z+])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 DATE_ISO = r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])"
 DATE_EUROPEAN = r"(?<![0-9A-Za-z./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z/])"
-IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+# End of the fixed values. A country of the table ends after its own length, whatever word follows.
+_BY_COUNTRY = "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[0-9A-Z]{{{n % 4}}}" if n % 4 else "")
+                       for n, c in IBAN_LENGTHS.items())
+IBAN = rf"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:(?:{_BY_COUNTRY})|[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{2,7}}(?: ?[0-9A-Z]{{1,3}})?)(?![0-9A-Za-z])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 SECRET = (r"(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key)[\"']?"
           r" ?[=:] ?[\"']?(?=[A-Za-z0-9+/_.-]*[0-9])[A-Za-z0-9+/_.-]{16,}+[\"']?)")
@@ -227,7 +238,12 @@ def pseudonym(key: str, v: Column) -> Column:
     return F.struct(kind.alias("kind"), value.alias("value"))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def key_of(spark: SparkSession) -> str:
+    """The session's key (``spark.corpus.pseudonymKey``), or the open one where none is set."""
+    return spark.conf.get(KEY_SETTING, OPEN_KEY)
+
+
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, ``n_chars`` (if there)
     counted again, and ``pii``, one struct (kind, old length, value) per replacement in order."""
     text = F.col("text")

@@ -33,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; n_chars is counted again."""
-    return pii.pseudonymise(docs).select(*docs.columns)
+    return pii.pseudonymise(docs, pii.key_of(spark)).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ def iban_ok(s):
 
 
 def run(make_docs, texts):
-    got = pii.pseudonymise(make_docs(list(enumerate(texts)))).collect()
+    got = pii.pseudonymise(make_docs(list(enumerate(texts))), pii.OPEN_KEY).collect()
     return {r["doc_id"]: r for r in got}
 
 
@@ -49,13 +49,13 @@ def test_kinds_and_formats(make_docs):
 def test_edges(make_docs):
     docs = make_docs([(1, None), (2, ""), (None, "1.2.3.4"), (3, "1.2.3.4"), (3, "1.2.3.4"), (4, "9" * 100000 + "a." * 50000 + " 1.2.3.4")],
                      extra=["pii", "key", "kind"])
-    got = pii.pseudonymise(docs).collect()
+    got = pii.pseudonymise(docs, pii.OPEN_KEY).collect()
     by = {}
     for r in got:
         by.setdefault(r["doc_id"], []).append(r["text"])
     assert by[1] == [None] and by[2] == [""] and by[3][0] == by[3][1] == by[None][0] != "1.2.3.4"
     assert by[4][0].endswith(by[3][0]) and len(got) == 6 and got[0]["key"] == "own"
-    assert pii.pseudonymise(make_docs([])).count() == 0
+    assert pii.pseudonymise(make_docs([]), pii.OPEN_KEY).count() == 0
 
 
 def test_permutations_are_one_to_one(spark):
@@ -69,3 +69,23 @@ def test_permutations_are_one_to_one(spark):
     cards = spark.range(5000).select(F.lpad((F.col("id") * 7919 + 4000000000000).cast("string"), 15, "4").alias("b"))
     cards = cards.select(F.concat("b", pii.luhn_digit(F.col("b"))).alias("v")).select(pii._card("k", F.col("v")).alias("o")).collect()
     assert len({r["o"] for r in cards}) == 5000 and all(luhn(r["o"]) for r in cards)
+
+
+def test_ibans_end_where_their_country_says(make_docs):
+    """A word behind the number is no part of it, nor keeps it from being replaced."""
+    texts = ["IBAN BE68 5390 0754 7034 BIC KREDBEBB", "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", "BE68539007547034 ABCD", "NO93 8601 1117 947 und mehr",
+             "BE68 5390 0754 7035 BIC KREDBEBB", "MT84 MALT 0110 0001 2345 MTLC AST0 01S XYZ"]
+    got = run(make_docs, texts)
+    for i, tail in ((0, " BIC KREDBEBB"), (1, " BIC CAIXESBB"), (2, " ABCD"), (3, " und mehr"), (5, " XYZ")):
+        new = got[i]["text"]
+        assert new.endswith(tail) and new != texts[i] and [p["kind"] for p in got[i]["pii"]] == ["iban"]
+        number = new[:-len(tail)].removeprefix("IBAN ")
+        assert iban_ok(number) and [c == " " for c in number] == [c == " " for c in texts[i][:-len(tail)].removeprefix("IBAN ")]
+    assert got[4]["text"] == texts[4]                                # its check digits are wrong
+    a, b = got[0]["text"][5:24].replace(" ", ""), got[2]["text"][:16]
+    assert a == b                                                    # one account, one pseudonym
+
+
+def test_another_key_gives_other_pseudonyms(make_docs):
+    docs = make_docs([(1, "card 4417744280351547")])
+    assert pii.pseudonymise(docs, "x").first()["text"] != pii.pseudonymise(docs, "y").first()["text"]

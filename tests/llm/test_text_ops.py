@@ -271,3 +271,13 @@ def test_kneser_ney_sums_to_one_and_rejects_junk(spark, make_docs):
     assert len(out) == 5 and all(r["kept"] for r in out)
     assert quality.classify(make_docs([]), labels).count() == 0
     assert all(r["kept"] for r in quality.classify(docs, labels.where("false")).collect())
+
+
+def test_rounds_of_training_share_all_tokens():
+    import numpy as np
+    from mentionscope.llm import lm
+    for rounds in (1, 2, 3):
+        deals = [np.random.default_rng([rounds, 5]) for _ in range(rounds)]
+        for n in (0, 1, 7, 1000):                     # slice after slice of one task
+            used = np.concatenate([lm.dealt(n, k, rounds, deals[k]) for k in range(rounds)])
+            assert sorted(used) == list(range(n))

@@ -140,3 +140,28 @@ def test_stages_take_effect_and_pass_edges(spark, make_docs, tmp_path):
     assert docs.select("doc_id").distinct().count() < before
     for _, stage in stages.STAGES:
         assert stage(spark, make_docs([]), sf).count() == 0
+
+
+def test_quotes_open_only_behind_an_equals_sign():
+    from mentionscope.llm.html_text import blocks
+    text = lambda page: " ".join(t for t, _ in blocks(page))
+    assert text("<p title=don't>One fine day.</p><p>It's two.</p>") == "One fine day. It's two."
+    assert text('<p class="x"">Hello there.</p><p>More "quoted" text.</p>') == 'Hello there. More "quoted" text.'
+    assert text("<a href='x>y' title=\"1 > 0\">Link</a> <b data=a\"b>bold</b>") == "Link bold"
+    assert text('<p class = "a" id=b/>x</p><br/>y<img alt="no > end">z') == "x yz" or text('<p class = "a" id=b/>x</p><br/>y<img alt="no > end">z') == "x y z"
+    assert text("<p =x y==z ='q'>odd</p>") == "odd"
+    assert text('<p class="never closed>text one</p><p>text two</p>').endswith("text two")
+    assert text("<p>kept</p><p class='x") == "kept" and text("<p>kept <!-- gone <b>x</b>") == "kept"
+    assert text("a < b and c > d") == "a < b and c > d"
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+    from mentionscope.llm.html_text import blocks
+
+    def seconds(page):
+        t = time.perf_counter()
+        blocks(page)
+        return time.perf_counter() - t
+    for page in ("<p " * 200_000, "<p a='" * 100_000, '<p x="1" ' * 100_000 + ">", "<" * 300_000, "<a b=" * 100_000):
+        assert seconds(page) < 5
