@@ -126,6 +126,45 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64(np.add.reduceat(terms, first))
 
 
+SPAN = 1 << 17
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of :func:`word_hashes` from running sums: a word's terms are the difference
+    of two of them, times the inverse power of where it starts (the base is odd, so it has one)."""
+    out = np.empty(len(starts), np.uint64)
+    up = powers(SPAN)
+    down = np.full(SPAN, pow(int(_BASE), -1, 1 << 64), np.uint64)
+    down[0] = 1
+    down = np.multiply.accumulate(down)
+    a = 0
+    while a < len(starts):
+        at = int(starts[a])
+        b = int(np.searchsorted(ends, at + SPAN, "right"))
+        if b <= a:                      # a word longer than a span
+            out[a:a + 1] = word_hashes(data, starts[a:a + 1], ends[a:a + 1])
+            a += 1
+            continue
+        sums = _RANDOM[data[at:int(ends[b - 1])]]
+        sums *= up[:len(sums)]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(sums, dtype=np.uint64)])
+        first = starts[a:b] - at
+        out[a:b] = mix64((sums[ends[a:b] - at] - sums[first]) * down[first])
+        a = b
+    return out
+
+
+def lower_words(texts: list[bytes]):
+    """(text index, 64-bit hash) of the words of a batch, A-Z lower-cased, as :func:`words` finds them."""
+    data = np.frombuffer((b"\n" + b"\n".join(texts) + b"\n").lower(), np.uint8)
+    space = _SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1      # white space is first and last: starts and ends by turns
+    starts, ends = edge[0::2], edge[1::2]
+    offsets = 1 + np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    counts = np.diff(np.searchsorted(starts, offsets))
+    return np.repeat(np.arange(len(texts)), counts), span_hashes(data, starts, ends)
+
+
 def arrow_slices(batches, column: str = "text", limit: int = 2 << 20) -> Iterator:
     """Cut Arrow record batches into pieces of about ``limit`` bytes of text (one
     row at least), with the texts as UTF-8 bytes (null: empty). Bounds the memory

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, WORD, cut, mix64, offset_slices, words
+from .common import LOWER, UPPER, WORD, cut, lower_words, mix64, offset_slices
 from .components import components
 
 K = 5
@@ -47,7 +47,7 @@ _STEP = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x
 
 def shingles(texts: list[bytes]):
     """(text index, 64-bit shingle) pairs, distinct, sorted by both."""
-    _, _, _, doc, h = words(texts)
+    doc, h = lower_words(texts)
     n = len(h)
     parts_d, parts_h = [], []
     if n >= K:

@@ -281,3 +281,15 @@ def test_rounds_of_training_share_all_tokens():
         for n in (0, 1, 7, 1000):                     # slice after slice of one task
             used = np.concatenate([lm.dealt(n, k, rounds, deals[k]) for k in range(rounds)])
             assert sorted(used) == list(range(n))
+
+
+def test_span_hashes_are_the_word_hashes():
+    import random
+    from mentionscope.llm import common
+    rnd = random.Random(2)
+    cases = [[bytes(rnd.choice(b"ab \n\tAZ\xc3\xa9") for _ in range(rnd.choice([0, 1, 5, 40]))) for _ in range(rnd.choice([1, 2, 7]))] for _ in range(200)]
+    cases += [[b"x" * 300_000 + b" y " + b"ab " * 100_000, b"", b"q" * common.SPAN + b" z"], [], [b""]]
+    for texts in cases:
+        _, _, _, doc, h = common.words(texts)
+        d, g = common.lower_words(texts)
+        assert doc.tolist() == d.tolist() and h.tolist() == g.tolist()
