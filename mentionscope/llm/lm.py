@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_slices, cut, words
+from .common import arrow_slices, cut, lower_words
 
 HOT = 1 << 16
 CLASSES = 510          # frequent words that are output classes
@@ -49,7 +49,7 @@ def heavy_words(train: DataFrame, hot: int = HOT) -> np.ndarray:
     def run(batches):
         held_w, held_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for _, texts in arrow_slices(batches, limit=8 << 20):
-            w, n = np.unique(words(texts)[4], return_counts=True)
+            w, n = np.unique(lower_words(texts)[1], return_counts=True)
             held_w, at = np.unique(np.concatenate([held_w, w]), return_inverse=True)
             held_n = np.bincount(at, np.concatenate([held_n, n]), len(held_w)).astype(np.int64)
             if len(held_w) > 8 * hot:  # rare so far; their counts are made exactly later
@@ -123,7 +123,7 @@ class Vocabulary:
 def tokens(texts: list[bytes], vocabulary: Vocabulary):
     """(place in the vocabulary, hash, text index) of each word, then class and text
     index of each token, ends included."""
-    _, _, _, doc, h = words(texts)
+    doc, h = lower_words(texts)
     at = vocabulary.find(h)
     classes = np.where(at >= 0, vocabulary.classes[at] if len(vocabulary.classes) else REST, REST)
     counts = np.bincount(doc, minlength=len(texts)) if len(doc) else np.zeros(len(texts), int)
@@ -204,7 +204,7 @@ def vocabulary_of(train: DataFrame, hot: int = HOT) -> tuple[Vocabulary, int, in
         v = Vocabulary.of(*sent.value)
         held = np.zeros(len(v.hashes) + 2)
         for batch, texts in arrow_slices(batches):
-            h = words(texts)[4]
+            h = lower_words(texts)[1]
             at = v.find(h)
             held[: len(v.hashes)] += np.bincount(at[at >= 0], minlength=len(v.hashes))
             held[-2:] += len(h), len(texts)
