@@ -17,14 +17,14 @@ from mentionscope.session import build_session  # noqa: E402
 NOTES = {
     "t1_daily_top_names": "Partial count on (day, name) before the first exchange; a partial "
                           "`WindowGroupLimit` (k per day per task) before the day exchange.",
-    "e4_rolling_changelog": "One scan, `Generate` for the +1/-1 pair, exchange on (name, bucket) for the "
-                            "local running sum; bucket totals are partially aggregated and joined back "
-                            "(broadcast only when AQE measures them small).",
-    "e1_event_time_spread": "Row index per segment from the same bucketed running sum: no window over a "
-                            "whole segment.",
+    "e4_rolling_changelog": "One scan, `Generate` for the +1/-1 pair, one exchange on (name, span): the changes that "
+                            "expire within a span give the count it starts with, so there is no join.",
+    "e1_event_time_spread": "Row index per segment by blocks of positions; the blocks' offsets read the same exchange "
+                            "(`ReusedExchange` once the plan runs), so the table is read once.",
     "t6_hourly_boards": "Latest value per (hour, name) by a partial/final `max_by`; top-100 per hour with "
                         "`WindowGroupLimit`.",
-    "k5_conflated_feed": "Conflation is a grouped aggregate; only groups above 1,000 entries get positions.",
+    "k5_conflated_feed": "Conflation is a grouped aggregate; positions within a second by a bucketed row number, both sides of "
+                         "its join on one exchange.",
     "st4_sliding_hour_counts": "`Expand` into the four windows of each row, then a partial/final count.",
 }
 
