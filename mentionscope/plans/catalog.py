@@ -301,6 +301,23 @@ def s5_manifest_head(spark, sf_dir):
     return segments.manifest_head(man, 100)
 
 
+@register("s11_last_keys", f"""
+WITH {q.events_cte().lstrip()},
+lg AS (SELECT {_SEG_SQL} AS topic, id, strftime(ts, '%Y%m%d%H%M%S') || '-' || CAST(id AS VARCHAR) AS key FROM ev),
+r AS (SELECT min(topic) AS lo, max(topic) AS hi FROM lg),
+t AS (SELECT unnest(generate_series(lo, hi, INTERVAL 15 MINUTES)) AS topic FROM r),
+l AS (SELECT topic, arg_max(key, id) AS last_key FROM lg GROUP BY topic)
+SELECT t.topic, coalesce(l.last_key, '{DEFAULT_LAST_KEY}') AS last_key FROM t LEFT JOIN l ON t.topic = l.topic""")
+def s11_last_keys(spark, sf_dir):
+    """The last key of every 15-minute segment's log, the default where a segment is empty."""
+    ev = _types(spark, sf_dir)
+    key = F.concat_ws("-", F.date_format("ts", "yyyyMMddHHmmss"), F.col("id").cast("string"))
+    log = ev.select(tf.floor_segment("ts").alias("topic"), key.alias("key"), F.col("id").alias("offset"))
+    ends = log.agg(F.min("topic").alias("lo"), F.max("topic").alias("hi"))
+    topics = ends.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 15 MINUTES"))).alias("topic"))
+    return segments.last_keys(log, topics).withColumn("topic", ntz("topic"))
+
+
 @register("f9_segment_names", f"""
 WITH {q.events_cte().lstrip()},
 st AS (SELECT id, strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM ev),

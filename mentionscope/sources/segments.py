@@ -77,6 +77,15 @@ def last_key(log: DataFrame, key: str = "key", offset: str = "offset",
     return log.agg(F.coalesce(F.max_by(key, offset), F.lit(default)).alias("last_key"))
 
 
+def last_keys(log: DataFrame, topics: DataFrame, topic: str = "topic", key: str = "key", offset: str = "offset",
+              default: str = DEFAULT_LAST_KEY) -> DataFrame:
+    """S11/F14 for many logs: per row of ``topics`` the key of its log's last record, or the
+    default for a log without records -> ``topic, last_key``."""
+    last = log.groupBy(F.col(topic).alias("__topic")).agg(F.max_by(key, offset).alias("last_key"))
+    d = topics.select(topic).join(last, F.col(topic).eqNullSafe(F.col("__topic")), "left")
+    return d.select(topic, F.coalesce("last_key", F.lit(default)).alias("last_key"))
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """Bag union of several inputs with the same columns."""
     out = frames[0]
