@@ -257,10 +257,107 @@ def test_lm_learns_a_chain_in_one_pass():
     assert model.log_probabilities(u[50000:], v[50000:], c[50000:]).mean() > -2.07
 
 
-def test_kneser_ney_sums_to_one_and_rejects_junk(spark, make_docs):
-    counts = spark.createDataFrame([(1, 2, 3, 5), (1, 2, 4, 1), (2, 3, 4, 2), (2, 4, 4, 1), (3, 4, 1, 3), (4, 1, 2, 1)], "u int, v int, w int, c long")
-    p = 10 ** quality.model(counts).reshape(quality.SIZE, quality.SIZE, quality.SIZE)
-    assert np.allclose(p.sum(2), 1)
+def _kneser_ney(counts, size):
+    """Interpolated modified Kneser-Ney by dictionaries: p(w | u, v) of every trigram."""
+    def discount(table):
+        n = [0] + [sum(c == k for c in table.values()) for k in (1, 2, 3, 4)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        d = [min(max(k - (k + 1) * y * n[k + 1] / n[k] if n[k] else y * k, 0.05 * k), 0.95 * k) for k in (1, 2, 3)]
+        return lambda c: d[min(c, 3) - 1]
+
+    two = Counter((v, w) for _, v, w in counts)
+    one = Counter(w for _, w in two)
+    d3, d2, d1 = discount(counts), discount(two), discount(one)(1)
+    total = sum(one.values())
+
+    def p1(w):
+        return (max(one[w] - d1, 0) if w in one else 0) / total + d1 * len(one) / total / size
+
+    def level(table, d, context, key, lower):
+        seen = {k: c for k, c in table.items() if k[:-1] == context}
+        if not seen:
+            return lower
+        n = sum(seen.values())
+        return (seen[key] - d(seen[key]) if key in seen else 0) / n + sum(d(c) for c in seen.values()) / n * lower
+
+    return {(u, v, w): level(counts, d3, (u, v), (u, v, w), level(two, d2, (v,), (v, w), p1(w)))
+            for u in range(size) for v in range(size) for w in range(size)}
+
+
+def test_kneser_ney_equals_brute_force(spark):
+    rng = np.random.default_rng(4)
+    size = 9
+    for draws in (5, 60, 400):
+        u, v, w = (rng.integers(0, size, draws) ** 2 // size for _ in range(3))
+        counts = Counter(zip(u.tolist(), v.tolist(), w.tolist()))
+        rows = spark.createDataFrame([(*k, c) for k, c in counts.items()], "u int, v int, w int, c long")
+        a, b, c = (x.ravel() for x in np.indices((size, size, size)))
+        got = 10 ** quality.model(rows, size).log_probabilities(a, b, c)
+        want = _kneser_ney(counts, size)
+        assert np.allclose(got, [want[k] for k in zip(a.tolist(), b.tolist(), c.tolist())], rtol=1e-9, atol=0)
+        assert np.allclose(got.reshape(size, size, size).sum(2), 1)
+
+
+def test_scores_of_whole_texts_equal_brute_force(spark, make_docs):
+    """Tokens, spelling and sums of a text against plain loops over its words."""
+    trusted = ["the cat sat on the mat. The cat ran, the dog sat", "a dog and a cat met; the mat was on the floor 12 34", "odd words: zyx qwv the the end"]
+    known, grams, spelling = quality.fit(make_docs(list(enumerate(trusted))))
+    model, place = quality.Model(*grams), quality.Keys(known)
+    texts = ["the cat met the zebra zebra zebra.", "", "   ", "the", "Dog the the THE caf\u00e9 " + "x" * 3000, "the cat " * 4000]
+    n, new, lp = quality.Scorer(known, grams, spelling).score([t.encode() for t in texts])
+
+    def stem(word):
+        b = word.encode()
+        b = bytes([b[0] + 32]) + b[1:] if 65 <= b[0] <= 90 else b
+        return b[:-1] if len(b) > 1 and chr(b[-1]) in ",.;:?" else b
+
+    for i, text in enumerate(texts):
+        u = v = quality.END
+        before, total, repeats, count = None, 0.0, 0, 0
+        for word in text.split():
+            s = stem(word)
+            at = int(place.find(quality.split([s])[4])[0])
+            own = at + quality.WORDS if at >= 0 else quality.UNKNOWN
+            token = quality.REPEAT if s == before else own
+            total += float(model.log_probabilities(*(np.array([x]) for x in (u, v, token)))[0])
+            if token == quality.UNKNOWN:
+                k = [quality.EDGE] * 2 + [int(quality._CLASS[x]) for x in word.encode()] + [quality.EDGE]
+                total += max(quality.WORST, sum(float(spelling[(k[j - 2] * quality.LETTERS + k[j - 1]) * quality.LETTERS + k[j]]) for j in range(2, len(k))))
+            repeats, count, u, v, before = repeats + (token == quality.REPEAT), count + 1, v, own, s
+        total += float(model.log_probabilities(np.array([u]), np.array([v]), np.array([quality.END]))[0])
+        assert (n[i], new[i]) == (count + 1, count + 1 - repeats)
+        assert abs(lp[i] - total) < 1e-6 * max(1, abs(total))
+    assert n[4] == 7 and new[4] == 6                      # "THE" is another word than "the"
+
+
+def test_places_of_keys():
+    rng = np.random.default_rng(8)
+    for size in (0, 1, 2, 1000, 50_000):
+        keys = np.unique(rng.integers(0, 1 << 62, size))
+        rng.shuffle(keys)
+        table = quality.Keys(keys)
+        assert (table.find(keys) == np.arange(len(keys))).all()
+        other = np.setdiff1d(rng.integers(0, 1 << 62, 1000), keys)
+        assert (table.find(other) == -1).all()
+
+
+def test_quality_rejects_random_letters(spark):
+    """Trusted documents with 80 % of their words replaced by random letters of the same case and length."""
+    rnd = random.Random(1)
+
+    def scrambled(word):
+        return "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in word)
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "lang", "text")
+    good = [r for r in docs.join(labels.where("quality = 1"), "doc_id", "left_semi").orderBy("doc_id").collect() if len((r["text"] or "").split()) >= 30][:60]
+    junk = [(10 ** 9 + r["doc_id"], r["lang"], " ".join(scrambled(w) if rnd.random() < 0.8 else w for w in r["text"].split())) for r in good]
+    both = docs.union(spark.createDataFrame(junk, "doc_id long, lang string, text string"))
+    kept = quality.classify(both, labels).where("doc_id >= 1000000000").select("kept").collect()
+    assert len(kept) == len(junk) and sum(r["kept"] for r in kept) <= 0.1 * len(junk)
+
+
+def test_quality_keeps_trusted_and_rejects_junk(spark, make_docs):
     got = {r["doc_id"]: r["kept"] for r in catalog.op9_quality(spark, "/root/testdata/sf0.01").collect()}
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
     wrong = [d for d, q in labels.items() if got[d] != (q == 1)]
