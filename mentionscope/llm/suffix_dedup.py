@@ -18,7 +18,9 @@ which parts of a segment go. Shards need no merging, as no string is in two.
 An anchor with many different segments (a very common line with another neighbour
 each time) goes to no shard: its 50-byte strings are dealt one by one, by a
 128-bit hash of the whole string, and the least doc_id of each comes by a partial
-and final minimum.
+and final minimum. Rows of a string or segment that very many documents hold are
+salted where they meet its least doc_id. A text over ``PIECE`` bytes is read in
+pieces that overlap by 49 bytes, so each string is in one of them.
 
 Edge cases: null text is empty; texts under 50 bytes lose nothing; rows with
 one doc_id never remove from each other unless a smaller one has the string;
@@ -43,7 +45,9 @@ SPAN, GRAM = 50, 20
 STARTS = SPAN - GRAM + 1
 MANY = 1 << 14  # rows with another segment than the first from which an anchor is dealt by its strings
 PLACE_BITS = 26
-LEAST_BITS, MOST_BITS, BLOCK_BITS = 22, 28, 19
+PIECE = 1 << 20  # bytes of one text hashed at a time
+LEAST_BITS, MOST_BITS, BLOCK_BITS, MOST_BLOCKS = 22, 28, 19, 18
+SLOTS, MOST_SALTS = 1 << 16, 1 << 12
 SLICE, CHUNK = 1 << 16, 1 << 18  # bytes of text hashed at a time (arrays that fit a core's cache), of a suffix array
 
 
@@ -73,9 +77,20 @@ def _digests(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64((sums[b - GRAM + 1] - sums[a]) * inverse[a])
 
 
-def segments(texts: list[bytes]):
+def segments(texts: list[bytes], piece: int = PIECE):
     """Segments of a batch: (text index, first byte, last byte excluded, within the
     text; anchor hash; digest of the segment), and the joined bytes with the texts' offsets."""
+    if max(map(len, texts), default=0) < piece + SPAN:
+        return _segments(texts)
+    found = []
+    for i, text in enumerate(texts):
+        for s in range(0, max(len(text) - SPAN + 1, 1), piece):
+            _, a, b, h, k, _, _ = _segments([text[s: s + piece + SPAN - 1]])
+            found.append((np.full(len(a), i), a + s, b + s, h, k))
+    return (*(np.concatenate(x) for x in zip(*found)), *_joined(texts))
+
+
+def _segments(texts: list[bytes]):
     data, offsets = _joined(texts)
     n = len(data) - 64
     empty = np.zeros(0, np.int64)
@@ -111,72 +126,78 @@ def segments(texts: list[bytes]):
     return doc, a - offsets[doc], b - offsets[doc], h[anchor[first]], _digests(h[:n], a, b), data, offsets
 
 
+def slot_marks(batches, bits: int, deal: int, many: int):
+    """Rows ``h, t, k`` sorted by scrambled anchor, whose high bits are its slot -> two
+    bitmaps for each block of slots: anchors of two texts, anchors of two segments; and
+    the crowded anchors of the block."""
+    inside = bits - deal
+    block = last = None
+    so_far, crowded = 0, set()
+    shared, mixed = np.zeros(1 << inside, bool), np.zeros(1 << inside, bool)
+
+    def done():
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([np.packbits(x).tobytes()], pa.binary()) for x in (shared, mixed)),
+                                           pa.array([np.array(sorted(crowded), np.uint64).tobytes()], pa.binary())],
+                                          ["block", "shared", "mixed", "crowded"])
+
+    for batch in batches:
+        h = batch.column("h").to_numpy().view(np.uint64)
+        t, k = (batch.column(c).to_numpy() for c in ("t", "k"))
+        blocks = (h >> np.uint64(64 - deal)).astype(np.int64)
+        for part in np.split(np.arange(len(h)), np.flatnonzero(np.diff(blocks)) + 1):
+            if not len(part):
+                continue
+            if blocks[part[0]] != block:
+                if block is not None:
+                    yield done()
+                block, last = int(blocks[part[0]]), None
+                so_far, crowded = 0, set()
+                shared[:], mixed[:] = False, False
+            x, tx, kx = h[part], t[part], k[part]
+            if last is not None:  # the first row of the last anchor so far
+                x, tx, kx = np.r_[last[0], x], np.r_[last[1], tx], np.r_[last[2], kx]
+            first = np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
+            slot = (x >> np.uint64(64 - bits) & np.uint64((1 << inside) - 1)).astype(np.int64)
+            shared[slot[tx != tx[first]]] = True
+            other = kx != kx[first]
+            mixed[slot[other]] = True
+            xs = x[other]
+            if so_far + np.searchsorted(xs, x[0], "right") >= many:
+                crowded.add(int(x[0]))
+            if len(xs) >= many:
+                found, n = np.unique(xs, return_counts=True)
+                crowded.update(found[n >= many].tolist())
+            so_far = int(len(xs) - np.searchsorted(xs, x[-1])) + (so_far if x[0] == x[-1] else 0)
+            last = x[-1], tx[first[-1]], kx[first[-1]]
+    if block is not None:
+        yield done()
+
+
 def anchor_bitmaps(docs: DataFrame, total_bytes: int, many: int = MANY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bits of the anchors that stand in two different texts, and of those with two
     different segments; and, scrambled and sorted, the anchors with at least ``many``
-    rows of another segment than their first (one anchor for ``many`` rows at most). Their size follows the input up to a fixed most; full
-    bitmaps cost traffic, never results. Texts and segments of one anchor (64 bits)
-    are told apart here by 32 bits each."""
+    rows of another segment than their first (one anchor for ``many`` rows at most). The
+    bitmaps follow the input up to a fixed most; full ones cost traffic, never results.
+    The blocks they are made in follow it further, up to ``2 ** MOST_BLOCKS``. Texts and
+    segments of one anchor are told apart by 64 bits each."""
     bits = LEAST_BITS
     while bits < MOST_BITS and (1 << bits) < total_bytes // 8:
         bits += 1
-    low32 = np.uint64((1 << 32) - 1)
+    deal = bits - BLOCK_BITS
+    while deal < MOST_BLOCKS and 1 << (deal + BLOCK_BITS + 3) < total_bytes:
+        deal += 1
 
-    def pairs(batches):
+    def anchors(batches):
         for batch, texts in arrow_slices(batches, limit=SLICE):
             doc, _, _, h, k, _, _ = segments(texts)
-            tk = batch.column("t").to_numpy()[doc].view(np.uint64) << np.uint64(32) | k & low32
-            yield pa.RecordBatch.from_arrays([pa.array(mix64(h).view(np.int64)), pa.array(tk.view(np.int64))], ["h", "tk"])
-
-    def marks(batches):
-        """Rows sorted by scrambled anchor, whose high bits are its slot: two bitmaps
-        for each block of slots, 64 KB at a time."""
-        block = last = None
-        so_far, crowded = 0, set()
-        shared, mixed = np.zeros(1 << BLOCK_BITS, bool), np.zeros(1 << BLOCK_BITS, bool)
-
-        def done():
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([np.packbits(x).tobytes()], pa.binary()) for x in (shared, mixed)),
-                                               pa.array([np.array(sorted(crowded), np.uint64).tobytes()], pa.binary())],
-                                              ["block", "shared", "mixed", "crowded"])
-
-        for batch in batches:
-            h, tk = (batch.column(c).to_numpy().view(np.uint64) for c in ("h", "tk"))
-            blocks = (h >> np.uint64(64 - bits + BLOCK_BITS)).astype(np.int64)
-            for part in np.split(np.arange(len(h)), np.flatnonzero(np.diff(blocks)) + 1):
-                if not len(part):
-                    continue
-                if blocks[part[0]] != block:
-                    if block is not None:
-                        yield done()
-                    block, last = int(blocks[part[0]]), None
-                    so_far, crowded = 0, set()
-                    shared[:], mixed[:] = False, False
-                x, y = h[part], tk[part]
-                if last is not None:  # the first row of the last anchor so far
-                    x, y = np.r_[last[0], x], np.r_[last[1], y]
-                first = np.maximum.accumulate(np.where(np.r_[True, x[1:] != x[:-1]], np.arange(len(x)), 0))
-                slot = (x >> np.uint64(64 - bits) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-                shared[slot[y >> np.uint64(32) != y[first] >> np.uint64(32)]] = True
-                other = y & low32 != y[first] & low32
-                mixed[slot[other]] = True
-                xs = x[other]
-                if so_far + np.searchsorted(xs, x[0], "right") >= many:
-                    crowded.add(int(x[0]))
-                if len(xs) >= many:
-                    found, n = np.unique(xs, return_counts=True)
-                    crowded.update(found[n >= many].tolist())
-                so_far = int(len(xs) - np.searchsorted(xs, x[-1])) + (so_far if x[0] == x[-1] else 0)
-                last = x[-1], y[first[-1]]
-        if block is not None:
-            yield done()
+            yield pa.RecordBatch.from_arrays([pa.array(mix64(h).view(np.int64)), pa.array(batch.column("t").to_numpy()[doc]), pa.array(k.view(np.int64))], ["h", "t", "k"])
 
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    block = F.shiftrightunsigned("h", 64 - bits + BLOCK_BITS)
-    rows = docs.select("t", "text").mapInArrow(pairs, "h long, tk long").repartition(parts, block).sortWithinPartitions("h")
-    out = np.zeros((2, 1 << (bits - min(bits, BLOCK_BITS)), (1 << BLOCK_BITS) // 8), np.uint8)
+    block = F.shiftrightunsigned("h", 64 - deal)
+    rows = docs.select("t", "text").mapInArrow(anchors, "h long, t long, k long").repartition(parts, block).sortWithinPartitions("h")
+    out = np.zeros((2, 1 << deal, (1 << (bits - deal)) // 8), np.uint8)
     with shuffles_removed(docs.sparkSession):
-        found = rows.mapInArrow(marks, "block int, shared binary, mixed binary, crowded binary").collect()
+        found = rows.mapInArrow(lambda batches: slot_marks(batches, bits, deal, many), "block int, shared binary, mixed binary, crowded binary").collect()
     for r in found:
         out[0, r["block"]], out[1, r["block"]] = np.frombuffer(r["shared"], np.uint8), np.frombuffer(r["mixed"], np.uint8)
     crowded = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["crowded"], np.uint64) for r in found)]))
@@ -311,16 +332,28 @@ def _strings(batches):
             yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (s1, s2, h, k, at.astype(np.int32), m))], ["s1", "s2", "h", "k", "at", "m"])
 
 
+def salted_join(rows: DataFrame, told: DataFrame, key: list[str], spread: list[str], many: int) -> DataFrame:
+    """``rows`` joined with ``told`` on ``key``, rows of a key with more than ``many`` of
+    them (``told.n``) dealt over several tasks by ``spread``. Which keys are salted is told
+    by one of ``SLOTS`` classes of the first key column: that many rows are broadcast at most."""
+    slot = F.pmod(F.col(key[0]), F.lit(SLOTS)).cast("int").alias("__slot")
+    salts = F.least(F.ceil(F.max("n") / many), F.lit(MOST_SALTS)).cast("int").alias("__salts")
+    hot = F.broadcast(told.where(F.col("n") > many).groupBy(slot).agg(salts))
+    n = F.coalesce("__salts", F.lit(1))
+    dealt = (rows.withColumn("__slot", slot).join(hot, "__slot", "left")
+             .withColumn("__salt", F.pmod(F.xxhash64(*spread), n).cast("int")).drop("__slot", "__salts"))
+    copies = (told.withColumn("__slot", slot).join(hot, "__slot", "left")
+              .withColumn("__salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("__slot", "__salts", "n"))
+    return dealt.join(copies, [*key, "__salt"]).drop("__salt")
+
+
 def crowded_cuts(distinct: DataFrame, many: int = MANY) -> DataFrame:
     """``h, k, m, cuts`` as of ``_shards``, for segments of crowded anchors, string by
-    string. Strings of more than ``many`` segments are few (one for so many rows) and
-    meet their rows by broadcast, so no task holds the rows of one."""
+    string; no task holds all rows of a string of more than ``many`` segments."""
     rows = stored(distinct.mapInArrow(_strings, "s1 long, s2 long, h long, k long, at int, m long"))
     key = ["s1", "s2"]
-    least = stored(rows.groupBy(*key).agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high"))
-    common = F.broadcast(least.where(F.col("n") > many))
-    some = rows.join(common, key, "left_anti").join(least.where(F.col("n") <= many), key)
-    gone = some.union(rows.join(common, key).select(*some.columns)).where("low < m")
+    least = stored(rows.groupBy(*key).agg(F.min("m").alias("low"), F.max("m").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").drop("high"))
+    gone = salted_join(rows, least, key, ["h", "k", "at"], many).where("low < m")
 
     def runs(batches):
         for batch in batches:
@@ -385,10 +418,10 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray, crowde
     if len(crowded):
         parted = parted.union(crowded_cuts(distinct_segments(docs, shared, mixed, crowded, True), many))
     placed = stored(slim.mapInArrow(place, "h long, k long, doc_id long, t long, a int, b int"))
-    least = placed.groupBy("h", "k").agg(F.min("doc_id").alias("m"), F.max("doc_id").alias("mx")).where("m < mx")
+    least = placed.groupBy("h", "k").agg(F.min("doc_id").alias("m"), F.max("doc_id").alias("mx"), F.count(F.lit(1)).alias("n")).where("m < mx")
     # Later holders of a segment lose all of it, the first one its parts.
-    told = stored(least.select("h", "k", "m", F.lit(None).cast("array<int>").alias("cuts")).union(parted))
-    met = placed.join(told, ["h", "k"])
+    told = stored(least.select("h", "k", "m", F.lit(None).cast("array<int>").alias("cuts"), "n").union(parted.withColumn("n", F.lit(None).cast("long"))))
+    met = salted_join(placed, told, ["h", "k"], ["doc_id", "a"], many)
     whole = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")))
     some = F.transform(F.sequence(F.lit(0), (F.size("cuts") / 2 - 1).cast("int")),
                        lambda i: F.struct((F.col("a") + F.get("cuts", i * 2)).alias("a"), (F.col("a") + F.get("cuts", i * 2 + 1)).alias("b")))
@@ -401,6 +434,7 @@ def dedup(docs: DataFrame, many: int = MANY) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     known = d.where("doc_id is not null")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    many = max(many, total >> 26)  # so at most about 2 ** 22 anchors are crowded, whatever the input
     spans = removed_spans(known, *anchor_bitmaps(known, total, many), many)
     # A copy of a whole text loses all of it, whatever its anchors.
     size = F.octet_length("text")

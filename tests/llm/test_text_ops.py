@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import collect, make_docs  # noqa: F401
 from mentionscope.llm import catalog, decontam, jaccard, lm, quality, suffix_dedup
@@ -152,6 +153,37 @@ def test_crowded_anchors_are_dealt_by_string(make_docs, many):
     assert sorted(collect(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == brute_repeats(rows)
 
 
+def test_tiny_bitmaps_and_pieces_lose_no_repeat(make_docs, monkeypatch):
+    """64 slots for all anchors (every one collides), two slots a block: the same result."""
+    for name, value in (("LEAST_BITS", 6), ("MOST_BITS", 6), ("BLOCK_BITS", 3), ("MOST_BLOCKS", 3)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rows = corpus(13)
+    assert sorted(collect(suffix_dedup.dedup(make_docs(rows)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == brute_repeats(rows)
+
+
+def test_slot_marks_compare_all_64_bits():
+    """Texts and segments that agree in either half of their hash are still different ones."""
+    low, high = 7, 7 + (1 << 40)
+    h = np.sort(np.array([1 << 61, 1 << 61, 1 << 60, 1 << 60, 3 << 60, 3 << 60], np.uint64)).view(np.int64)
+    t = np.array([low, high, low, low, low, high])
+    k = np.array([low, low, high, low, low, high])
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[i:i + 1]) for x in (h, t, k)], ["h", "t", "k"]) for i in range(6)]
+    marks = {b.column("block")[0].as_py(): b for b in suffix_dedup.slot_marks(iter(batches), 8, 4, 99)}
+    bits = {n: [b.column(c)[0].as_py() != bytes(2) for c in ("shared", "mixed")] for n, b in marks.items()}
+    assert bits == {1: [True, False], 2: [False, True], 3: [True, True]}
+
+
+def test_long_texts_in_pieces_hold_every_string_once():
+    raw = bytes(random.Random(5).choices(b"abcdefgh ", k=5000))
+    texts = [raw, b"", raw[:49], raw[100:2300]]
+    whole, cut = (suffix_dedup.segments(texts, piece)[:5] for piece in (1 << 20, 300))
+    for doc, a, b, *_ in (whole, cut):
+        starts = sorted((d, p) for d, x, y in zip(doc.tolist(), a.tolist(), b.tolist()) for p in range(x, y - 49))
+        assert starts == [(d, p) for d, t in enumerate(texts) for p in range(len(t) - 49)]
+    anchors = [{(d, p): h for d, x, y, h, _ in zip(*(v.tolist() for v in found)) for p in range(x, y - 49)} for found in (whole, cut)]
+    assert anchors[0] == anchors[1]
+
+
 def test_suffix_ranks_tell_suffixes_apart():
     data = np.frombuffer(bytes(random.Random(1).choices(b"ab", k=3000)) + bytes(64), np.uint8)
     sa, _ = suffix_dedup.suffix_ranks(data)
