@@ -56,7 +56,10 @@ def _joined(texts: list[bytes]):
     return data, np.r_[0, np.cumsum([len(t) for t in texts])]
 
 
-@functools.lru_cache(maxsize=1)
+_TABLE = np.random.default_rng(20250611).integers(0, 1 << 64, 256, dtype=np.uint64)
+
+
+@functools.lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2 ** 64."""
     base = 0x9E3779B97F4A7C15
@@ -68,15 +71,6 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _digests(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit digest of the bytes a to b (excluded) from the hashes of all their grams."""
-    n = len(h)
-    power, inverse = (x[: n + 1] for x in _powers(1 << int(n + 1).bit_length()))
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(h * power[:n], out=sums[1:])
-    return mix64((sums[b - GRAM + 1] - sums[a]) * inverse[a])
-
-
 def segments(texts: list[bytes], piece: int = PIECE):
     """Segments of a batch: (text index, first byte, last byte excluded, within the
     text; anchor hash; digest of the segment), and the joined bytes with the texts' offsets."""
@@ -96,34 +90,34 @@ def _segments(texts: list[bytes]):
     empty = np.zeros(0, np.int64)
     if n < SPAN:
         return empty, empty, empty, np.zeros(0, np.uint64), np.zeros(0, np.uint64), data, offsets
-    h = data.astype(np.uint64) + np.uint64(1)
-    step = np.uint64(0x9E3779B97F4A7C15)
-    for width in (1, 2, 4, 8):  # a hash of 2 * width bytes from two of width
-        if width == 4:
-            four = h.copy()
-        h[:-width] = mix64(h[:-width] * step + h[width:] + np.uint64(width))
-    h[:-16] = mix64(h[:-16] * step + four[16:])  # 16 bytes and the 4 behind
-    places = np.arange(n, dtype=np.uint64)
-    least = (h[:n] >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS)) | places
+    # Running sums of a random number per byte value times a power of its place: the
+    # difference of two, times the inverse power of the first place, tells the bytes between.
+    power, inverse = _powers(max(1 << (n - 1).bit_length(), SLICE * 2))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_TABLE[data[:n]] * power[:n], out=sums[1:])
+    h = np.zeros(n, np.uint64)
+    h[: n - GRAM + 1] = mix64((sums[GRAM:] - sums[:-GRAM]) * inverse[: n - GRAM + 1])
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    least = h & ~low
+    least |= np.arange(n, dtype=np.uint64)
     width = 1
     while width * 2 <= STARTS:
         least = np.minimum(least[: len(least) - width], least[width:])
         width *= 2
     if width < STARTS:
         least = np.minimum(least[: len(least) - (STARTS - width)], least[STARTS - width:])
-    starts = np.arange(min(len(least), n - SPAN + 1))
-    least = least[: len(starts)]
-    text = np.repeat(np.arange(len(texts)), np.diff(offsets))[: len(starts)]
-    inside = starts + SPAN <= offsets[text + 1]
-    starts, text = starts[inside], text[inside]
-    if not len(starts):
-        return empty, empty, empty, np.zeros(0, np.uint64), np.zeros(0, np.uint64), data, offsets
-    anchor = (least[inside] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])
-    last = np.r_[first[1:], len(starts)] - 1
-    doc = text[first]
-    a, b = starts[first], starts[last] + SPAN
-    return doc, a - offsets[doc], b - offsets[doc], h[anchor[first]], _digests(h[:n], a, b), data, offsets
+    # A segment begins where the anchor changes, where a text begins and behind its last string.
+    least = least[: n - SPAN + 1]
+    new = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    edges = np.r_[offsets[:-1], np.maximum(offsets[1:] - SPAN + 1, offsets[:-1])]
+    new[edges[edges < len(new)]] = True
+    first = np.flatnonzero(new)
+    doc = np.searchsorted(offsets, first, "right") - 1
+    inside = first + SPAN <= offsets[doc + 1]
+    a, b, doc = first[inside], np.r_[first[1:], len(new)][inside] + SPAN - 1, doc[inside]
+    return (doc, a - offsets[doc], b - offsets[doc], h[(least[a] & low).astype(np.int64)],
+            mix64((sums[b] - sums[a]) * inverse[a]), data, offsets)
 
 
 def slot_marks(batches, bits: int, deal: int, many: int):
