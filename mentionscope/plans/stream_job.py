@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators import articles
 from ..streaming import board as sboard
+from ..streaming import compaction
 from ..streaming import rolling as srl
 
 CHANGELOG_SCHEMA = "name string, id long, t timestamp, delta int, count long"
@@ -63,6 +64,16 @@ def start_changelog(spark: SparkSession, base: str, trigger: dict | None = None)
             .outputMode("append").trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
+def compact_changelog(spark: SparkSession, base: str) -> int:
+    """Copy the changelog's small files since the last run into large ones; the streams go on meanwhile."""
+    return compaction.compact(spark, os.path.join(base, "changelog"), CHANGELOG_SCHEMA, os.path.join(base, "changelog-runs"))
+
+
+def changelog(spark: SparkSession, base: str) -> DataFrame:
+    """The whole changelog so far, from the large files where there are some."""
+    return compaction.read(spark, os.path.join(base, "changelog"), CHANGELOG_SCHEMA, os.path.join(base, "changelog-runs"))
+
+
 def rejected(spark: SparkSession, base: str) -> DataFrame:
     """ST6: mentions that were late or had no time so far -> ``name, id, ts, reason``."""
     return srl.rejects(spark.read.schema(srl.LOCAL_SCHEMA).parquet(os.path.join(base, "local")))
