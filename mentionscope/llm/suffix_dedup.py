@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_slices, mix64, shuffles_removed, stored
+from .common import offset_slices, mix64, shuffles_removed, stored
 
 SPAN, GRAM = 50, 20
 STARTS = SPAN - GRAM + 1
@@ -182,7 +182,7 @@ def anchor_bitmaps(docs: DataFrame, total_bytes: int, many: int = MANY) -> tuple
         deal += 1
 
     def anchors(batches):
-        for batch, texts in arrow_slices(batches, limit=SLICE):
+        for batch, texts in offset_slices(batches, limit=SLICE):
             doc, _, _, h, k, _, _ = segments(texts)
             yield pa.RecordBatch.from_arrays([pa.array(mix64(h).view(np.int64)), pa.array(batch.column("t").to_numpy()[doc]), pa.array(k.view(np.int64))], ["h", "t", "k"])
 
@@ -370,7 +370,7 @@ def distinct_segments(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray, cr
 
     def send(batches):
         """The segments of shared anchors that have different ones, each once a batch."""
-        for batch, texts in arrow_slices(batches, limit=SLICE):
+        for batch, texts in offset_slices(batches, limit=SLICE):
             doc, a, b, h, k, data, offsets = segments(texts)
             take = _marked(sent.value[0], h) & _marked(sent.value[1], h)
             if len(sent.value[2]):
@@ -396,7 +396,7 @@ def removed_spans(docs: DataFrame, shared: np.ndarray, mixed: np.ndarray, crowde
 
     def place(batches):
         """The segments of shared anchors, without their bytes."""
-        for batch, texts in arrow_slices(batches, limit=SLICE):
+        for batch, texts in offset_slices(batches, limit=SLICE):
             doc, a, b, h, k, _, _ = segments(texts)
             keep = np.flatnonzero(_marked(sent.value, h))
             doc = doc[keep]
@@ -467,7 +467,7 @@ def dedup(docs: DataFrame, many: int = MANY) -> DataFrame:
         return bits[t % (1 << 20)]
 
     def clean(batches):
-        for batch, texts in arrow_slices(batches):
+        for batch, texts in offset_slices(batches):
             out = np.flatnonzero(~hit(batch.column("t").to_numpy()))
             yield write(batch.column("doc_id").take(pa.array(out)), [texts[i] for i in out], [None] * len(out))
 
@@ -476,7 +476,7 @@ def dedup(docs: DataFrame, many: int = MANY) -> DataFrame:
             yield batch.filter(pa.array(hit(batch.column("t").to_numpy())))
 
     def apply(batches):
-        for batch, texts in arrow_slices(batches):
+        for batch, texts in offset_slices(batches):
             yield write(batch.column("doc_id"), texts, batch.column("spans").to_pylist())
 
     some = d.mapInArrow(touched, d.schema).join(listed.withColumnsRenamed({"doc_id": "__id", "t": "__t"}),
