@@ -62,7 +62,7 @@ _OPEN = r'^"[^"\\]*+(?:\\.[^"\\]*+)*+\\?\z'
 def csv_value(x) -> "F.Column":
     """A field as the CSV reader returns it: the quotes of a field that is one
     quoted text removed and escaped quotes undone, empty -> NULL."""
-    text = F.when(x.rlike(_QUOTED), F.replace(F.substring(x, F.lit(2), F.length(F.rtrim(x)) - 2), F.lit('\\"'), F.lit('"'))).otherwise(x)
+    text = F.when(x.startswith('"') & x.rlike(_QUOTED), F.replace(F.substring(x, F.lit(2), F.length(F.rtrim(x)) - 2), F.lit('\\"'), F.lit('"'))).otherwise(x)
     return F.when(text != "", text)
 
 
@@ -77,7 +77,7 @@ def strict_valid(fields_all) -> "F.Column":
     return ((F.size(fields_all) == N_FIELDS)
             & (stamp.isNull() | parse_stamp(stamp).isNotNull())
             & (stype.isNull() | stype.try_cast("int").isNotNull())
-            & ~F.exists(fields_all, lambda x: x.rlike(_OPEN)))
+            & ~F.exists(fields_all, lambda x: x.startswith('"') & x.rlike(_OPEN)))
 
 
 def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str = "value",
@@ -107,8 +107,14 @@ def parse_articles(lines: DataFrame, mode: str | ReadRules = "rdd", value: str =
                        day.alias("day"), names.alias("allnames"), valid.alias("valid"))
 
 
+def keep_rows(df: DataFrame, kept) -> DataFrame:
+    """The rows where ``kept`` holds, by an explode of one or no element: a filter would be
+    pushed below the parse, into the scan or a join, and evaluate the whole parse there again."""
+    return df.select("*", F.explode(F.when(kept, F.array(F.lit(True)))).alias("__kept")).drop("__kept")
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.where("valid").drop("valid")
+    return keep_rows(parsed, F.col("valid")).drop("valid")
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
@@ -212,4 +218,4 @@ def typed_articles(lines: DataFrame, value: str = "value", mode: str = "drop",
         kept = F.when(F.col("__ok"), F.lit(True)).otherwise(F.raise_error(shown).cast("boolean"))
     else:
         kept = F.col("__ok")
-    return split.where(kept).select(*cols)
+    return keep_rows(split, kept).select(*cols)

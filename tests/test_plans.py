@@ -60,3 +60,21 @@ def test_each_table_is_read_once(spark, name, scans):
     finally:
         spark.conf.set(key, "true")
     assert p.count("FileScan") == scans, p
+
+
+def _ran(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_articles_are_parsed_once(spark):
+    """No filter on the parse below it: not in a scan, nor in the join that builds the lines."""
+    for name in ("p1_article_fields", "s3_typed_articles"):
+        plan = E.REGISTRY[name].run(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("RLIKE" in x or "split(" in x for x in plan.splitlines() if "Join" in x or "Filter" in x), plan
+        assert "lambdafunction(concat" not in plan
+
+
+def test_sketches_and_exact_counts_share_the_mentions(spark):
+    plan = _ran(E.REGISTRY["a7_sketched_names"].run(spark, SF_SMALL))
+    assert "ReusedExchange" in plan.split("== Initial Plan ==")[0]
