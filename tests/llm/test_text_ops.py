@@ -422,3 +422,25 @@ def test_span_hashes_are_the_word_hashes():
         _, _, _, doc, h = common.words(texts)
         d, g = common.lower_words(texts)
         assert doc.tolist() == d.tolist() and h.tolist() == g.tolist()
+
+
+def test_quality_fits_on_every_trusted_document(make_docs, spark):
+    """Words that one trusted document holds are known, however many there are and however long it is."""
+    docs = make_docs([(i, f"word{i} word{i} " + ("long " * 70_000 if i == 7 else "")) for i in range(3000)])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(3000)], "doc_id long, quality int, toxic int")
+    fitted = {r["doc_id"] for r in quality.trusted_documents(docs, labels).select("doc_id").collect()}
+    rest = {r["doc_id"] for r in labels.where(quality.held_back("doc_id")).collect()}
+    assert fitted == set(range(3000)) - rest and 7 in fitted | rest and 800 < len(rest) < 1200
+    known = quality.Keys(quality.fit(quality.trusted_documents(docs, labels))[0])
+    assert (known.find(quality.split([f"word{i}".encode() for i in sorted(fitted)])[4]) >= 0).all()
+
+
+def test_rare_ngrams_leave_their_mass_to_the_lower_order(spark):
+    rng = np.random.default_rng(4)
+    size = 9
+    u, v, w = (rng.integers(0, size, 400) ** 2 // size for _ in range(3))
+    rows = spark.createDataFrame([(*k, c) for k, c in Counter(zip(u.tolist(), v.tolist(), w.tolist())).items()], "u int, v int, w int, c long")
+    a, b, c = (x.ravel() for x in np.indices((size, size, size)))
+    m = quality.model(rows, size, entries=20)
+    assert 0 < len(m.triples) <= 20
+    assert np.allclose((10 ** m.log_probabilities(a, b, c)).reshape(size, size, size).sum(2), 1)
