@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_slices, cut, lower_words
+from .common import arrow_slices, cut, lower_words, stored
 
 HOT = 1 << 16
 CLASSES = 510          # frequent words that are output classes
@@ -178,18 +178,23 @@ class Model:
 
     def log_probabilities(self, u, v, w) -> np.ndarray:
         """Normalised log10 probabilities: one matrix product per block of distinct contexts."""
-        code, at = np.unique(u * SIZE + v, return_inverse=True)
+        met = u * SIZE + v
+        seen = np.zeros(SIZE * SIZE, bool)
+        seen[met] = True
+        code = np.flatnonzero(seen)
+        place = np.empty(SIZE * SIZE, np.int32)
+        place[code] = np.arange(len(code))
         z = np.empty(len(code))
         for first in range(0, len(code), 2048):
             c = code[first: first + 2048]
             s = (self.r1[c // SIZE] + self.r2[c % SIZE]).astype(np.float32) @ self.q.T.astype(np.float32) + self.b.astype(np.float32)
             top = s.max(1)
             z[first: first + 2048] = top + np.log(np.exp(s - top[:, None]).sum(1, dtype=np.float64))
-        return (((self.r1[u] + self.r2[v]) * self.q[w]).sum(1) + self.b[w] - z[at]) / np.log(10)
+        return (((self.r1[u] + self.r2[v]) * self.q[w]).sum(1) + self.b[w] - z[place[met]]) / np.log(10)
 
 
 def _scatter(target: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.int16), kind="stable")     # classes fit 16 bits, which numpy sorts by radix
     r = rows[order]
     first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
     target[r[first]] += np.add.reduceat(values[order], first)
@@ -300,8 +305,9 @@ def score(docs: DataFrame, hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     spec = ("doc_id {}, held boolean, row long, n_tokens long, n_known long, n_rest long, base double, within double, lm double, "
             "words array<bigint>, times array<int>").format(kind)
-    found = d.mapInArrow(run, spec)
-    own = cut(found.drop("words", "times"))
+    # The texts are scored once: the sums and the words that are counted after them come from the table.
+    found = stored(d.mapInArrow(run, spec))
+    own = found.drop("words", "times")
     parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rare = (found.select("row", "held", F.explode(F.arrays_zip("words", "times")).alias("x"))
             .select(F.col("x.words").alias("w"), "row", "held", F.col("x.times").alias("n")).repartition(parts, "w"))

@@ -444,3 +444,19 @@ def test_rare_ngrams_leave_their_mass_to_the_lower_order(spark):
     m = quality.model(rows, size, entries=20)
     assert 0 < len(m.triples) <= 20
     assert np.allclose((10 ** m.log_probabilities(a, b, c)).reshape(size, size, size).sum(2), 1)
+
+
+def test_lm_reads_the_texts_once_to_score_them(make_docs, spark):
+    """Four passes count and train, one scores."""
+    rows = [(i, f"some words of text {i} and word{i % 7}") for i in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = make_docs(rows)
+    got = lm.score(docs.mapInArrow(counted, docs.schema), hot=5).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(40))
+    assert read.value == 5 * len(rows)
