@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, WORD, cut, lower_words, mix64, offset_slices
+from .common import LOWER, UPPER, WORD, cut, lower_words, mix64, offset_slices, shuffles_removed
 from .components import components
 
 K = 5
-SLOTS, MOST_SLOTS = 1 << 20, 1 << 24
+SLOTS, MOST_SLOTS, SLOT_BLOCK = 1 << 20, 1 << 24, 4096
 SALT_ROWS = 1000
 LARGEST_BOUNDARY = 48
 BINS = 512
@@ -130,7 +130,7 @@ def sketch(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
                 _count(held, seen)
                 seen = []
         _count(held, seen)
-        blocks = held.reshape(-1, 4096)
+        blocks = held.reshape(-1, SLOT_BLOCK)
         some = np.flatnonzero(blocks.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([_pack(blocks[i]) for i in some], pa.binary())], ["block", "n"])
 
@@ -142,8 +142,8 @@ def sketch(docs: DataFrame, slots: int = SLOTS) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([_pack(n) for n in total.values()], pa.binary())], ["block", "n"])
 
     parts = docs.select("text").mapInArrow(run, "block int, n binary")
-    out = np.zeros((slots // 4096, 4096), np.uint32)      # at most 2^32 - 1: beyond it a slot is as frequent as can be
-    for r in parts.repartition(slots // 4096 // 8, "block").mapInArrow(add, "block int, n binary").collect():
+    out = np.zeros((slots // SLOT_BLOCK, SLOT_BLOCK), np.uint32)      # at most 2^32 - 1: beyond it a slot is as frequent as can be
+    for r in parts.repartition(slots // SLOT_BLOCK // 8, "block").mapInArrow(add, "block int, n binary").collect():
         out[r["block"]] = np.minimum(out[r["block"]] + _unpack(r["n"]), (1 << 32) - 1)
     return out.reshape(-1)
 
@@ -160,12 +160,13 @@ def _count(held: np.ndarray, seen: list[np.ndarray], block: int = 1 << 20) -> No
 
 
 def _pack(n: np.ndarray) -> bytes:
-    """Counts by byte of significance, so that small ones compress well."""
-    return n.astype(">i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """A block's counts, in as few bytes each as the greatest needs."""
+    most = int(n.max())
+    return n.astype(next(t for t in ("u1", "u2", "u4", "u8") if most <= np.iinfo(t).max)).tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(">i8").reshape(-1).astype(np.int64)
+    return np.frombuffer(raw, f"u{len(raw) // SLOT_BLOCK}").astype(np.int64)
 
 
 def boundary(counts: np.ndarray) -> int:
@@ -264,10 +265,9 @@ def _hubs(rows):
     return _rows([x[keep] for x in (key, salt, n, cls, hub, hub_n)], ["key", "salt", "n", "cls", "hub", "hub_n"])
 
 
-def lists(docs: DataFrame, counts: np.ndarray, limit: int) -> DataFrame:
-    """``key, salt, n, cls, hub, hub_n``: the inverted lists with more than one member."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)  # at most MOST_SLOTS numbers
-
+def lists(docs: DataFrame, sent, limit: int) -> DataFrame:
+    """``key, salt, n, cls, hub, hub_n``: the inverted lists with more than one member,
+    by the broadcast counts of :func:`sketch`."""
     def run(batches):
         for _, texts in offset_slices(batches):
             yield _rows(keys(texts, sent.value, limit), ["key", "salt", "cls", "n"])
@@ -403,23 +403,27 @@ def verified(docs: DataFrame, pairs: DataFrame, own: DataFrame, slots: int = SLO
 
 def link_components(docs: DataFrame, own: DataFrame) -> DataFrame:
     """``node, component`` over the classes of equal sets that link to other classes;
-    ``own`` has the classes of ``docs``."""
-    total = own.agg(F.sum("n")).first()[0] or 0
-    slots = SLOTS
-    while slots < MOST_SLOTS and slots * 32 < total:
-        slots *= 2
-    counts = sketch(docs, slots)
-    listed = cut(lists(docs, counts, boundary(counts)))
-    first = cut(hub_pairs(listed))
-    links = cut(verified(docs, first, own))
-    linked = components(links)
-    rows = open_lists(listed, linked)
-    if rows.isEmpty():
-        return linked
-    rest = cut(rest_pairs(rows, first, own))
-    if rest.isEmpty():
-        return linked
-    return components(links.union(verified(docs, rest, own)))
+    ``own`` has the classes of ``docs``. What the steps shuffle and broadcast goes when they end."""
+    with shuffles_removed(docs.sparkSession):
+        total = own.agg(F.sum("n")).first()[0] or 0
+        slots = SLOTS
+        while slots < MOST_SLOTS and slots * 32 < total:
+            slots *= 2
+        counts = sketch(docs, slots)
+        limit, sent = boundary(counts), docs.sparkSession.sparkContext.broadcast(counts)  # at most MOST_SLOTS numbers
+        del counts
+        listed = cut(lists(docs, sent, limit))
+        sent.destroy()
+        first = cut(hub_pairs(listed))
+        links = cut(verified(docs, first, own))
+        linked = components(links)
+        rows = open_lists(listed, linked)
+        if rows.isEmpty():
+            return linked
+        rest = cut(rest_pairs(rows, first, own))
+        if rest.isEmpty():
+            return linked
+        return components(links.union(verified(docs, rest, own)))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -460,3 +460,59 @@ def test_lm_reads_the_texts_once_to_score_them(make_docs, spark):
     got = lm.score(docs.mapInArrow(counted, docs.schema), hot=5).collect()
     assert sorted(r["doc_id"] for r in got) == list(range(40))
     assert read.value == 5 * len(rows)
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(i).getName() for i in range(files.size())}
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_components_leave_no_shuffle_and_few_partitions(spark, monkeypatch):
+    from mentionscope.llm import components as module
+    rng = np.random.default_rng(6)
+    pairs = [(int(a) - 40, int(b) - 40) for a, b in rng.integers(0, 120, (60, 2))] + [(i, i + 1) for i in range(200, 260)] + [(7, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    written = []
+
+    def cut(df):
+        out = module_cut(df)
+        written.append(out.rdd.getNumPartitions())
+        return out
+
+    module_cut = module.cut
+    monkeypatch.setattr(module, "cut", cut)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "23"}
+    held = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        links = spark.createDataFrame(pairs, "u long, v long")
+        for rows, most in ((1 << 18, 1), (50, 3)):
+            before = _shuffle_files(spark)
+            got = module.components(links, rows)
+            assert _shuffle_files(spark) <= before
+            assert 1 <= max(written[1:]) <= most
+            assert sorted((r["node"], r["component"]) for r in got.collect()) == sorted((x, find(x)) for x in root)
+            written.clear()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_sketch_blocks_take_the_bytes_they_need():
+    for most, width in ((0, 1), (255, 1), (256, 2), (65_536, 4), (2 ** 32 - 1, 4), (2 ** 32, 8)):
+        n = np.zeros(jaccard.SLOT_BLOCK, np.int64)
+        n[3] = most
+        raw = jaccard._pack(n)
+        assert len(raw) == width * len(n) and (jaccard._unpack(raw) == n).all()
