@@ -516,3 +516,11 @@ def test_sketch_blocks_take_the_bytes_they_need():
         n[3] = most
         raw = jaccard._pack(n)
         assert len(raw) == width * len(n) and (jaccard._unpack(raw) == n).all()
+
+
+def test_fit_leaves_no_shuffle(make_docs, spark):
+    trusted = make_docs([(i, f"a good text of words and more words, number {i % 9}") for i in range(60)])
+    before = _shuffle_files(spark)
+    known, grams, spelling = quality.fit(trusted)
+    assert len(known) and len(grams[0]) and len(spelling) == quality.LETTERS ** 3
+    assert _shuffle_files(spark) <= before
